@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -75,3 +76,11 @@ def scalar_row(df: DataFrame):
     if len(rows) != 1:
         raise ValueError(f"expected exactly one row, got {len(rows)} or more")
     return rows[0]
+
+
+def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row summary to every row of ``df`` as literals."""
+    row = scalar_row(one_row)
+    return df.withColumns(
+        {f.name: F.lit(row[f.name]).cast(f.dataType) for f in one_row.schema.fields}
+    )

@@ -58,28 +58,35 @@ def from_logit(value: Column, bounds: Bounds) -> Column:
     return F.lit(bounds.lower) + F.lit(span) / (F.lit(1.0) + F.exp(-value))
 
 
-def extraterrestrial_radiation(lat: Column, doy: Column) -> Column:
-    """Daily mean top-of-atmosphere radiation, W m-2 (Spencer 1971 series)."""
-    angle = F.lit(2.0 * math.pi) * (doy - F.lit(1)) / F.lit(365.0)
-    declination = (
-        F.lit(0.006918) - F.lit(0.399912) * F.cos(angle) + F.lit(0.070257) * F.sin(angle)
-        - F.lit(0.006758) * F.cos(angle * 2) + F.lit(0.000907) * F.sin(angle * 2)
-        - F.lit(0.002697) * F.cos(angle * 3) + F.lit(0.00148) * F.sin(angle * 3)
-    )
-    distance = (
-        F.lit(1.00011) + F.lit(0.034221) * F.cos(angle) + F.lit(0.00128) * F.sin(angle)
-        + F.lit(0.000719) * F.cos(angle * 2) + F.lit(0.000077) * F.sin(angle * 2)
-    )
-    phi = F.radians(lat)
-    hour = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), -F.tan(phi) * F.tan(declination))))
-    geometry = hour * F.sin(phi) * F.sin(declination) + F.cos(phi) * F.cos(declination) * F.sin(hour)
-    return F.lit(SOLAR_CONSTANT / math.pi) * distance * geometry
-
-
-def clearness_index(rsds: Column, lat: Column, doy: Column) -> Column:
+def with_top_radiation(df: DataFrame, name: str = "toa", lat: str = "lat", doy: str = "doy") -> DataFrame:
+    """Add the daily mean top-of-atmosphere radiation, W m-2 (Spencer 1971 series).
+
+    Built in named steps: each step is read several times by the next, and
+    Catalyst keeps such steps apart instead of copying the formula.
+    """
+    angle = F.col("_angle")
+    df = df.withColumn("_angle", F.lit(2.0 * math.pi) * (F.col(doy) - F.lit(1)) / F.lit(365.0))
+    df = df.withColumns({
+        "_phi": F.radians(F.col(lat)),
+        "_dec": (
+            F.lit(0.006918) - F.lit(0.399912) * F.cos(angle) + F.lit(0.070257) * F.sin(angle)
+            - F.lit(0.006758) * F.cos(angle * 2) + F.lit(0.000907) * F.sin(angle * 2)
+            - F.lit(0.002697) * F.cos(angle * 3) + F.lit(0.00148) * F.sin(angle * 3)),
+        "_dist": (
+            F.lit(1.00011) + F.lit(0.034221) * F.cos(angle) + F.lit(0.00128) * F.sin(angle)
+            + F.lit(0.000719) * F.cos(angle * 2) + F.lit(0.000077) * F.sin(angle * 2)),
+    })
+    phi, dec = F.col("_phi"), F.col("_dec")
+    df = df.withColumn("_hour", F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), -F.tan(phi) * F.tan(dec)))))
+    hour = F.col("_hour")
+    geometry = hour * F.sin(phi) * F.sin(dec) + F.cos(phi) * F.cos(dec) * F.sin(hour)
+    return df.withColumn(name, F.lit(SOLAR_CONSTANT / math.pi) * F.col("_dist") * geometry).drop(
+        "_angle", "_phi", "_dec", "_dist", "_hour")
+
+
+def clearness_index(rsds: Column, toa: Column) -> Column:
     """Share of the top-of-atmosphere radiation; 0 where the sun does not rise."""
-    top = extraterrestrial_radiation(lat, doy)
-    return F.when(top <= 0, F.when(rsds.isNotNull(), F.lit(0.0))).otherwise(rsds / top)
+    return F.when(toa <= 0, F.when(rsds.isNotNull(), F.lit(0.0))).otherwise(rsds / toa)
 
 
 def magnus_relative_humidity(temperature_c: Column, dewpoint_c: Column) -> Column:

@@ -38,10 +38,11 @@ def time_checks(df: DataFrame, keys: list[str], minimum_years: int | None = None
     )
 
 
-def bounds_hold(variable: str, lat: Column | None = None, doy: Column | None = None) -> Column:
+def bounds_hold(variable: str) -> Column:
     """Aggregate column: are all values of ``variable`` physically possible?
 
-    An all-missing column passes.  Precipitation is in mm/day.
+    An all-missing column passes.  Precipitation is in mm/day; rsds needs the
+    top-of-atmosphere radiation in ``toa``.
     """
     v = F.col(variable)
     low, high = TEMPERATURE_VALID_RANGE_K
@@ -55,7 +56,7 @@ def bounds_hold(variable: str, lat: Column | None = None, doy: Column | None = N
         "ps": v < 0, "rlds": v < 0, "tasrange": v < 0,
     }
     if variable == "rsds":
-        index = ph.clearness_index(v, lat, doy)
+        index = ph.clearness_index(v, F.col("toa"))
         return F.count_if((index < 0) | (index > 1)) == 0
     if variable not in bad:
         raise ValueError(f"no physical bounds for {variable!r}")
@@ -67,12 +68,16 @@ def variable_report(df: DataFrame, variables: list[str], days: int, minimum_vali
 
     Two grouped passes over one scan: per cell, then overall.
     """
+    if "rsds" in variables:
+        df = ph.with_top_radiation(df)
+    else:
+        df = df.withColumn("toa", F.lit(None).cast("double"))
     long = df.select(
-        "cell", "ord", "lat", "doy",
+        "cell", "toa",
         F.explode(F.array(*[
             F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("value")) for v in variables
         ])).alias("s"),
-    ).select("cell", "lat", "doy", "s.variable", "s.value")
+    ).select("cell", "toa", "s.variable", "s.value")
     v = F.col("value")
     infinite = F.abs(v) == F.lit(float("inf"))
     low, high = TEMPERATURE_VALID_RANGE_K
@@ -83,7 +88,7 @@ def variable_report(df: DataFrame, variables: list[str], days: int, minimum_vali
         | (name.isin("prsnratio", "tasskew") & (v > 1))
     )
     outside = (name == "tas") & ((v <= low) | (v >= high))
-    index = ph.clearness_index(v, F.col("lat"), F.col("doy"))
+    index = ph.clearness_index(v, F.col("toa"))
     dark = (name == "rsds") & ((index < 0) | (index > 1))
     per_cell = long.groupBy("variable", "cell").agg(
         F.count(v).alias("valid"), F.count_if(infinite).alias("infinite"),

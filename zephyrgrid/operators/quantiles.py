@@ -141,13 +141,15 @@ def circular_day_windows(
     arrays, so the rows are shuffled once, not once per offset.
     """
     bounds = Window.partitionBy(*keys)
+    # Missing values are dropped by collect_list itself: a filter on them would be
+    # pushed below the projection and repeat the whole formula of the value.
+    present = F.when(F.col("v").isNotNull(), F.struct("ord", "v"))
     daily = (
-        df.where(F.col(value).isNotNull())
-        .select(*keys, "doy", "ord", F.col(value).cast("double").alias("v"))
+        df.select(*keys, "doy", "ord", F.col(value).cast("double").alias("v"))
         .withColumn("first", F.min("ord").over(bounds))
         .withColumn("last", F.max("ord").over(bounds))
         .groupBy(*keys, "doy", "first", "last")
-        .agg(F.collect_list(F.struct("ord", "v")).alias("days"))
+        .agg(F.collect_list(present).alias("days"))
     )
     # Repeat only the edges of the year, so the frame needs no wrap-around.
     copies = (

@@ -480,11 +480,11 @@ def first_day_of_year(spark, d):
 
 
 @query("doy_window_quantiles", """
-b AS (SELECT cell, min(ord) AS lo, max(ord) AS hi FROM cube WHERE tasm IS NOT NULL GROUP BY cell),
+b AS (SELECT cell, min(ord) AS lo, max(ord) AS hi FROM cube GROUP BY cell),
 x AS (SELECT c.cell, ((c.doy - 1 + k) % 365 + 365) % 365 + 1 AS doy, tasm FROM cube c JOIN b USING (cell),
   (SELECT unnest(range(-15, 16)) AS k) WHERE tasm IS NOT NULL AND c.ord + k BETWEEN lo AND hi)
 SELECT cell, doy, count(*) AS n, round(quantile_cont(tasm, 0.1), 6) AS q10, round(quantile_cont(tasm, 0.5), 6) AS q50,
-  round(quantile_cont(tasm, 0.9), 6) AS q90 FROM x WHERE (cell, doy) IN (SELECT cell, doy FROM cube WHERE tasm IS NOT NULL) GROUP BY cell, doy""", "cube")
+  round(quantile_cont(tasm, 0.9), 6) AS q90 FROM x WHERE (cell, doy) IN (SELECT cell, doy FROM cube) GROUP BY cell, doy""", "cube")
 def doy_window_quantiles(spark, d):
     w = circular_day_windows(daily_cube(spark, d, "tasm"), ["cell"], "tasm", 15)
     q = sorted_array_quantiles(F.col("values"), [0.1, 0.5, 0.9])

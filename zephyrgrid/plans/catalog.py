@@ -1,6 +1,6 @@
 """Importing this module registers every query."""
 
-from . import aggregate_queries, scalar_queries, spatial_queries  # noqa: F401
+from . import adjust_queries, aggregate_queries, scalar_queries, spatial_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

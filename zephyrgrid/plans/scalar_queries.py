@@ -103,9 +103,9 @@ top AS (
 SELECT cell, ord, round(ra, 4) AS toa, round(rsds / ra, 8) AS kt,
   round(rsds / ra * ra, 4) AS back FROM top""", "cube")
 def clearness_index(spark, d):
-    c = daily_cube(spark, d, "rsds")
-    top = ph.extraterrestrial_radiation(F.col("lat"), F.col("doy"))
-    kt = ph.clearness_index(F.col("rsds"), F.col("lat"), F.col("doy"))
+    c = ph.with_top_radiation(daily_cube(spark, d, "rsds"))
+    top = F.col("toa")
+    kt = ph.clearness_index(F.col("rsds"), top)
     return c.select(
         "cell", "ord", F.round(top, 4).alias("toa"), F.round(kt, 8).alias("kt"),
         F.round(kt * top, 4).alias("back"),

@@ -298,12 +298,12 @@ t AS (SELECT f.cell, c.ord, c.v AS v0, b.v AS v1, e.v AS v2, g.v AS v3 FROM f JO
   LEFT JOIN c b ON b.ord = c.ord AND b.ci = f.ci AND b.cj = (f.cj + f.dj + n) % n
   LEFT JOIN c e ON e.ord = c.ord AND e.ci = f.ci + f.di AND e.cj = f.cj
   LEFT JOIN c g ON g.ord = c.ord AND g.ci = f.ci + f.di AND g.cj = (f.cj + f.dj + n) % n)
-SELECT cell, ord, round(coalesce(0.75 * (0.75 * v0 + 0.25 * v1) + 0.25 * (0.75 * v2 + 0.25 * v3), v0), 6) AS v FROM t""", "cube", "cells")
+SELECT cell, ord, round(coalesce(0.75 * (0.75 * v0 + 0.25 * v1) + 0.25 * (0.75 * v2 + 0.25 * v3), v0), 9) AS v FROM t""", "cube", "cells")
 def bilinear_broadcast(spark, d):
     side = grid_side(spark, d)
     coarse = daily_cube(spark, d, "tasm").groupBy("ci", "cj", "ord").agg(F.avg("tasm").alias("v"))
     fine = regrid.bilinear_broadcast(coarse, "v", side // 2, side // 2, 2)
-    return fine.select((F.col("fi") * side + F.col("fj")).alias("cell"), "ord", F.round("v", 6).alias("v"))
+    return fine.select((F.col("fi") * side + F.col("fj")).alias("cell"), "ord", F.round("v", 9).alias("v"))
 
 
 @query("linear_regrid", """
@@ -332,13 +332,13 @@ lw AS (SELECT k AS ti, s AS fi, sin(radians(least(-60 + (k + 1) * 120.0::DOUBLE
 ow AS (SELECT k AS tj, s AS fj, least((k + 1) * 360.0::DOUBLE / n, (s + 1) * 360.0::DOUBLE / t.side) - greatest(k * 360.0::DOUBLE / n, s * 360.0::DOUBLE / t.side) AS w FROM t, sx
   WHERE least((k + 1) * 360.0::DOUBLE / n, (s + 1) * 360.0::DOUBLE / t.side) > greatest(k * 360.0::DOUBLE / n, s * 360.0::DOUBLE / t.side) + 1e-9),
 m AS (SELECT fi, fj, year, month, avg(pr) AS v FROM cube GROUP BY ALL)
-SELECT ti, tj, year, month, round(sum(lw.w * ow.w * v) / sum(lw.w * ow.w), 6) AS v FROM m JOIN lw USING (fi) JOIN ow USING (fj) GROUP BY ALL""", "cube")
+SELECT ti, tj, year, month, round(sum(lw.w * ow.w * v) / sum(lw.w * ow.w), 9) AS v FROM m JOIN lw USING (fi) JOIN ow USING (fj) GROUP BY ALL""", "cube")
 def conservative_regrid(spark, d):
     side = grid_side(spark, d)
     n = side - 1
     target = (regrid.Axis(-60.0 + 60.0 / n, 120.0 / n, n), regrid.Axis(180.0 / n, 360.0 / n, n, True))
     monthly = daily_cube(spark, d, "pr").groupBy("fi", "fj", "year", "month").agg(F.avg("pr").alias("v"))
-    return rounded(regrid.conservative_regrid(monthly, _axes(side), target, "v", ("year", "month")), 6, "v")
+    return rounded(regrid.conservative_regrid(monthly, _axes(side), target, "v", ("year", "month")), 9, "v")
 
 
 @query("bilinear_point_sample", _PLACES + """,

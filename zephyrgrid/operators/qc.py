@@ -241,3 +241,17 @@ def calendar_report(df: DataFrame) -> DataFrame:
         F.min("n").alias("fewest"), F.max("n").alias("most"),
         F.bool_and(F.col("n") == F.col("u")).alias("unique"),
         F.bool_and(F.col("n") == F.col("span")).alias("gapless"), F.sum("leap").alias("leap_days"))
+
+
+def sample_edges(edges: DataFrame, group: str, limit: int) -> DataFrame:
+    """Up to ``limit`` edges per group in the order of a stable hash: the sampling audit.
+
+    Each group's candidates are cut down per salt first, so no task sorts a whole group.
+    """
+    mixed = edges.withColumn(
+        "h", F.pmod(F.col("a_cell") * F.lit(2654435761) + F.col("b_cell") * F.lit(40503), F.lit(1000003)))
+    salted = mixed.withColumn("salt", F.pmod("a_cell", F.lit(64)))
+    for keys in ([group, "salt"], [group]):
+        order = Window.partitionBy(*keys).orderBy("h", "a_cell", "b_cell")
+        salted = salted.withColumn("r", F.row_number().over(order)).where(F.col("r") <= limit)
+    return salted.drop("h", "salt", "r")

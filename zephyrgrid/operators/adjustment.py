@@ -1,24 +1,28 @@
 """Bias adjustment on long tables: scaling, quantile delta mapping, detrended mapping.
 
-Series are (cell, ord, doy, month, value).  Training gathers, for every cell and
-day of the year, the sorted values of a circular window (see
-``circular_day_windows``) and stores quantile arrays; applying is an equi-join
-on (cell, group) and an array lookup.  All of it stays inside the JVM, is free
-of random draws, and shuffles by cell, whose rows the calendar bounds.
+Series are (cell, ord, doy, month, value).  Training places both series by cell,
+whose rows the calendar bounds, and reduces each window to a quantile array.
+Applying is an equi-join on (cell, group), window ranks and an array lookup, all
+column expressions.  Nothing draws random numbers: where the published method
+jitters values, evenly spaced steps stand for the expected order.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import physics as ph
 from ..functions.presets import VariableSettings, settings
-from .quantiles import circular_day_windows, sorted_array_quantiles
+from ..session import place_by
+from .humidity import linear_quantiles
 
 KINDS = ("additive", "multiplicative")
 
@@ -38,100 +42,124 @@ def _correction(target: Column, source: Column, kind: str) -> Column:
     return target - source if kind == "additive" else F.try_divide(target, source)
 
 
-def grouped_values(df: DataFrame, value: str, group: str, window: int) -> DataFrame:
-    """(cell, g, values): sorted values per cell and group with the window applied."""
-    if window < 1 or window % 2 == 0:
-        raise ValueError("window must be a positive odd integer")
-    if group == "dayofyear":
-        rows = circular_day_windows(df, ["cell"], value, window // 2)
-        return rows.select("cell", F.col("doy").alias("g"), "values")
-    if group != "month":
-        raise ValueError(f"unknown group {group!r}")
-    # One cell-month holds at most 31 days a year.
-    return df.groupBy("cell", F.col("month").alias("g")).agg(
-        F.array_sort(F.collect_list(F.col(value).cast("double"))).alias("values"))
-
-
-def _mean(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)
-
+def _correct(target: np.ndarray, source: np.ndarray, kind: str) -> np.ndarray:
+    if kind == "additive":
+        return target - source
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(source == 0, np.nan, target / source)
 
-def spread_below(values: Column, threshold: float) -> Column:
-    """Replace a sorted array's values under the threshold by even steps between 0 and it."""
-    low = F.size(F.filter(values, lambda v: v < threshold))
-    steps = F.when(
-        low > 0, F.transform(F.sequence(F.lit(1), low), lambda j: (j - 0.5) * threshold / low)
-    ).otherwise(F.expr("array()").cast("array<double>"))
-    return F.concat(steps, F.filter(values, lambda v: v >= threshold))
 
+def group_samples(
+    day: np.ndarray, month: np.ndarray, order: np.ndarray, value: np.ndarray, group: str, half_width: int,
+    period: int = 365,
+) -> Iterator[tuple[int, np.ndarray]]:
+    """(group, sorted valid values) of one series; ``dayofyear`` groups slide over the year.
 
-def adapt_dry_days(fit: DataFrame, threshold: float) -> DataFrame:
-    """Give the historical arrays the reference's dry-day frequency.
-
-    When the historical series has the larger share of values at or under the
-    threshold, those whose rank lies between both shares are moved evenly into
-    (threshold, reference quantile at the historical share).
+    A day counts for a centre within ``half_width`` days when that centre lies
+    inside the series, as in a centred rolling window.
+    """
+    if group == "month":
+        for number in np.unique(month):
+            sample = value[month == number]
+            yield int(number), np.sort(sample[np.isfinite(sample)])
+        return
+    by_day = np.argsort(day, kind="stable")
+    # The sorted days once before and once after the year, so a window is one slice.
+    days = day[by_day]
+    line = np.concatenate([days - period, days, days + period])
+    v, o = np.tile(value[by_day], 3), np.tile(order[by_day], 3)
+    for centre in np.unique(day):
+        inside = slice(np.searchsorted(line, centre - half_width), np.searchsorted(line, centre + half_width, side="right"))
+        at = o[inside] - (line[inside] - centre)
+        sample = v[inside][(at >= order.min()) & (at <= order.max())]
+        yield int(centre), np.sort(sample[np.isfinite(sample)])
+
+
+def spread_below(ordered: np.ndarray, threshold: float) -> np.ndarray:
+    """Replace a sorted sample's values under the threshold by even steps between 0 and it."""
+    low = int(np.searchsorted(ordered, threshold))
+    return np.concatenate([(np.arange(low) + 0.5) * threshold / max(low, 1), ordered[low:]])
+
+
+def adapt_dry_days(reference: np.ndarray, historical: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Give the sorted historical sample the reference's dry-day frequency.
+
+    When the historical sample has the larger share of values at or under the
+    threshold, those ranked between both shares move evenly into (threshold,
+    reference quantile at the historical share).
     """
-    fit = fit.withColumns({n: spread_below(F.col(n), threshold) for n in ("ref_values", "hist_values")})
-    def share(name: str) -> Column:
-        return F.size(F.filter(F.col(name), lambda v: v <= threshold)) / F.size(F.col(name))
-
-    fit = fit.withColumn("p_ref", share("ref_values")).withColumn("p_hist", share("hist_values"))
-    fit = fit.withColumn(
-        "top", F.element_at(sorted_array_quantiles_at(F.col("ref_values"), F.col("p_hist")), 1))
-    n = F.size("hist_values")
-    # Ranks (i / (n - 1)) of a sorted array are its positions: the moved stretch is a slice.
-    start = F.ceil(F.col("p_ref") * (n - 1)).cast("int")
-    stop = F.floor(F.col("p_hist") * (n - 1)).cast("int")
-    count = F.greatest(stop - start + 1, F.lit(0))
-    moved = F.transform(
-        F.col("hist_values"),
-        lambda v, i: F.when(
-            (i >= start) & (i <= stop), F.lit(threshold) + (F.col("top") - threshold) * (i - start + 0.5) / count
-        ).otherwise(v),
-    )
-    needed = (F.col("p_hist") > F.col("p_ref")) & (n > 1) & (count > 0)
-    return fit.withColumn("hist_values", F.when(needed, F.array_sort(moved)).otherwise(F.col("hist_values"))).drop(
-        "p_ref", "p_hist", "top")
-
-
-def sorted_array_quantiles_at(values: Column, p: Column) -> Column:
-    from .quantiles import sorted_array_quantile
-
-    return F.array(sorted_array_quantile(values, p))
+    reference, historical = spread_below(reference, threshold), spread_below(historical, threshold)
+    wet_ref, wet_hist = (np.searchsorted(s, threshold, side="right") / s.size for s in (reference, historical))
+    n = historical.size
+    start, stop = math.ceil(wet_ref * (n - 1)), math.floor(wet_hist * (n - 1))
+    if wet_hist > wet_ref and stop >= start:
+        top = linear_quantiles(reference, np.array([wet_hist]))[0]
+        count = stop - start + 1
+        historical = historical.copy()
+        historical[start:stop + 1] = threshold + (top - threshold) * (np.arange(count) + 0.5) / count
+        historical.sort()
+    return reference, historical
+
+
+def fit_cell(
+    rows: pd.DataFrame, method: str, kind: str, group: str, half_width: int, nodes: np.ndarray,
+    adapt_threshold: float | None,
+) -> pd.DataFrame:
+    """Fit rows of one cell; the calendar bounds its reference and historical days."""
+    samples = {}
+    for role in ("ref", "hist"):
+        part = rows[rows["role"] == role]
+        columns = [part[c].to_numpy() for c in ("doy", "month", "ord")]
+        samples[role] = dict(group_samples(*columns, part["v"].to_numpy(dtype=float), group, half_width)) if len(part) else {}
+    fits = []
+    for g in sorted(samples["ref"].keys() & samples["hist"].keys()):
+        ref, hist = samples["ref"][g], samples["hist"][g]
+        if not ref.size or not hist.size:
+            continue
+        if adapt_threshold is not None:
+            ref, hist = adapt_dry_days(ref, hist, adapt_threshold)
+        scaling = float(_correct(ref.mean(), hist.mean(), kind))
+        fit = {"cell": int(rows["cell"].iloc[0]), "g": g, "scaling": scaling, "af": None, "hist_q": None}
+        if method != "scaling":
+            rq, hq = linear_quantiles(ref, nodes), linear_quantiles(hist, nodes)
+            if method == "dqm":
+                rq, hq = _correct(rq, ref.mean(), kind), _correct(hq, hist.mean(), kind)
+            # Whole multiples of 1e-9, so that equal quantiles compare equal.
+            fit.update(af=_correct(rq, hq, kind), hist_q=np.rint(hq * 1e9) / 1e9)
+        fits.append(fit)
+    return pd.DataFrame(fits, columns=["cell", "g", "scaling", "af", "hist_q"])
+
+
+def _tagged(df: DataFrame, role: str, value: str) -> DataFrame:
+    return df.select("cell", F.lit(role).alias("role"), "doy", "month", "ord", F.col(value).cast("double").alias("v"))
 
 
 def train(
     reference: DataFrame, historical: DataFrame, value: str, method: str, kind: str,
     group: str = "dayofyear", window: int = 31, quantiles: int = 50, adapt_threshold: float | None = None,
 ) -> DataFrame:
-    """The fit table: (cell, g, scaling) and, for the mapping methods, (af, hist_q)."""
+    """The fit table: (cell, g, scaling) and, for the mapping methods, (af, hist_q).
+
+    Both series are placed by cell once; the sliding windows of a cell are
+    sorted and reduced to quantiles where they are, so no row is copied to its
+    31 centres.
+    """
     if kind not in KINDS:
         raise ValueError(f"unknown kind {kind!r}")
     if method not in ("qdm", "dqm", "scaling"):
         raise ValueError(f"unknown method {method!r}")
-    fit = grouped_values(reference, value, group, window).withColumnRenamed("values", "ref_values").join(
-        grouped_values(historical, value, group, window).withColumnRenamed("values", "hist_values"), ["cell", "g"])
-    if adapt_threshold is not None:
-        fit = adapt_dry_days(fit, adapt_threshold)
-    fit = fit.withColumn("ref_mean", _mean(F.col("ref_values"))).withColumn("hist_mean", _mean(F.col("hist_values")))
-    scaling = _correction(F.col("ref_mean"), F.col("hist_mean"), kind).alias("scaling")
-    if method == "scaling":
-        return fit.select("cell", "g", scaling)
-    nodes = quantile_nodes(quantiles)
-    fit = fit.select(
-        "cell", "g", "ref_mean", "hist_mean", scaling,
-        sorted_array_quantiles(F.col("ref_values"), nodes).alias("rq"),
-        sorted_array_quantiles(F.col("hist_values"), nodes).alias("hq"))
-    if method == "dqm":
-        def centre(name: str, mean: str) -> Column:
-            return F.transform(F.col(name), lambda q: _correction(q, F.col(mean), kind))
-
-        fit = fit.withColumn("rq", centre("rq", "ref_mean")).withColumn("hq", centre("hq", "hist_mean"))
-    factors = F.zip_with("rq", "hq", lambda r, h: _correction(r, h, kind))
-    # Whole multiples of 1e-9, so that equal quantiles compare equal.
-    nodes_kept = F.transform("hq", lambda q: F.rint(q * 1e9) / 1e9)
-    return fit.select("cell", "g", "scaling", factors.alias("af"), nodes_kept.alias("hist_q"))
+    if group not in ("dayofyear", "month"):
+        raise ValueError(f"unknown group {group!r}")
+    if window < 1 or window % 2 == 0:
+        raise ValueError("window must be a positive odd integer")
+    nodes = np.array(quantile_nodes(quantiles))
+    half_width = window // 2
+    both = _tagged(reference, "ref", value).unionByName(_tagged(historical, "hist", value))
+    fit = place_by(both, "cell").groupBy("cell").applyInPandas(
+        lambda rows: fit_cell(rows, method, kind, group, half_width, nodes, adapt_threshold),
+        "cell bigint, g bigint, scaling double, af array<double>, hist_q array<double>")
+    known = fit.withColumn("scaling", F.when(~F.isnan("scaling"), F.col("scaling")))
+    return known.select("cell", "g", "scaling") if method == "scaling" else known
 
 
 def _group_column(group: str) -> Column:
@@ -186,35 +214,48 @@ def _array_at(values: Column, place: Column, size: int, interpolation: str) -> C
     return a + (held - low) * (b - a)
 
 
-def nearest_factor(nodes: Column, factors: Column, value: Column) -> Column:
-    """Factor of the node nearest to ``value`` (the lower index on a tie)."""
-    distance = F.transform(nodes, lambda q, i: F.struct(F.abs(value - q).alias("d"), i.alias("i")))
-    return F.when(value.isNotNull(), F.element_at(factors, F.array_min(distance)["i"] + 1))
+def middles(nodes: Column) -> Column:
+    """Twice the mid-points between neighbouring nodes."""
+    rest = F.size(nodes) - 1
+    return F.zip_with(F.slice(nodes, 1, rest), F.slice(nodes, 2, rest), lambda a, b: a + b)
+
+
+def nearest_factor(middle: Column, factors: Column, value: Column) -> Column:
+    """Factor of the node nearest to ``value``: one place further per mid-point below it."""
+    below = F.size(F.filter(middle, lambda m: m < value * F.lit(2.0)))
+    return F.when(value.isNotNull() & middle.isNotNull(), F.element_at(factors, below + 1))
 
 
 def group_trend(df: DataFrame, value: str, keys: list[str], half_width: int) -> DataFrame:
-    """Add ``trend``: per group, a straight line in time through the windowed means."""
-    near = Window.partitionBy("cell").orderBy("ord").rangeBetween(-half_width, half_width)
+    """Add ``trend``: per group, a straight line in time through the windowed means.
+
+    ``keys`` start with the cell, so all windows share one placement by cell.
+    """
+    near = Window.partitionBy(keys[0]).orderBy("ord").rangeBetween(-half_width, half_width)
+    group = Window.partitionBy(*keys)
     smooth = df.withColumn("smooth", F.avg(value).over(near))
-    lines = smooth.groupBy(*keys).agg(
-        F.regr_slope("smooth", F.col("ord").cast("double")).alias("slope"),
-        F.avg("smooth").alias("level"), F.avg(F.when(F.col("smooth").isNotNull(), F.col("ord"))).alias("center"))
-    joined = smooth.join(lines, keys, "left")
-    line = F.col("level") + F.coalesce("slope", F.lit(0.0)) * (F.col("ord") - F.col("center"))
-    return joined.withColumn("trend", line).drop("smooth", "slope", "level", "center")
+    line = smooth.withColumns({
+        "slope": F.regr_slope("smooth", F.col("ord").cast("double")).over(group),
+        "level": F.avg("smooth").over(group),
+        "center": F.avg(F.when(F.col("smooth").isNotNull(), F.col("ord"))).over(group)})
+    trend = F.col("level") + F.coalesce("slope", F.lit(0.0)) * (F.col("ord") - F.col("center"))
+    return line.withColumn("trend", trend).drop("smooth", "slope", "level", "center")
 
 
-def apply_dqm(simulation: DataFrame, fit: DataFrame, value: str, kind: str, group: str = "dayofyear", window: int = 31) -> DataFrame:
+def apply_dqm(
+    simulation: DataFrame, fit: DataFrame, value: str, kind: str, group: str = "dayofyear", window: int = 31,
+) -> DataFrame:
     """Detrended mapping: scale the mean, take out the trend, map the rest, put the trend back."""
+    fit = fit.withColumn("middle", middles(F.col("hist_q"))).drop("hist_q")
     sim = simulation.withColumn("g", _group_column(group)).join(fit, ["cell", "g"], "left")
     sim = sim.withColumn("scaled", _combine(F.col(value), F.col("scaling"), kind))
     sim = group_trend(sim, "scaled", ["cell", "g"], window // 2)
     rest = _correction(F.col("scaled"), F.col("trend"), kind)
     sim = sim.withColumn("rest", rest)
-    factor = nearest_factor(F.col("hist_q"), F.col("af"), F.col("rest"))
+    factor = nearest_factor(F.col("middle"), F.col("af"), F.col("rest"))
     mapped = _combine(F.col("rest"), factor, kind)
     return sim.withColumn("adjusted", _combine(mapped, F.col("trend"), kind)).drop(
-        "g", "scaling", "af", "hist_q", "scaled", "trend", "rest")
+        "g", "scaling", "af", "middle", "scaled", "trend", "rest")
 
 
 def fit_key(configuration: dict) -> str:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fire, units
+from ..session import place_by
 
 # Start codes, season limits (three days, degrees Celsius), overwintering.
 START_FFMC, START_DMC, START_DC = 85.0, 6.0, 15.0
@@ -181,7 +182,7 @@ def daily_fire_weather(df: DataFrame, precipitation_unit: str = "mm d-1", season
         units.convert(F.col("tas"), "K", "degC").alias("t"),
         units.convert(F.col("pr"), precipitation_unit, "mm d-1").alias("rain"),
         units.convert(F.col("wind"), "m s-1", "km h-1").alias("wind"), F.col("hurs").alias("rh"))
-    codes = inputs.groupBy("tile").applyInPandas(
+    codes = place_by(inputs, "tile").groupBy("tile").applyInPandas(
         lambda rows: tile_codes(rows, seasonal),
         "cell bigint, ord bigint, wind double, ffmc double, dmc double, dc double, always_on boolean")
     clean = codes.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("ffmc", "dmc", "dc")})

@@ -27,10 +27,13 @@ def sorted_array_quantile(values: Column, p: Column) -> Column:
 
 
 def sorted_array_quantiles(values: Column, probabilities: list[float]) -> Column:
-    grid = F.array(*[F.lit(float(p)) for p in probabilities])
-    return F.when(
-        F.size(values) > 0, F.transform(grid, lambda p: sorted_array_quantile(values, p))
-    )
+    """One array with a quantile per probability.
+
+    Written out per probability rather than as a lambda, so it compiles with
+    its stage; ``values`` should be a plain column.
+    """
+    entries = F.array(*[sorted_array_quantile(values, F.lit(float(p))) for p in probabilities])
+    return F.when(F.size(values) > 0, entries)
 
 
 def group_percentiles(df: DataFrame, keys: list[str], value: str, probabilities: list[float]) -> DataFrame:
@@ -133,47 +136,38 @@ def _narrow(spark, distinct, brackets, found):
 def circular_day_windows(
     df: DataFrame, keys: list[str], value: str, half_width: int, period: int = 365
 ) -> DataFrame:
-    """For every (keys, doy): the sorted values of all days within ``half_width`` days of it.
+    """For every (keys, doy) of the series: the sorted values of all days within ``half_width`` days.
 
     A day counts for a centre when the centre itself, ``half_width`` days or
     less away, lies inside the series, as a centred rolling window would have it.
-    Values are gathered once per day of year and the windows slide over those
-    arrays, so the rows are shuffled once, not once per offset.
+    Days away from both ends of the series count for every centre in reach:
+    they are gathered once per day of year and the windows slide over those
+    arrays.  The few days near the ends are sent to their centres one by one.
+    Rows are shuffled once, on ``keys``.
     """
-    bounds = Window.partitionBy(*keys)
-    # Missing values are dropped by collect_list itself: a filter on them would be
-    # pushed below the projection and repeat the whole formula of the value.
-    present = F.when(F.col("v").isNotNull(), F.struct("ord", "v"))
-    daily = (
-        df.select(*keys, "doy", "ord", F.col(value).cast("double").alias("v"))
-        .withColumn("first", F.min("ord").over(bounds))
-        .withColumn("last", F.max("ord").over(bounds))
-        .groupBy(*keys, "doy", "first", "last")
-        .agg(F.collect_list(present).alias("days"))
-    )
+    series = Window.partitionBy(*keys)
+    rows = df.select(*keys, "doy", "ord", F.col(value).cast("double").alias("v")).withColumns(
+        {"first": F.min("ord").over(series), "last": F.max("ord").over(series)})
+    near_end = (F.col("ord") < F.col("first") + half_width) | (F.col("ord") > F.col("last") - half_width)
+    centres = F.transform(
+        F.sequence(F.greatest(F.col("ord") - half_width, F.col("first")), F.least(F.col("ord") + half_width, F.col("last"))),
+        lambda c: F.struct((F.pmod(c, F.lit(period)) + 1).alias("at"), F.lit(True).alias("single"), (c == F.col("ord")).alias("own")))
+    alone = F.array(F.struct(F.col("doy").alias("at"), F.lit(False).alias("single"), F.lit(True).alias("own")))
+    sent = rows.select(*keys, "v", F.explode(F.when(near_end, centres).otherwise(alone)).alias("c"))
+    # collect_list drops missing values itself: a filter on them would be pushed
+    # below the projection and repeat the whole formula of the value.
+    daily = sent.groupBy(*keys, F.col("c.at").alias("at")).agg(
+        F.collect_list(F.when(~F.col("c.single"), F.col("v"))).alias("shared"),
+        F.collect_list(F.when(F.col("c.single"), F.col("v"))).alias("singles"),
+        F.max("c.own").alias("own"))
     # Repeat only the edges of the year, so the frame needs no wrap-around.
     copies = (
-        F.when(F.col("doy") <= half_width, F.array(F.col("doy"), F.col("doy") + period))
-        .when(F.col("doy") > period - half_width, F.array(F.col("doy"), F.col("doy") - period))
-        .otherwise(F.array(F.col("doy")))
+        F.when(F.col("at") <= half_width, F.array(F.lit(0), F.lit(period)))
+        .when(F.col("at") > period - half_width, F.array(F.lit(0), F.lit(-period)))
+        .otherwise(F.array(F.lit(0)))
     )
-    unrolled = daily.withColumn("at", F.explode(copies))
+    unrolled = daily.withColumn("move", F.explode(copies)).withColumn("at", F.col("at") + F.col("move"))
     frame = Window.partitionBy(*keys).orderBy("at").rangeBetween(-half_width, half_width)
-    gathered = unrolled.withColumn(
-        "near", F.collect_list(F.struct("at", "days")).over(frame)
-    ).where(F.col("at").between(1, period))
-    inside = F.flatten(
-        F.transform(
-            F.col("near"),
-            lambda near: F.transform(
-                F.filter(
-                    near["days"],
-                    lambda day: (day["ord"] - near["at"] + F.col("at")).between(
-                        F.col("first"), F.col("last")
-                    ),
-                ),
-                lambda day: day["v"],
-            ),
-        )
-    )
-    return gathered.select(*keys, F.col("at").alias("doy"), F.array_sort(inside).alias("values"))
+    gathered = unrolled.withColumn("near", F.collect_list("shared").over(frame)).where("move = 0 AND own")
+    return gathered.select(
+        *keys, F.col("at").alias("doy"), F.sort_array(F.concat(F.flatten("near"), F.col("singles"))).alias("values"))

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import place_by
+
 
 @dataclass(frozen=True)
 class Axis:
@@ -107,13 +109,12 @@ def conservative_regrid(df: DataFrame, source: tuple[Axis, Axis], target: tuple[
     return apply_weights(df, lat, lon, value, keys, normalize=True)
 
 
-def bilinear_broadcast(coarse: DataFrame, value: str, rows: int, columns: int, factor: int,
-                       circular: bool = True, keys: tuple[str, ...] = ("ord",)) -> DataFrame:
-    """Spread coarse values (ci, cj, *keys, value) over nested fine cells, interpolating linearly.
+def coarse_neighbourhood(coarse: DataFrame, value: str, rows: int, columns: int, circular: bool = True,
+                         keys: tuple[str, ...] = ("ord",), partition_by: str | None = None) -> DataFrame:
+    """(coarse, ci, cj, *keys, v00..v22): each coarse value with its eight neighbours (v11 is its own).
 
-    Each coarse row is sent to its up to nine neighbours, so the shuffle carries
-    9 rows per coarse value however large ``factor`` is; the fine cells are then
-    generated locally.  A missing corner falls back to the containing cell.
+    Every row goes to its neighbours, nine rows per coarse value; ``partition_by``
+    places them by that column alone, for a caller that groups by it next.
     """
     steps = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
     sent = coarse.select("ci", "cj", *keys, value, F.explode(F.array(*[
@@ -121,38 +122,64 @@ def bilinear_broadcast(coarse: DataFrame, value: str, rows: int, columns: int, f
     target_j = F.col("cj") - F.col("s.b")
     if circular:
         target_j = F.pmod(target_j, F.lit(columns))
-    sent = sent.select((F.col("ci") - F.col("s.a")).alias("ci"), target_j.alias("cj"), *keys,
-                       "s.a", "s.b", value)
+    sent = sent.select((F.col("ci") - F.col("s.a")).alias("ci"), target_j.alias("cj"), *keys, "s.a", "s.b", value)
     sent = sent.where(F.col("ci").between(0, rows - 1) & F.col("cj").between(0, columns - 1))
+    sent = sent.withColumn("coarse", (F.col("ci") * columns + F.col("cj")).cast("bigint"))
+    if partition_by is not None:
+        sent = place_by(sent, partition_by)
     def corner(a: int, b: int):
         return F.max(F.when((F.col("a") == a) & (F.col("b") == b), F.col(value))).alias(f"v{a + 1}{b + 1}")
 
-    near = sent.groupBy("ci", "cj", *keys).agg(
+    near = sent.groupBy("coarse", "ci", "cj", *keys).agg(
         *[corner(a, b) for a, b in steps],
         F.count(F.when((F.col("a") == 0) & (F.col("b") == 0), 1)).alias("has"))
-    near = near.where("has > 0").drop("has")
-    fine = near.withColumn("ki", F.explode(F.sequence(F.lit(0), F.lit(factor - 1)))).withColumn(
-        "kj", F.explode(F.sequence(F.lit(0), F.lit(factor - 1))))
-    offset_i = F.lit(0.0) if rows == 1 else (F.col("ki") + 0.5) / factor - 0.5
-    offset_j = F.lit(0.0) if columns == 1 else (F.col("kj") + 0.5) / factor - 0.5
-    fine = fine.withColumn("oi", offset_i).withColumn("oj", offset_j)
+    return near.where("has > 0").drop("has")
+
+
+def interpolated(offset_i, offset_j):
+    """Bilinear blend at offsets (in coarse cells, -0.5..0.5) from the centre; else the centre's own value."""
     center = F.col("v11")
-    side_i = F.when(F.col("oi") < 0, F.col("v01")).otherwise(F.col("v21"))
-    side_j = F.when(F.col("oj") < 0, F.col("v10")).otherwise(F.col("v12"))
+    side_i = F.when(offset_i < 0, F.col("v01")).otherwise(F.col("v21"))
+    side_j = F.when(offset_j < 0, F.col("v10")).otherwise(F.col("v12"))
     diagonal = (
-        F.when((F.col("oi") < 0) & (F.col("oj") < 0), F.col("v00"))
-        .when(F.col("oi") < 0, F.col("v02"))
-        .when(F.col("oj") < 0, F.col("v20"))
+        F.when((offset_i < 0) & (offset_j < 0), F.col("v00"))
+        .when(offset_i < 0, F.col("v02"))
+        .when(offset_j < 0, F.col("v20"))
         .otherwise(F.col("v22"))
     )
-    wi, wj = F.abs("oi"), F.abs("oj")
-    along_j = lambda x, y: F.when(wj == 0, x).otherwise((1 - wj) * x + wj * y)
-    upper, lower = along_j(center, side_j), along_j(side_i, diagonal)
+    wi, wj = F.abs(offset_i), F.abs(offset_j)
+    upper = F.when(wj == 0, center).otherwise((1 - wj) * center + wj * side_j)
+    lower = F.when(wj == 0, side_i).otherwise((1 - wj) * side_i + wj * diagonal)
     blended = F.when(wi == 0, upper).otherwise((1 - wi) * upper + wi * lower)
-    return fine.select(
-        (F.col("ci") * factor + F.col("ki")).cast("bigint").alias("fi"),
-        (F.col("cj") * factor + F.col("kj")).cast("bigint").alias("fj"), *keys,
-        F.coalesce(blended, center).alias(value))
+    return F.coalesce(blended, center)
+
+
+def offsets(rows: int, columns: int, factor: int) -> list[tuple[float, float]]:
+    """Offsets of the fine cells of one coarse cell, row by row; a single-cell axis does not interpolate."""
+    line = [(k + 0.5) / factor - 0.5 for k in range(factor)]
+    return [(0.0 if rows == 1 else a, 0.0 if columns == 1 else b) for a in line for b in line]
+
+
+def bilinear_arrays(near: DataFrame, rows: int, columns: int, factor: int, name: str) -> DataFrame:
+    """Replace the neighbourhood columns by one array with the factor*factor fine values."""
+    places = F.array(*[
+        F.struct(F.lit(a).alias("i"), F.lit(b).alias("j")) for a, b in offsets(rows, columns, factor)])
+    values = F.transform(places, lambda place: interpolated(place["i"], place["j"]))
+    return near.withColumn(name, values)
+
+
+def bilinear_broadcast(coarse: DataFrame, value: str, rows: int, columns: int, factor: int,
+                       circular: bool = True, keys: tuple[str, ...] = ("ord",)) -> DataFrame:
+    """Spread coarse values (ci, cj, *keys, value) over nested fine cells, interpolating linearly.
+
+    The shuffle carries nine rows per coarse value however large ``factor`` is;
+    the fine cells are generated after it.
+    """
+    near = coarse_neighbourhood(coarse, value, rows, columns, circular, keys)
+    arrays = bilinear_arrays(near, rows, columns, factor, "fine")
+    return arrays.select("ci", "cj", *keys, F.posexplode("fine").alias("k", "x")).select(
+        (F.col("ci") * factor + F.expr(f"k div {factor}")).cast("bigint").alias("fi"),
+        (F.col("cj") * factor + F.col("k") % factor).cast("bigint").alias("fj"), *keys, F.col("x").alias(value))
 
 
 def point_sample(points: DataFrame, field: DataFrame, north: float, step: float, rows: int, columns: int,

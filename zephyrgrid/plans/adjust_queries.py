@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions.presets import VARIABLES
 from ..operators import adjustment as adj
-from ..session import shared_directory
-from ..sources.cube import role_cube
+from ..operators.humidity import linear_quantiles
+from ..session import place_by, shared_directory
+from ..sources.cube import role_series
 from .registry import query, rounded
 
 _NODES = "[" + ", ".join(f"{n:.2f}" for n in adj.quantile_nodes(50)) + "]"
@@ -15,8 +18,7 @@ _NODES = "[" + ", ".join(f"{n:.2f}" for n in adj.quantile_nodes(50)) + "]"
 
 def series(spark, d, *columns):
     keys = ["cell", "ord", "doy", "month", "year", "lat"]
-    roles = role_cube(spark, d, *columns)
-    return tuple(roles.where(F.col("role") == r).select(*keys, *columns) for r in ("ref", "hist", "sim"))
+    return tuple(role_series(spark, d, r, *columns).select(*keys, *columns) for r in ("ref", "hist", "sim"))
 
 
 def _pool(value: str) -> str:
@@ -74,7 +76,7 @@ a AS (SELECT s.cell, s.ord, s.doy, v + sc AS y, rn, hk, hn FROM s LEFT JOIN f US
 w AS (SELECT *, avg(y) OVER (PARTITION BY cell ORDER BY ord RANGE BETWEEN 15 PRECEDING AND 15 FOLLOWING) AS sm FROM a),
 l AS (SELECT cell, doy, coalesce(regr_slope(sm, ord), 0) AS slope, avg(sm) AS lev, avg(ord) FILTER (sm IS NOT NULL) AS mid FROM w GROUP BY ALL),
 x AS (SELECT w.*, lev + CASE WHEN isnan(slope) THEN 0 ELSE slope END * (ord - mid) AS trend FROM w JOIN l USING (cell, doy)),
-z AS (SELECT cell, ord, y, trend, rn, hn, list_min([{'d': abs(y - trend - hk[i]), 'i': i} FOR i IN range(1, 51)]).i AS i FROM x)
+z AS (SELECT cell, ord, y, trend, rn, hn, 1 + list_sum([CASE WHEN hk[i] + hk[i + 1] < 2 * (y - trend) THEN 1 ELSE 0 END FOR i IN range(1, 50)])::BIGINT AS i FROM x)
 SELECT cell, ord, round(y + (rn[i] - hn[i]), 6) AS adjusted FROM z""", "roles")
 def dqm_additive(spark, d):
     out = adj.adjust(*series(spark, d, "tas"), "tas", "dqm", "additive")
@@ -100,16 +102,23 @@ h AS (SELECT cell, month, CASE WHEN ph > pr_ AND i - 1 BETWEEN ceil(pr_ * (n - 1
 SELECT cell, month, count(*) AS n, round(min(v), 8) AS low, round(quantile_cont(v, 0.25), 8) AS q25, round(quantile_cont(v, 0.5), 8) AS q50,
   round(quantile_cont(v, 0.75), 8) AS q75, round(max(v), 8) AS high FROM h GROUP BY cell, month""", "roles")
 def dry_day_adaptation(spark, d):
-    from ..operators.quantiles import sorted_array_quantiles
+    def summary(rows):
+        part = {role: rows[rows["role"] == role] for role in ("ref", "hist")}
+        samples = [
+            dict(adj.group_samples(p["doy"].to_numpy(), p["month"].to_numpy(), p["ord"].to_numpy(), p["v"].to_numpy(), "month", 0))
+            for p in part.values()]
+        found = []
+        for month in sorted(samples[0].keys() & samples[1].keys()):
+            _, hist = adj.adapt_dry_days(samples[0][month], samples[1][month], 0.1)
+            found.append((int(rows["cell"].iloc[0]), month, hist.size, *linear_quantiles(hist, np.array([0.0, 0.25, 0.5, 0.75, 1.0]))))
+        return pd.DataFrame(found, columns=["cell", "month", "n", *names])
 
     r, h, _ = series(spark, d, "pr")
-    fit = adj.grouped_values(r, "pr", "month", 1).withColumnRenamed("values", "ref_values").join(
-        adj.grouped_values(h, "pr", "month", 1).withColumnRenamed("values", "hist_values"), ["cell", "g"])
-    out = adj.adapt_dry_days(fit, 0.1)
-    q = out.select("cell", F.col("g").alias("month"), F.size("hist_values").alias("n"),
-                   sorted_array_quantiles(F.col("hist_values"), [0.0, 0.25, 0.5, 0.75, 1.0]).alias("q"))
+    both = place_by(adj._tagged(r, "ref", "pr").unionByName(adj._tagged(h, "hist", "pr")), "cell")
     names = ("low", "q25", "q50", "q75", "high")
-    return q.select("cell", "month", "n", *[F.round(F.col("q")[i], 8).alias(n) for i, n in enumerate(names)])
+    out = both.groupBy("cell").applyInPandas(
+        summary, "cell bigint, month bigint, n bigint, " + ", ".join(f"{n} double" for n in names))
+    return rounded(out, 8, *names)
 
 
 @query("qdm_precipitation_monthly", _DRY + f""",

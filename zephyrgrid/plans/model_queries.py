@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.presets import VARIABLES, Bounds
+from ..functions.presets import VARIABLES
 from ..operators import downscale as ds
 from ..operators import fireweather as fw
 from ..operators import humidity, indicators, masks
-from ..sources.cube import cell_table, daily_cube, grid_side, role_cube
+from ..operators.regrid import Axis
+from ..sources.cube import cell_table, daily_cube, grid_side, role_series
 from .adjust_queries import series
 from .registry import query, rounded
 
@@ -23,12 +24,12 @@ def bounded_humidity(spark, d):
 def _downscaled(spark, d, value: str, variable: str):
     side = grid_side(spark, d)
     half = side // 2
-    roles = role_cube(spark, d, value)
-    observations = roles.where("role = 'ref'").select("cell", "ord", "month", value)
-    coarse = roles.where("role = 'sim'").groupBy("ci", "cj", "ord", "month").agg(F.avg(value).alias(value))
+    observations = role_series(spark, d, "ref", value)
+    coarse = role_series(spark, d, "sim", value).groupBy("ci", "cj", "ord", "month").agg(F.avg(value).alias(value))
     preset = VARIABLES[variable]
-    return ds.downscale(observations, coarse, cell_table(spark, d), value, half, half, 2, preset.downscale_bounds,
-                        all_invalid_value=preset.all_invalid_value)
+    fine = ds.downscale(observations, coarse, value, Axis(-60.0 + 60.0 / side, 120.0 / side, side), half, half, 2,
+                        preset.downscale_bounds, all_invalid_value=preset.all_invalid_value)
+    return fine.select((F.col("fi") * side + F.col("fj")).alias("cell"), "ord", value)
 
 
 @query("mbcnsd_temperature")

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from ..functions import physics as ph
 from ..operators import align, components, masks, regrid
 from ..operators.aggregate import weighted_annulus_series
-from ..sources.cube import cell_table, daily_cube, grid_side, role_cube, table
+from ..sources.cube import cell_table, daily_cube, grid_side, role_series, table
 from .registry import query, rounded
 
 
 def _role(spark, d, role, *columns):
-    return role_cube(spark, d, *columns).where(F.col("role") == role).drop("role")
+    return role_series(spark, d, role, *columns)
 
 
 def _places(spark, d):

@@ -8,7 +8,7 @@ from ..functions import physics as ph
 from ..operators import align, packing, qc
 from ..session import scalar_row
 from ..sources import stores
-from ..sources.cube import cell_table, daily_cube, role_cube, table
+from ..sources.cube import cell_table, daily_cube, role_series, table
 from .aggregate_queries import axis_days
 from .registry import query, rounded
 
@@ -148,7 +148,7 @@ FROM w FULL JOIN e USING (coarse, cell), n GROUP BY coarse""", "cube", "roles",
 def qc_tile(spark, d):
     written = daily_cube(spark, d, "tasm").withColumnRenamed("tasm", "tas")
     sources = cell_table(spark, d).where("code > 0").select("cell")
-    reference = role_cube(spark, d, "tas").where("role = 'ref'").join(sources, "cell", "left_semi")
+    reference = role_series(spark, d, "ref", "tas").join(sources, "cell", "left_semi")
     return qc.tile_report(written, reference, "tas", axis_days(written), "coarse", 0.75)
 
 

@@ -84,3 +84,14 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumns(
         {f.name: F.lit(row[f.name]).cast(f.dataType) for f in one_row.schema.fields}
     )
+
+
+def place_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows by ``keys`` into the session's number of shuffle partitions.
+
+    A grouped Python call on the same keys reuses this placement.  Naming the
+    number keeps adaptive execution from merging partitions whose few bytes
+    stand for much computation.
+    """
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(count, *keys)

@@ -18,7 +18,7 @@ def _touching(mask: DataFrame, side_columns: int) -> DataFrame:
     wanted = mask.select("cell", "fi", "fj", F.explode(steps).alias("s")).select(
         "cell", (F.col("fi") + F.col("s.a")).alias("fi"),
         F.pmod(F.col("fj") + F.col("s.b"), F.lit(side_columns)).alias("fj"))
-    return wanted.join(mask.select(F.col("cell").alias("other"), "fi", "fj"), ["fi", "fj"]).select("cell", "other").distinct()
+    return wanted.join(mask.select(F.col("cell").alias("other"), "fi", "fj"), ["fi", "fj"]).select("cell", "other")
 
 
 def periodic_components(mask: DataFrame, columns: int) -> DataFrame:
@@ -37,13 +37,14 @@ def periodic_components(mask: DataFrame, columns: int) -> DataFrame:
         lowest = near.groupBy("cell").agg(F.min("seen").alias("seen"))
         hooked = labels.join(lowest, "cell", "left").select(
             "cell", F.col("label").alias("old"), F.least("label", F.coalesce("seen", "label")).alias("label"))
-        hooked = cut_lineage(hooked)
+        hooked = hooked.persist()
         roots = hooked.select("label").distinct().join(
             hooked.select(F.col("cell").alias("label"), F.col("label").alias("root")), "label")
         salted = roots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         jumped = hooked.withColumn("salt", F.pmod("cell", F.lit(SALTS)).cast("int")).join(
             salted, ["label", "salt"]).select("cell", "old", F.col("root").alias("label"))
         jumped = cut_lineage(jumped)
+        hooked.unpersist()
         moved = scalar_row(jumped.agg(F.count_if(F.col("label") != F.col("old")).alias("n")))["n"]
         labels = jumped.select("cell", "label")
         if moved == 0:

@@ -12,7 +12,6 @@ from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BINS = 1024
 
@@ -51,8 +50,9 @@ def exact_quantiles(
 
     Returns ``(by, p, n, quantile)``.  Equal values collapse first, so a value
     holding a third of all rows is one row afterwards.  Every pass is one scan
-    that returns at most ``BINS`` counts per open bracket, and every bracket
-    loses at least its end bins, so the loop ends.
+    that returns at most ``BINS`` rows per open bracket: the values themselves
+    where a bracket has that few, else a histogram that narrows it.  A bracket
+    loses at least its end bins each time, so the loop ends.
     """
     spark = df.sparkSession
     label = F.lit("all") if by is None else F.col(by).cast("string")
@@ -64,14 +64,14 @@ def exact_quantiles(
     )
     try:
         summary = distinct.groupBy("g").agg(
-            F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
+            F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("k")
         ).collect()
         totals = {row.g: row.n for row in summary}
         wanted = {
             g: sorted({r for p in probabilities for r in _ranks(n, p)}) for g, n in totals.items()
         }
         found: dict[tuple[str, int], float] = {}
-        open_brackets = {(r.g, r.lo, r.hi): (0, wanted[r.g]) for r in summary}
+        open_brackets = {(r.g, r.lo, r.hi): (0, wanted[r.g], r.k) for r in summary}
         while open_brackets:
             open_brackets = _narrow(spark, distinct, open_brackets, found)
     finally:
@@ -92,43 +92,32 @@ def _ranks(n: int, p: float) -> tuple[int, int]:
 
 
 def _narrow(spark, distinct, brackets, found):
-    """One pass: settle one-value brackets, histogram the rest, return smaller brackets."""
-    active = {}
-    for (g, lo, hi), (base, ranks) in brackets.items():
-        if lo == hi:
-            found.update({(g, rank): lo for rank in ranks})
-        else:
-            active[g, lo, hi] = (base, ranks)
-    if not active:
-        return {}
-    schema = T.StructType([
-        T.StructField("g", T.StringType()), T.StructField("lo", T.DoubleType()),
-        T.StructField("hi", T.DoubleType()),
-    ])
+    """One pass over the open brackets; settles what it can and returns smaller brackets."""
+    schema = "g string, lo double, hi double, few boolean"
     # At most two brackets per probability and group: a handful of rows.
-    frame = F.broadcast(spark.createDataFrame(list(active), schema))
-    bin_of = F.least(
-        F.lit(BINS - 1),
-        F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(BINS - 1)),
-    )
+    rows = [(g, lo, hi, k <= BINS) for (g, lo, hi), (_, _, k) in brackets.items()]
+    frame = F.broadcast(spark.createDataFrame(rows, schema))
+    share = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+    bin_of = F.when(F.col("few"), F.col("v")).otherwise(F.floor(share * F.lit(BINS - 1)).cast("double"))
     histogram = (
         distinct.join(frame, "g")
         .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
         .groupBy("g", "lo", "hi", bin_of.alias("bin"))
-        .agg(F.sum("n").alias("n"), F.min("v").alias("first"), F.max("v").alias("last"))
-        .orderBy("g", "lo", "bin")
+        .agg(F.sum("n").alias("n"), F.min("v").alias("first"), F.max("v").alias("last"), F.count(F.lit(1)).alias("k"))
         .collect()
     )
     bins = defaultdict(list)
-    for row in histogram:
+    for row in sorted(histogram, key=lambda r: r["bin"]):
         bins[row.g, row.lo, row.hi].append(row)
     result = {}
-    for (g, lo, hi), (base, ranks) in active.items():
+    for (g, lo, hi), (base, ranks, _) in brackets.items():
         before = base
         for row in bins[g, lo, hi]:
             inside = [r for r in ranks if before <= r < before + row.n]
-            if inside:
-                result[g, row["first"], row["last"]] = (before, inside)
+            if inside and row["first"] == row["last"]:
+                found.update({(g, rank): row["first"] for rank in inside})
+            elif inside:
+                result[g, row["first"], row["last"]] = (before, inside, row.k)
             before += row.n
     return result
 

@@ -9,7 +9,7 @@ from ..operators import indicators as ind
 from ..operators import masks, windows
 from ..operators.quantiles import circular_day_windows, group_percentiles, sorted_array_quantiles
 from ..session import scalar_row
-from ..sources.cube import cell_table, daily_cube, grid_side, role_cube
+from ..sources.cube import cell_table, daily_cube, grid_side
 from .registry import query, rounded
 
 PROBABILITIES = [i / 10 for i in range(11)]

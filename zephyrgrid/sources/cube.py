@@ -23,10 +23,19 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+_SIDES: dict[tuple[str, str], int] = {}
+
+
 def grid_side(spark: SparkSession, directory: str) -> int:
-    """Cells along one side of the fine grid: even, at least 4, about one cell per 125 parts."""
-    parts = scalar_row(table(spark, directory, "part").agg(F.max("p_partkey").alias("m")))["m"]
-    return max(4, 2 * int(((parts + 1) / 125.0) ** 0.5 / 2))
+    """Cells along one side of the fine grid: even, at least 4, about one cell per 125 parts.
+
+    One number, asked for several times per query, so it is kept per application.
+    """
+    key = (spark.sparkContext.applicationId, directory)
+    if key not in _SIDES:
+        parts = scalar_row(table(spark, directory, "part").agg(F.max("p_partkey").alias("m")))["m"]
+        _SIDES[key] = max(4, 2 * int(((parts + 1) / 125.0) ** 0.5 / 2))
+    return _SIDES[key]
 
 
 def with_cell_keys(df: DataFrame, side: int) -> DataFrame:
@@ -76,7 +85,7 @@ _ROLE_ROWS = {
 
 
 def _daily(
-    spark: SparkSession, directory: str, role: Column | None, side: int, rows: str | None = None
+    spark: SparkSession, directory: str, side: int, rows: str | None = None
 ) -> DataFrame:
     source = table(spark, directory, "lineitem")
     items = (source if rows is None else source.where(rows)).select(
@@ -88,13 +97,9 @@ def _daily(
         F.rint(F.col("l_discount") * 100).cast("bigint").alias("dsc"),
         F.rint(F.col("l_tax") * 100).cast("bigint").alias("tx"),
         F.rint(F.col("l_extendedprice") * 100).cast("bigint").alias("cts"),
-        F.col("l_linestatus").alias("ls"),
     )
     items = cal.drop_leap_days(items)
     keys = ["cell", "year", "month", "day"]
-    if role is not None:
-        items = items.withColumn("role", role).where("role IS NOT NULL")
-        keys = ["role", *keys]
     # Map-side partial sums: however many rows share one cell and day, at most one
     # row per task and key is shuffled, so a hot cell cannot overload a reducer.
     return items.groupBy(*keys).agg(
@@ -103,36 +108,25 @@ def _daily(
     )
 
 
-def _finish(daily: DataFrame, side: int, columns: tuple[str, ...], lead: list[str]) -> DataFrame:
+def _finish(daily: DataFrame, side: int, columns: tuple[str, ...]) -> DataFrame:
     formulas = _formulas()
     chosen = columns or tuple(formulas)
     keyed = cal.with_noleap_keys(with_cell_keys(daily, side))
     return keyed.select(
-        *lead, *CELL_KEYS, *DAY_KEYS, *[formulas[name].alias(name) for name in chosen]
+        *CELL_KEYS, *DAY_KEYS, *[formulas[name].alias(name) for name in chosen]
     )
 
 
 def daily_cube(spark: SparkSession, directory: str, *columns: str) -> DataFrame:
     """The whole cube: one row per (cell, day) with the chosen variables."""
     side = grid_side(spark, directory)
-    return _finish(_daily(spark, directory, None, side), side, columns, [])
-
-
-def role_cube(spark: SparkSession, directory: str, *columns: str) -> DataFrame:
-    """Reference, historical and simulation series, told apart by ``role``."""
-    role = F.expr(
-        "CASE WHEN ls = 'O' AND year <= 1998 THEN 'ref' "
-        "WHEN ls = 'F' AND year <= 1998 THEN 'hist' "
-        "WHEN ls = 'F' AND year >= 1999 THEN 'sim' END"
-    )
-    side = grid_side(spark, directory)
-    return _finish(_daily(spark, directory, role, side), side, columns, ["role"])
+    return _finish(_daily(spark, directory, side), side, columns)
 
 
 def role_series(spark: SparkSession, directory: str, role: str, *columns: str) -> DataFrame:
     """One of the three series alone; its rows are chosen in the scan."""
     side = grid_side(spark, directory)
-    return _finish(_daily(spark, directory, None, side, _ROLE_ROWS[role]), side, columns, [])
+    return _finish(_daily(spark, directory, side, _ROLE_ROWS[role]), side, columns)
 
 
 def cell_table(spark: SparkSession, directory: str) -> DataFrame:

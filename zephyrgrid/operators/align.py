@@ -169,9 +169,14 @@ def history_gaps(history: DataFrame, simulation: DataFrame, keys: list[str]) ->
 
 
 def concatenate_regions(west: DataFrame, east: DataFrame, lon: str, row: str) -> DataFrame:
-    """Stack two regions with signed longitudes and give every column its position."""
+    """Stack two regions with signed longitudes and give every column its position.
+
+    Positions are counted on the axis, one row per grid column, and joined back.
+    """
     both = west.unionByName(east).withColumn(lon, ph.signed_longitude(F.col(lon)))
-    return both.withColumn("position", F.dense_rank().over(Window.partitionBy(row).orderBy(lon)) - 1)
+    axis = both.select(row, lon).distinct().withColumn(
+        "position", F.row_number().over(Window.partitionBy(row).orderBy(lon)) - 1)
+    return both.join(axis, [row, lon])
 
 
 def pending(required: DataFrame, finished: DataFrame, keys: list[str]) -> DataFrame:

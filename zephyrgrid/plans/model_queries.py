@@ -135,3 +135,41 @@ def annual_fwi_end_to_end(spark, d):
 def fire_weather_report(spark, d):
     support = cell_table(spark, d).select("cell", F.col("land").alias("support"))
     return rounded(fw.fire_report(fw.daily_fire_weather(_weather(spark, d)), support), 6, "minimum")
+
+
+@query("downscale_end_to_end")
+def downscale_end_to_end(spark, d):
+    """Adjust the coarse simulation, downscale it, control values and mask: the whole chain."""
+    from ..operators.regrid import Axis as Line
+    from .pipeline import adjust_and_downscale
+
+    side = grid_side(spark, d)
+    fine = (Line(-60.0 + 60.0 / side, 120.0 / side, side), Line(180.0 / side, 360.0 / side, side, True))
+
+    def coarse(role):
+        return role_series(spark, d, role, "tas").groupBy("ci", "cj", "ord", "doy", "month").agg(F.avg("tas").alias("tas"))
+
+    _, spread = adjust_and_downscale(
+        role_series(spark, d, "ref", "tas"), coarse("hist"), coarse("sim"), "tas", "tas", fine, side // 2, side // 2, 2)
+    land = cell_table(spark, d).select("cell", F.col("land").alias("support"))
+    out = masks.apply_support(masks.value_controls(spread), land, "tas")
+    return rounded(out.select("cell", "ord", "tas"), 5, "tas")
+
+
+@query("preprocess_end_to_end")
+def preprocess_end_to_end(spark, d):
+    """Raw daily precipitation to the next coarser grid and the 365-day calendar."""
+    from ..operators.regrid import Axis as Line
+    from ..sources.cube import with_cell_keys, table
+    from .pipeline import preprocess
+
+    side = grid_side(spark, d)
+    n = side - 1
+    source = (Line(-60.0 + 60.0 / side, 120.0 / side, side), Line(180.0 / side, 360.0 / side, side, True))
+    target = (Line(-60.0 + 60.0 / n, 120.0 / n, n), Line(180.0 / n, 360.0 / n, n, True))
+    raw = table(spark, d, "lineitem").groupBy(
+        F.expr(f"l_partkey % {side * side}").alias("cell"), F.year("l_shipdate").cast("bigint").alias("year"),
+        F.month("l_shipdate").cast("bigint").alias("month"), F.dayofmonth("l_shipdate").cast("bigint").alias("day"),
+    ).agg((F.sum(F.rint(F.col("l_tax") * 100).cast("bigint")) / F.count(F.lit(1))).alias("value"))
+    out = preprocess(with_cell_keys(raw, side), "pr", "mm d-1", "proleptic_gregorian", source, target)
+    return out.withColumn("value", F.round(F.col("value") * 86400, 4))

@@ -11,7 +11,7 @@ from zephyrgrid.functions.presets import Bounds
 from zephyrgrid.plans import pipeline
 
 ROWS, COLUMNS, FACTOR = 3, 4, 2
-FINE = (Axis(-45.0, 30.0, ROWS * FACTOR), Axis(22.5, 45.0, COLUMNS * FACTOR, True))
+FINE = (Axis(-37.5, 15.0, ROWS * FACTOR), Axis(22.5, 45.0, COLUMNS * FACTOR, True))
 
 
 def cube(spark, rows, columns, first_year, last_year, seed, shift, missing=(), names=("fi", "fj")):

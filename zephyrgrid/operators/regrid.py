@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import place_by
@@ -78,7 +78,7 @@ def overlap_weights(spark: SparkSession, source: Axis, target: Axis, names: tupl
 
 def apply_weights(df: DataFrame, lat_weights: DataFrame, lon_weights: DataFrame, value: str,
                   keys: tuple[str, ...], normalize: bool) -> DataFrame:
-    """Separable weighted sum; a target with any missing source value is missing.
+    """Separable weighted sum; a target with any missing or absent source value is missing.
 
     The latitude pass folds first, so the wider join meets fewer rows.
     """
@@ -86,8 +86,9 @@ def apply_weights(df: DataFrame, lat_weights: DataFrame, lon_weights: DataFrame,
         v = F.col(value)
         total = F.sum(F.col("w") * v)
         mean = total / F.sum("w") if normalize else total
-        complete = F.count(v) == F.count(F.lit(1))
-        return rows.join(weights, source).groupBy(target, *keep).agg(F.when(complete, mean).alias(value))
+        wanted = F.count(F.lit(1)).over(Window.partitionBy(target))
+        complete = F.count(v) == F.max("wanted")
+        return rows.join(weights.withColumn("wanted", wanted), source).groupBy(target, *keep).agg(F.when(complete, mean).alias(value))
 
     rows = fold(df.select("fi", "fj", *keys, value), lat_weights, "fi", "ti", ["fj", *keys])
     return fold(rows, lon_weights, "fj", "tj", ["ti", *keys])

@@ -312,8 +312,10 @@ la AS (SELECT k AS ti, greatest(0, least(side - 1, (-60 + (k + 0.5) * 120.0::DOU
 lw AS (SELECT ti, floor(p)::BIGINT AS fi, 1 - (p - floor(p)) AS w FROM la UNION ALL SELECT ti, floor(p)::BIGINT + 1, p - floor(p) FROM la WHERE p > floor(p)),
 lo AS (SELECT k AS tj, ((k + 0.5) * 360.0::DOUBLE / (side + 2) - 180.0::DOUBLE / side) / (360.0::DOUBLE / side) AS p, side FROM t),
 ow AS (SELECT tj, (floor(p)::BIGINT + side) % side AS fj, 1 - (p - floor(p)) AS w FROM lo UNION ALL SELECT tj, (floor(p)::BIGINT + 1 + side) % side, p - floor(p) FROM lo WHERE p > floor(p)),
-s AS (SELECT fi, fj, year, month, avg(tas) AS v FROM cube GROUP BY ALL)
-SELECT ti, tj, year, month, round(sum(lw.w * ow.w * v), 6) AS v FROM s JOIN lw USING (fi) JOIN ow USING (fj) GROUP BY ALL""", "cube")
+s AS (SELECT fi, fj, year, month, avg(tas) AS v FROM cube GROUP BY ALL),
+nl AS (SELECT ti, count(*) AS a FROM lw GROUP BY ti), no AS (SELECT tj, count(*) AS b FROM ow GROUP BY tj)
+SELECT ti, tj, year, month, round(CASE WHEN count(v) = any_value(a * b) THEN sum(lw.w * ow.w * v) END, 6) AS v
+FROM s JOIN lw USING (fi) JOIN ow USING (fj) JOIN nl USING (ti) JOIN no USING (tj) GROUP BY ti, tj, year, month""", "cube")
 def linear_regrid(spark, d):
     side = grid_side(spark, d)
     source = _axes(side)
@@ -331,8 +333,10 @@ lw AS (SELECT k AS ti, s AS fi, sin(radians(least(-60 + (k + 1) * 120.0::DOUBLE
   WHERE least((k + 1) * 120.0::DOUBLE / n, (s + 1) * 120.0::DOUBLE / t.side) > greatest(k * 120.0::DOUBLE / n, s * 120.0::DOUBLE / t.side) + 1e-9),
 ow AS (SELECT k AS tj, s AS fj, least((k + 1) * 360.0::DOUBLE / n, (s + 1) * 360.0::DOUBLE / t.side) - greatest(k * 360.0::DOUBLE / n, s * 360.0::DOUBLE / t.side) AS w FROM t, sx
   WHERE least((k + 1) * 360.0::DOUBLE / n, (s + 1) * 360.0::DOUBLE / t.side) > greatest(k * 360.0::DOUBLE / n, s * 360.0::DOUBLE / t.side) + 1e-9),
-m AS (SELECT fi, fj, year, month, avg(pr) AS v FROM cube GROUP BY ALL)
-SELECT ti, tj, year, month, round(sum(lw.w * ow.w * v) / sum(lw.w * ow.w), 9) AS v FROM m JOIN lw USING (fi) JOIN ow USING (fj) GROUP BY ALL""", "cube")
+m AS (SELECT fi, fj, year, month, avg(pr) AS v FROM cube GROUP BY ALL),
+nl AS (SELECT ti, count(*) AS a FROM lw GROUP BY ti), no AS (SELECT tj, count(*) AS b FROM ow GROUP BY tj)
+SELECT ti, tj, year, month, round(CASE WHEN count(v) = any_value(a * b) THEN sum(lw.w * ow.w * v) / sum(lw.w * ow.w) END, 9) AS v
+FROM m JOIN lw USING (fi) JOIN ow USING (fj) JOIN nl USING (ti) JOIN no USING (tj) GROUP BY ti, tj, year, month""", "cube")
 def conservative_regrid(spark, d):
     side = grid_side(spark, d)
     n = side - 1

@@ -15,7 +15,15 @@ from zephyrgrid.session import build_session
 
 def main() -> None:
     directory = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
-    spark = build_session("oracle", "local[8]", 8, {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
+    if os.environ.get("PLAIN_SESSION"):
+        from pyspark.sql import SparkSession
+
+        # A session nobody prepared: default settings and another time zone.
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "America/New_York")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+    else:
+        spark = build_session("oracle", "local[8]", 8, {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle.connect(directory)
     queries, sql = entry.queries(), entry.oracle_sql()

@@ -12,6 +12,7 @@ from ..operators.humidity import linear_quantiles
 from ..session import place_by, shared_directory
 from ..sources.cube import role_series
 from .registry import query, rounded
+from .scalar_queries import TOP_SQL
 
 _NODES = "[" + ", ".join(f"{n:.2f}" for n in adj.quantile_nodes(50)) + "]"
 
@@ -150,9 +151,18 @@ def preset_snow_ratio(spark, d):
     return rounded(out.select("cell", "ord", "adjusted"), 6, "adjusted")
 
 
-@query("preset_shortwave")
+_KT = "least(greatest(CASE WHEN ra <= 0 THEN 0 ELSE rsds / ra END, 0.0001::DOUBLE), 0.9999::DOUBLE)"
+
+
+@query("preset_shortwave", TOP_SQL.replace("FROM cube)", "FROM roles)") + ",\n" + _pool(f"ln({_KT} / (1 - {_KT}))").replace("FROM roles)", "FROM top)", 1)
+       + _RANK + """,
+a AS (SELECT cell, ord, 1 / (1 + exp(-(v + (rq[i] - hq[i])))) AS x FROM t LEFT JOIN g USING (cell, doy)),
+c AS (SELECT cell, ord, CASE WHEN x >= 0.0001 THEN x ELSE 0 END AS x FROM a),
+e AS (SELECT cell, ord, CASE WHEN x <= 0.9999 THEN x ELSE 1 END AS x FROM c)
+SELECT cell, ord, round(ra * CASE WHEN k >= 0.9999 THEN 1 WHEN k > 0.0001 THEN x ELSE 0 END, 6) AS adjusted
+FROM e JOIN (SELECT cell, ord, ra, CASE WHEN ra <= 0 THEN 0 ELSE rsds / ra END AS k FROM top WHERE role = 'sim') USING (cell, ord)""", "roles")
 def preset_shortwave(spark, d):
-    """Adjusted in clearness-index space; checked against a brute-force kernel in the tests."""
+    """Adjusted in clearness-index space."""
     out = adj.adjust_variable(*series(spark, d, "rsds"), "rsds", "rsds")
     return rounded(out.select("cell", "ord", "adjusted"), 6, "adjusted")
 

@@ -9,9 +9,10 @@ from ..operators import downscale as ds
 from ..operators import fireweather as fw
 from ..operators import humidity, indicators, masks
 from ..operators.regrid import Axis
-from ..sources.cube import cell_table, daily_cube, grid_side, role_series
+from ..sources.cube import cell_table, daily_cube, grid_side, role_series, table, with_cell_keys
 from .adjust_queries import series
 from .registry import query, rounded
+from .spatial_queries import OVERLAP_SQL
 
 
 @query("bounded_humidity")
@@ -53,18 +54,22 @@ def mbcnsd_controlled(spark, d):
 _LE = "[" + ", ".join("[" + ", ".join(map(str, row)) + "]" for row in fw.DAY_LENGTH.tolist()) + "]::DOUBLE[][]"
 _LF = "[" + ", ".join("[" + ", ".join(map(str, row)) + "]" for row in fw.DRYING.tolist()) + "]::DOUBLE[][]"
 
-_CODES = f"""w AS MATERIALIZED (
-  SELECT cell, row_number() OVER (PARTITION BY cell ORDER BY ord) AS n, ord, tas - 273.15::DOUBLE AS t, pr AS x, wind * 3.6::DOUBLE AS w,
-    hurs AS h,
-    ({_LE})[CASE WHEN lat < -30 THEN 1 WHEN lat < -15 THEN 2 WHEN lat < 15 THEN 3 WHEN lat < 30 THEN 4 ELSE 5 END][month] AS le,
-    ({_LF})[CASE WHEN lat < -15 THEN 1 WHEN lat < 15 THEN 2 ELSE 3 END][month] AS lf
-  FROM cube),
-r(cell, n, ord, w, f, p, d) AS (
-  SELECT DISTINCT cell, 0::BIGINT, 0::BIGINT, 0::DOUBLE, 85::DOUBLE, 6::DOUBLE, 15::DOUBLE FROM w
-  UNION ALL
-  SELECT cell, n, ord, w, greatest(0, least(101, 59.5 * (250 - m3) / (147.2 + m3))),
-    greatest(0, p2 + CASE WHEN t < -1.1 THEN 0 ELSE 1.894 * (t + 1.1) * (100 - h) * le * 0.0001 END),
-    d2 + greatest(0, (0.36 * (greatest(t, -2.8) + 2.8) + lf) / 2)
+_WEATHER = f"""w AS MATERIALIZED (
+  SELECT *, min(t) OVER back > 12 AS warm, max(t) OVER back < 5 AS cold FROM (
+    SELECT cell, row_number() OVER (PARTITION BY cell ORDER BY ord) AS n, ord, tas - 273.15::DOUBLE AS t, pr AS x,
+      wind * 3.6::DOUBLE AS w, hurs AS h,
+      ({_LE})[CASE WHEN lat < -30 THEN 1 WHEN lat < -15 THEN 2 WHEN lat < 15 THEN 3 WHEN lat < 30 THEN 4 ELSE 5 END][month] AS le,
+      ({_LF})[CASE WHEN lat < -15 THEN 1 WHEN lat < 15 THEN 2 ELSE 3 END][month] AS lf
+    FROM cube)
+  WINDOW back AS (PARTITION BY cell ORDER BY n ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))"""
+
+
+def _day_step(inner: str) -> str:
+    """One day of the three codes: adds f3, p3, d3 to rows with yesterday's f, p, d and today's weather."""
+    return f"""(
+  SELECT *, greatest(0, least(101, 59.5 * (250 - m3) / (147.2 + m3))) AS f3,
+    greatest(0, p2 + CASE WHEN t < -1.1 THEN 0 ELSE 1.894 * (t + 1.1) * (100 - h) * le * 0.0001 END) AS p3,
+    d2 + greatest(0, (0.36 * (greatest(t, -2.8) + 2.8) + lf) / 2) AS d3
   FROM (
     SELECT *, CASE WHEN m2 > ed THEN ed + (m2 - ed) * power(10, -kd) WHEN m2 < ed AND m2 < ew THEN ew - (ew - m2) * power(10, -kw) ELSE m2 END AS m3,
       CASE WHEN x > 1.5 THEN greatest(0, 43.43 * (5.6348 - ln(20 + 280 / exp(0.023 * p) + 1000 * (0.92 * x - 1.27)
@@ -78,15 +83,47 @@ r(cell, n, ord, w, f, p, d) AS (
         (0.424 * (1 - power(h / 100, 1.7)) + 0.0694 * sqrt(w) * (1 - power(h / 100, 8))) * 0.581 * exp(0.0365 * t) AS kd,
         (0.424 * (1 - power((100 - h) / 100, 1.7)) + 0.0694 * sqrt(w) * (1 - power((100 - h) / 100, 8))) * 0.581 * exp(0.0365 * t) AS kw,
         CASE WHEN p <= 33 THEN 100 / (0.5 + 0.3 * p) WHEN p <= 65 THEN 14 - 1.3 * ln(p) ELSE 6.2 * ln(p) - 17.2 END AS b
-      FROM (
-        SELECT w.cell, w.n, w.ord, w.t, w.x, w.w, w.h, w.le, w.lf, r.p, r.d, 147.2 * (101 - r.f) / (59.5 + r.f) AS m
-        FROM r JOIN w ON w.cell = r.cell AND w.n = r.n + 1)))),
+      FROM (SELECT *, 147.2 * (101 - f) / (59.5 + f) AS m FROM {inner}))))"""
+
+
+_WALK = _WEATHER + """,
+r(cell, n, ord, w, f, p, d) AS (
+  SELECT DISTINCT cell, 0::BIGINT, 0::BIGINT, 0::DOUBLE, 85::DOUBLE, 6::DOUBLE, 15::DOUBLE FROM w
+  UNION ALL
+  SELECT cell, n, ord, w, f3, p3, d3 FROM """ + _day_step(
+    "(SELECT w.*, r.f, r.p, r.d FROM r JOIN w ON w.cell = r.cell AND w.n = r.n + 1)") + ")"
+
+# Three warm days start a season, three cold days end it, the drought code overwinters,
+# and cells without any season take the walk above.
+_SEASON = _WALK + """,
+z0(cell, n, ord, w, act, f, p, d, au, wp) AS (
+  SELECT DISTINCT cell, 0::BIGINT, 0::BIGINT, 0::DOUBLE, FALSE, 85::DOUBLE, 6::DOUBLE, 15::DOUBLE, NULL::DOUBLE, 0::DOUBLE FROM w
+  UNION ALL
+  SELECT cell, n, ord, w, act, CASE WHEN act THEN f3 ELSE f END, CASE WHEN act THEN p3 ELSE p END, CASE WHEN act THEN d3 ELSE d END,
+    CASE WHEN was AND NOT act THEN d WHEN act AND NOT was THEN NULL ELSE au END,
+    CASE WHEN was AND NOT act THEN x WHEN NOT act THEN wp + x ELSE wp END
+  FROM """ + _day_step("""(
+    SELECT * EXCLUDE (f, p, d), CASE WHEN act AND NOT was THEN 85 ELSE f END AS f, CASE WHEN act AND NOT was THEN 6 ELSE p END AS p,
+      CASE WHEN act AND NOT was THEN coalesce(greatest(400 * ln(800 / (0.75 * 800 * exp(-au / 400) + 0.75 * 3.94 * wp)), 15), 15) ELSE d END AS d
+    FROM (SELECT w.*, z0.act AS was, w.n >= 4 AND (z0.act OR w.warm) AND NOT w.cold AS act, z0.f, z0.p, z0.d, z0.au, z0.wp
+      FROM z0 JOIN w ON w.cell = z0.cell AND w.n = z0.n + 1))""") + """),
+ever AS (SELECT cell, bool_or(act) AS ever FROM z0 GROUP BY cell),
+codes AS (
+  SELECT cell, ord, w, FALSE AS always_on, CASE WHEN act THEN f END AS f, CASE WHEN act THEN p END AS p, CASE WHEN act THEN d END AS d
+  FROM z0 JOIN ever USING (cell) WHERE n > 0 AND ever
+  UNION ALL SELECT cell, ord, w, TRUE, f, p, d FROM r JOIN ever USING (cell) WHERE n > 0 AND NOT ever)"""
+
+_FINAL = """,
 i AS (SELECT *, 19.1152 * exp(147.2 * (101 - f) / (59.5 + f) * -0.1386) * (1 + power(147.2 * (101 - f) / (59.5 + f), 5.31) / 49300000) * exp(0.05039 * w) AS isi,
-  greatest(0, CASE WHEN p + 0.4 * d = 0 THEN 0 WHEN p <= 0.4 * d THEN 0.8 * d * p / (p + 0.4 * d)
-    ELSE p - (1 - 0.8 * d / (p + 0.4 * d)) * (0.92 + power(0.0114 * p, 1.7)) END) AS bui FROM r WHERE n > 0),
-z AS (SELECT *, 0.1 * isi * CASE WHEN bui <= 80 THEN 0.626 * power(bui, 0.809) + 2 ELSE 1000 / (25 + 108.64 / exp(0.023 * bui)) END AS bb FROM i)
-SELECT cell, ord, round(f, 4) AS ffmc, round(p, 4) AS dmc, round(d, 4) AS dc, round(isi, 4) AS isi, round(bui, 4) AS bui,
-  round(CASE WHEN bb <= 1 THEN bb ELSE exp(2.72 * power(0.434 * ln(bb), 0.647)) END, 4) AS fwi FROM z"""
+  CASE WHEN p IS NOT NULL THEN greatest(0, CASE WHEN p + 0.4 * d = 0 THEN 0 WHEN p <= 0.4 * d THEN 0.8 * d * p / (p + 0.4 * d)
+    ELSE p - (1 - 0.8 * d / (p + 0.4 * d)) * (0.92 + power(0.0114 * p, 1.7)) END) END AS bui FROM codes),
+z AS (SELECT *, 0.1 * isi * CASE WHEN bui <= 80 THEN 0.626 * power(bui, 0.809) + 2 ELSE 1000 / (25 + 108.64 / exp(0.023 * bui)) END AS bb FROM i),
+fire AS (SELECT cell, ord, always_on, f AS ffmc, p AS dmc, d AS dc, isi, bui,
+  CASE WHEN bb <= 1 THEN bb ELSE exp(2.72 * power(0.434 * ln(bb), 0.647)) END AS fwi FROM z)"""
+
+_ROUNDED = ", ".join(f"round({n}, 4) AS {n}" for n in ("ffmc", "dmc", "dc", "isi", "bui", "fwi"))
+_ALWAYS = _WALK + ",\ncodes AS (SELECT cell, ord, w, TRUE AS always_on, f, p, d FROM r WHERE n > 0)" + _FINAL
+_DAILY = _SEASON + _FINAL
 
 _INDICES = ("ffmc", "dmc", "dc", "isi", "bui", "fwi")
 
@@ -95,43 +132,63 @@ def _weather(spark, d):
     return daily_cube(spark, d, "tas", "hurs", "pr", "wind")
 
 
-@query("cffwis_always_on", _CODES, "cube", recursive=True)
+@query("cffwis_always_on", _ALWAYS + f"SELECT cell, ord, {_ROUNDED} FROM fire", "cube", recursive=True)
 def cffwis_always_on(spark, d):
     out = fw.daily_fire_weather(_weather(spark, d), seasonal=False)
     return rounded(out.select("cell", "ord", *_INDICES), 4, *_INDICES)
 
 
-@query("cffwis_daily")
+@query("cffwis_daily", _DAILY + f"SELECT cell, ord, always_on, {_ROUNDED} FROM fire", "cube", recursive=True)
 def cffwis_daily(spark, d):
     """With season handling and overwintering; kernels are tested on published values."""
     out = fw.daily_fire_weather(_weather(spark, d))
     return rounded(out.select("cell", "ord", "always_on", *_INDICES), 4, *_INDICES)
 
 
-@query("cffwis_history_continuity")
+@query("cffwis_history_continuity", _DAILY + f"SELECT cell, ord, always_on, {_ROUNDED} FROM fire WHERE ord >= 29 * 365",
+       "cube", recursive=True)
 def cffwis_history_continuity(spark, d):
     """Projection years only, but with the history in front of them."""
     out = fw.daily_fire_weather(_weather(spark, d)).where(F.col("ord") >= (1999 - 1970) * 365)
     return rounded(out.select("cell", "ord", "always_on", *_INDICES), 4, *_INDICES)
 
 
-@query("annual_fwi_end_to_end")
+@query("annual_fwi_end_to_end", _DAILY + """,
+s AS (SELECT cell, ord, 1970 + ord // 365 AS year, CASE WHEN ord < 29 * 365 THEN 'history' ELSE 'future' END AS period, land,
+  round(CASE WHEN land THEN fwi END, 6) AS v FROM fire JOIN (SELECT cell, land FROM cells) USING (cell)),
+lim AS (SELECT cell, quantile_cont(v, 0.95) AS q, (min(v) + max(v)) / 2 AS m FROM s WHERE year BETWEEN 1995 AND 1998 GROUP BY cell),
+l2 AS (SELECT cell, round(CASE WHEN land THEN coalesce(q, 0) ELSE q END, 6) AS q, round(CASE WHEN land THEN coalesce(m, 0) ELSE m END, 6) AS m
+  FROM (SELECT cell, land FROM cells) LEFT JOIN lim USING (cell)),
+k AS (SELECT *, CASE WHEN count(*) OVER b = 90 THEN sum(coalesce(v, 0)) OVER b / 90 END AS season FROM s
+  WINDOW b AS (PARTITION BY cell, period ORDER BY ord ROWS BETWEEN 45 PRECEDING AND 44 FOLLOWING)),
+y AS (SELECT cell, period, year, any_value(land) AS land, count(v) AS n, max(v) AS a, count(*) FILTER (v > q) AS b, count(*) FILTER (v > m) AS c, max(season) AS e
+  FROM k LEFT JOIN l2 USING (cell) GROUP BY ALL)
+SELECT cell, period, year, round(CASE WHEN land THEN coalesce(a, 0) END, 4) AS fwixx,
+  CASE WHEN land THEN CASE WHEN n > 0 THEN b ELSE 0 END::DOUBLE END AS fwixd, CASE WHEN land THEN CASE WHEN n > 0 THEN c ELSE 0 END::DOUBLE END AS fwils,
+  round(CASE WHEN land THEN CASE WHEN n > 0 THEN coalesce(e, 0) ELSE 0 END END, 4) AS fwisa FROM y""", "cube", "cells", recursive=True)
 def annual_fwi_end_to_end(spark, d):
     """Daily index, reference thresholds and annual indicators on supported land, gaps as 0."""
     daily = fw.daily_fire_weather(_weather(spark, d)).select("cell", "ord", "fwi")
     daily = daily.withColumn("year", (F.floor(F.col("ord") / 365) + 1970).cast("bigint"))
     support = cell_table(spark, d).select("cell", F.col("land").alias("support"))
-    daily = masks.apply_support(daily, support, "fwi")
+    daily = masks.apply_support(daily, support, "fwi").withColumn("fwi", F.round("fwi", 6))
     period = F.when(F.col("year") <= 1998, "history").otherwise("future")
     daily = daily.withColumn("period", period)
     limits = indicators.season_thresholds(daily.where("year BETWEEN 1995 AND 1998"), "fwi", support)
+    limits = limits.withColumns({n: F.round(n, 6) for n in ("q95", "midrange")})
     annual = indicators.annual_season_indicators(daily, "fwi", limits, ("cell", "period"))
     filled = annual.join(support, "cell").withColumns({
-        n: masks.fill_inside(F.col(n), F.col("support")) for n in ("fwixx", "fwixd", "fwils", "fwisa")})
+        n: masks.fill_inside(F.col(n).cast("double"), F.col("support")) for n in ("fwixx", "fwixd", "fwils", "fwisa")})
     return rounded(filled.drop("support"), 4, "fwixx", "fwisa")
 
 
-@query("fire_weather_report")
+@query("fire_weather_report", _DAILY + """,
+p AS (SELECT cell, count(ffmc) AS a, count(dmc) AS b, count(dc) AS c, count(isi) AS e, count(bui) AS g, count(fwi) AS h,
+  least(min(ffmc), min(dmc), min(dc), min(isi), min(bui), min(fwi)) AS low FROM fire GROUP BY cell)
+SELECT count(*) FILTER (least(coalesce(a, 0), coalesce(b, 0), coalesce(c, 0), coalesce(e, 0), coalesce(g, 0), coalesce(h, 0)) = 0) AS cells_without_value,
+  round(min(low), 6) AS minimum, FALSE AS has_infinite,
+  count(*) FILTER (least(coalesce(a, 0), coalesce(b, 0), coalesce(c, 0), coalesce(e, 0), coalesce(g, 0), coalesce(h, 0)) = 0) = 0 AND min(low) >= -1e-9 AS valid
+FROM (SELECT cell FROM cells WHERE land) LEFT JOIN p USING (cell)""", "cube", "cells", recursive=True)
 def fire_weather_report(spark, d):
     support = cell_table(spark, d).select("cell", F.col("land").alias("support"))
     return rounded(fw.fire_report(fw.daily_fire_weather(_weather(spark, d)), support), 6, "minimum")
@@ -140,11 +197,10 @@ def fire_weather_report(spark, d):
 @query("downscale_end_to_end")
 def downscale_end_to_end(spark, d):
     """Adjust the coarse simulation, downscale it, control values and mask: the whole chain."""
-    from ..operators.regrid import Axis as Line
     from .pipeline import adjust_and_downscale
 
     side = grid_side(spark, d)
-    fine = (Line(-60.0 + 60.0 / side, 120.0 / side, side), Line(180.0 / side, 360.0 / side, side, True))
+    fine = (Axis(-60.0 + 60.0 / side, 120.0 / side, side), Axis(180.0 / side, 360.0 / side, side, True))
 
     def coarse(role):
         return role_series(spark, d, role, "tas").groupBy("ci", "cj", "ord", "doy", "month").agg(F.avg("tas").alias("tas"))
@@ -156,20 +212,29 @@ def downscale_end_to_end(spark, d):
     return rounded(out.select("cell", "ord", "tas"), 5, "tas")
 
 
-@query("preprocess_end_to_end")
+@query("preprocess_end_to_end", OVERLAP_SQL + """,
+raw AS (SELECT (l_partkey % (side * side)) // side AS fi, l_partkey % side AS fj, CAST(l_shipdate AS DATE) AS dt,
+  sum(round(l_tax * 100)::BIGINT)::DOUBLE / count(*) / 86400 AS v FROM lineitem, grid GROUP BY ALL),
+nl AS (SELECT ti, count(*) AS a FROM lw GROUP BY ti), no AS (SELECT tj, count(*) AS b FROM ow GROUP BY tj),
+reg AS (SELECT ti, tj, dt, CASE WHEN count(v) = any_value(a * b) THEN sum(lw.w * ow.w * v) / sum(lw.w * ow.w) END AS v
+  FROM raw JOIN lw USING (fi) JOIN ow USING (fj) JOIN nl USING (ti) JOIN no USING (tj) GROUP BY ti, tj, dt),
+nx AS (SELECT *, lead(v) OVER o AS nv, lead(dt) OVER o AS nd FROM reg WINDOW o AS (PARTITION BY ti, tj ORDER BY dt)),
+mv AS (SELECT ti, tj, dt, CASE WHEN month(dt) = 2 AND day(dt) = 28 AND nd = dt + 1 AND day(nd) = 29 THEN v + nv ELSE v END AS v
+  FROM nx WHERE NOT (month(dt) = 2 AND day(dt) = 29)),
+k AS (SELECT *, dayofyear(make_date(2001, month(dt), day(dt)))::BIGINT AS doy FROM mv)
+SELECT ti * (side - 1) + tj AS cell, ti AS fi, tj AS fj, year(dt) AS year, month(dt) AS month, doy, (year(dt) - 1970) * 365 + doy - 1 AS ord,
+  round(v::FLOAT::DOUBLE * 86400, 3) AS value FROM k, grid""", "grid")
 def preprocess_end_to_end(spark, d):
     """Raw daily precipitation to the next coarser grid and the 365-day calendar."""
-    from ..operators.regrid import Axis as Line
-    from ..sources.cube import with_cell_keys, table
     from .pipeline import preprocess
 
     side = grid_side(spark, d)
     n = side - 1
-    source = (Line(-60.0 + 60.0 / side, 120.0 / side, side), Line(180.0 / side, 360.0 / side, side, True))
-    target = (Line(-60.0 + 60.0 / n, 120.0 / n, n), Line(180.0 / n, 360.0 / n, n, True))
+    source = (Axis(-60.0 + 60.0 / side, 120.0 / side, side), Axis(180.0 / side, 360.0 / side, side, True))
+    target = (Axis(-60.0 + 60.0 / n, 120.0 / n, n), Axis(180.0 / n, 360.0 / n, n, True))
     raw = table(spark, d, "lineitem").groupBy(
         F.expr(f"l_partkey % {side * side}").alias("cell"), F.year("l_shipdate").cast("bigint").alias("year"),
         F.month("l_shipdate").cast("bigint").alias("month"), F.dayofmonth("l_shipdate").cast("bigint").alias("day"),
     ).agg((F.sum(F.rint(F.col("l_tax") * 100).cast("bigint")) / F.count(F.lit(1))).alias("value"))
     out = preprocess(with_cell_keys(raw, side), "pr", "mm d-1", "proleptic_gregorian", source, target)
-    return out.withColumn("value", F.round(F.col("value") * 86400, 4))
+    return out.withColumn("value", F.round(F.col("value").cast("double") * 86400, 3))

@@ -87,7 +87,7 @@ def logit_roundtrip(spark, d):
     return rounded(z.withColumn("back", ph.from_logit(F.col("z"), bounds)), 6, "z", "back")
 
 
-_TOP_SQL = """geo AS (
+TOP_SQL = """geo AS (
   SELECT *, 2 * pi() * (doy - 1) / 365.0 AS a, radians(lat) AS phi FROM cube),
 sun AS (
   SELECT *, 0.006918 - 0.399912*cos(a) + 0.070257*sin(a) - 0.006758*cos(2*a) + 0.000907*sin(2*a)
@@ -99,7 +99,7 @@ top AS (
   FROM (SELECT *, acos(greatest(-1, least(1, -tan(phi) * tan(dec)))) AS h FROM sun))"""
 
 
-@query("clearness_index", _TOP_SQL + """
+@query("clearness_index", TOP_SQL + """
 SELECT cell, ord, round(ra, 4) AS toa, round(rsds / ra, 8) AS kt,
   round(rsds / ra * ra, 4) AS back FROM top""", "cube")
 def clearness_index(spark, d):

@@ -166,7 +166,7 @@ x AS (SELECT cell, CAST(round_even(12 - (((lon + 180) % 360 + 360) % 360 - 180)
 SELECT cell, k AS day_index, h.hour, v FROM x JOIN h ON h.hour = date_diff('day', DATE '1970-01-01', a) * 24 + k * 24 + o""", "cells")
 def hourly_assignment(spark, d):
     events = table(spark, d, "events")
-    hourly = events.groupBy(F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600).cast("bigint").alias("hour")).agg(
+    hourly = events.groupBy((F.unix_date(F.to_date("ts")).cast("bigint") * 24 + F.hour("ts")).alias("hour")).agg(
         (F.sum(F.round(F.col("value") * 100).cast("bigint")) / F.count(F.lit(1)) / 100).alias("v"))
     from ..session import attach_row
 
@@ -325,14 +325,16 @@ def linear_regrid(spark, d):
     return rounded(regrid.linear_regrid(monthly, source, target, "v", ("year", "month")), 6, "v")
 
 
-@query("conservative_regrid", """
-t AS (SELECT unnest(range(0, side - 1)) AS k, side, side - 1 AS n FROM grid),
+OVERLAP_SQL = """t AS (SELECT unnest(range(0, side - 1)) AS k, side, side - 1 AS n FROM grid),
 sx AS (SELECT unnest(range(0, side)) AS s, side FROM grid),
 lw AS (SELECT k AS ti, s AS fi, sin(radians(least(-60 + (k + 1) * 120.0::DOUBLE / n, -60 + (s + 1) * 120.0::DOUBLE / t.side)))
     - sin(radians(greatest(-60 + k * 120.0::DOUBLE / n, -60 + s * 120.0::DOUBLE / t.side))) AS w FROM t, sx
   WHERE least((k + 1) * 120.0::DOUBLE / n, (s + 1) * 120.0::DOUBLE / t.side) > greatest(k * 120.0::DOUBLE / n, s * 120.0::DOUBLE / t.side) + 1e-9),
 ow AS (SELECT k AS tj, s AS fj, least((k + 1) * 360.0::DOUBLE / n, (s + 1) * 360.0::DOUBLE / t.side) - greatest(k * 360.0::DOUBLE / n, s * 360.0::DOUBLE / t.side) AS w FROM t, sx
-  WHERE least((k + 1) * 360.0::DOUBLE / n, (s + 1) * 360.0::DOUBLE / t.side) > greatest(k * 360.0::DOUBLE / n, s * 360.0::DOUBLE / t.side) + 1e-9),
+  WHERE least((k + 1) * 360.0::DOUBLE / n, (s + 1) * 360.0::DOUBLE / t.side) > greatest(k * 360.0::DOUBLE / n, s * 360.0::DOUBLE / t.side) + 1e-9)"""
+
+
+@query("conservative_regrid", OVERLAP_SQL + """,
 m AS (SELECT fi, fj, year, month, avg(pr) AS v FROM cube GROUP BY ALL),
 nl AS (SELECT ti, count(*) AS a FROM lw GROUP BY ti), no AS (SELECT tj, count(*) AS b FROM ow GROUP BY tj)
 SELECT ti, tj, year, month, round(CASE WHEN count(v) = any_value(a * b) THEN sum(lw.w * ow.w * v) / sum(lw.w * ow.w) END, 9) AS v

@@ -11,6 +11,7 @@ from ..sources import stores
 from ..sources.cube import cell_table, daily_cube, role_series, table
 from .aggregate_queries import axis_days
 from .registry import query, rounded
+from .scalar_queries import TOP_SQL
 
 
 @query("pack_int16", """
@@ -117,7 +118,8 @@ def qc_variables(spark, d):
     return rounded(qc.variable_report(c, names, axis_days(c), 0.75), 8, "finite_fraction")
 
 
-@query("qc_shortwave_bounds")
+@query("qc_shortwave_bounds", TOP_SQL + """
+SELECT fi, count(*) FILTER (ra > 0 AND (rsds / ra < 0 OR rsds / ra > 1)) = 0 AS bounds_ok, count(rsds) AS "values" FROM top GROUP BY fi""", "cube")
 def qc_shortwave_bounds(spark, d):
     c = ph.with_top_radiation(daily_cube(spark, d, "rsds"))
     return c.groupBy("fi").agg(qc.bounds_hold("rsds").alias("bounds_ok"), F.count("rsds").alias("values"))

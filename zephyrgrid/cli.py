@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .functions import physics as ph
 from .functions.presets import VARIABLES
-from .operators import adjustment, downscale, qc
+from .operators import adjustment, downscale, packing, qc
 from .operators.regrid import Axis
 from .plans import pipeline
 from .session import build_session, scalar_row
@@ -44,7 +44,7 @@ def parser() -> argparse.ArgumentParser:
     command("validate-dataset", "check linked variables", "input", output=False)
     command("derive", "add derived variables", "input")
     pack = command("pack", "publish one variable as scaled 16-bit codes", "input")
-    pack.add_argument("--variable", required=True, choices=sorted(VARIABLES))
+    pack.add_argument("--variable", required=True, choices=sorted({**packing.RANGES, **packing.STEPS}))
     adjust = command("adjust", "adjust a simulation to a reference", "reference", "historical", "simulation")
     adjust.add_argument("--variable", required=True, choices=sorted(VARIABLES))
     adjust.add_argument("--quantiles", type=int, default=50)

@@ -22,8 +22,6 @@ class VariableSettings:
     kind: str
     adjust_bounds: Bounds
     downscale_bounds: Bounds
-    pack_scale: float
-    pack_offset: float
     transform: str | None = None
     adapt_threshold: float | None = None
     clip: tuple[float | None, float | None] = (None, None)
@@ -35,35 +33,34 @@ class VariableSettings:
 
 _UNIT_LOGIT = Bounds(0.0, 1e-4, 1.0, 0.9999)
 
-# Method, bounds, packing and physical limits of each variable.
-# Precipitation bounds are in mm/day; packing of precipitation is in kg m-2 s-1.
+# Method, bounds and physical limits of each variable; precipitation bounds in mm/day.
 VARIABLES: dict[str, VariableSettings] = {
     v.name: v
     for v in (
         VariableSettings("hurs", "%", "linear", "bounded_qdm", "additive",
                          Bounds(0.0, 0.01, 100.0, 99.99), Bounds(0.0, 0.01, 100.0, 99.99),
-                         0.002, 50.0, revision=4),
+                         revision=4),
         VariableSettings("pr", "kg m-2 s-1", "conservative", "qdm", "multiplicative",
-                         Bounds(0.0, 0.1), Bounds(0.0, 0.1), 1e-6, 0.02,
+                         Bounds(0.0, 0.1), Bounds(0.0, 0.1),
                          adapt_threshold=0.1, clip=(0.0, None)),
         VariableSettings("prsnratio", "1", "linear", "qdm", "additive",
-                         _UNIT_LOGIT, _UNIT_LOGIT, 2e-5, 0.5, transform="logit",
+                         _UNIT_LOGIT, _UNIT_LOGIT, transform="logit",
                          clip=(0.0, 1.0), conservation_tolerance=0.15, all_invalid_value=0.0),
         VariableSettings("ps", "Pa", "linear", "dqm", "additive",
-                         Bounds(), Bounds(), 2.0, 60000.0, clip=(0.0, None)),
+                         Bounds(), Bounds(), clip=(0.0, None)),
         VariableSettings("rlds", "W m-2", "linear", "dqm", "additive",
-                         Bounds(), Bounds(), 0.02, 500.0, clip=(0.0, None)),
+                         Bounds(), Bounds(), clip=(0.0, None)),
         VariableSettings("rsds", "W m-2", "linear", "qdm", "additive",
-                         _UNIT_LOGIT, Bounds(0.0, 0.01), 0.025, 750.0,
+                         _UNIT_LOGIT, Bounds(0.0, 0.01),
                          transform="clearness_index", clip=(0.0, None)),
         VariableSettings("sfcWind", "m s-1", "linear", "qdm", "multiplicative",
-                         Bounds(0.0, 0.01), Bounds(0.0, 0.01), 0.002, 50.0, clip=(0.0, None)),
+                         Bounds(0.0, 0.01), Bounds(0.0, 0.01), clip=(0.0, None)),
         VariableSettings("tas", "K", "linear", "dqm", "additive",
-                         Bounds(), Bounds(150.0, 150.0, 350.0, 350.0), 0.005, 253.5),
+                         Bounds(), Bounds(150.0, 150.0, 350.0, 350.0)),
         VariableSettings("tasrange", "K", "linear", "qdm", "multiplicative",
-                         Bounds(0.0, 0.01), Bounds(0.0, 0.01), 0.002, 50.0, clip=(0.0, None)),
+                         Bounds(0.0, 0.01), Bounds(0.0, 0.01), clip=(0.0, None)),
         VariableSettings("tasskew", "1", "linear", "qdm", "additive",
-                         _UNIT_LOGIT, _UNIT_LOGIT, 2e-5, 0.5, transform="logit",
+                         _UNIT_LOGIT, _UNIT_LOGIT, transform="logit",
                          clip=(0.0, 1.0)),
     )
 }
@@ -80,3 +77,13 @@ def settings(variable: str) -> VariableSettings:
         return VARIABLES[variable]
     except KeyError:
         raise ValueError(f"no settings for variable {variable!r}") from None
+
+# First and last year of the two periods every model provides.
+PERIODS = {"hist": (1989, 2014), "projection": (2015, 2100)}
+
+
+def expected_period(experiment: str, phase: str) -> tuple[int, int]:
+    """Years of a collection folder; only the two-period layout is supported."""
+    if (experiment == "historical") != (phase == "hist") or phase not in PERIODS:
+        raise ValueError(f"unsupported layout {experiment}/{phase}")
+    return PERIODS[phase]

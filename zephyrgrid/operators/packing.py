@@ -7,21 +7,41 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.presets import VARIABLES
 from ..session import scalar_row
 
 FILL = -32768
 CODE_LIMIT = 32767
 
 
-def offset_for(low: float, high: float) -> float:
-    """Packing offset: the middle of the wanted range."""
-    return (low + high) / 2.0
+# Fixed values: (lowest, highest, step) of each published variable; the offset is the middle.
+RANGES = {
+    "hurs": (0, 100, 0.002), "pr": (0, 0.04, 1e-6), "prsn": (0, 0.04, 1e-6), "prsnratio": (0, 1, 2e-5),
+    "ps": (0, 120000, 2.0), "rlds": (0, 1000, 0.02), "rsds": (0, 1500, 0.025), "sfcWind": (0, 100, 0.002),
+    "tas": (130, 377, 0.005), "tasmin": (130, 377, 0.005), "tasmax": (130, 377, 0.005), "tasrange": (0, 100, 0.002),
+    "tasskew": (0, 1, 2e-5), "huss": (0, 0.1, 2e-6), "ffmc": (0, 101, 0.002), "fwi": (0, 2000, 0.04),
+    "fwixx": (0, 2000, 0.04), "fwisa": (0, 2000, 0.04), "q95": (0, 2000, 0.04), "midrange": (0, 2000, 0.04),
+}
+# Fixed values: (step, offset) where the range follows from the 16-bit codes instead.
+STEPS = {
+    "dmc": (4.0, 131068.0), "dc": (8.0, 262136.0), "isi": (0.5, 16383.5), "bui": (2.0, 65534.0),
+    "fwixd": (1.0, 0.0), "fwils": (1.0, 0.0), "tg_mean": (0.01, 0.0), "prcptot": (1.0, 32767.0),
+    "rx1day": (0.1, 3276.7), "cdd": (1.0, 0.0), "cdd65": (0.3, 9830.1), "hdd65": (0.3, 9830.1),
+}
 
 
 def specification(variable: str) -> tuple[float, float]:
-    settings = VARIABLES[variable]
-    return settings.pack_scale, settings.pack_offset
+    """(scale, offset) of a published variable."""
+    if variable in STEPS:
+        return STEPS[variable]
+    if variable not in RANGES:
+        raise ValueError(f"no packing for {variable!r}")
+    low, high, step = RANGES[variable]
+    return step, (low + high) / 2.0
+
+
+def pack_columns(df: DataFrame, *names: str) -> DataFrame:
+    """Replace each named variable by its 16-bit code."""
+    return df.withColumns({n: pack(F.col(n).cast("double"), *specification(n), n) for n in names})
 
 
 def pack(value: Column, scale: float, offset: float, label: str = "value") -> Column:

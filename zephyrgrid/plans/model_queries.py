@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.presets import VARIABLES
 from ..operators import downscale as ds
 from ..operators import fireweather as fw
-from ..operators import humidity, indicators, masks
+from ..operators import humidity, indicators, masks, packing
 from ..operators.regrid import Axis
 from ..sources.cube import cell_table, daily_cube, grid_side, role_series, table, with_cell_keys
 from .adjust_queries import series
@@ -238,3 +238,25 @@ def preprocess_end_to_end(spark, d):
     ).agg((F.sum(F.rint(F.col("l_tax") * 100).cast("bigint")) / F.count(F.lit(1))).alias("value"))
     out = preprocess(with_cell_keys(raw, side), "pr", "mm d-1", "proleptic_gregorian", source, target)
     return out.withColumn("value", F.round(F.col("value").cast("double") * 86400, 3))
+
+
+def _code(name: str, column: str) -> str:
+    scale, offset = packing.specification(name)
+    return (f"CASE WHEN {column} IS NULL THEN -32768 ELSE round_even((round({column}, 6) - {offset}::DOUBLE) / {scale}::DOUBLE, 0) END::BIGINT AS {name}")
+
+
+@query("pack_fire_indices", _DAILY + f"SELECT cell, ord, {', '.join(_code(n, n) for n in _INDICES)} FROM fire", "cube", recursive=True)
+def pack_fire_indices(spark, d):
+    daily = rounded(fw.daily_fire_weather(_weather(spark, d)), 6, *_INDICES)
+    return packing.pack_columns(daily, *_INDICES).select("cell", "ord", *_INDICES)
+
+
+@query("pack_annual_indicators", """
+y AS (SELECT cell, year, avg(tas - 273.15) AS t, sum(CASE WHEN pr >= 1 THEN pr ELSE 0 END) AS p, max(pr) AS x,
+  sum(greatest(0, tas - 273.15 - 55.0 / 3)) AS c, sum(greatest(0, 55.0 / 3 - (tas - 273.15))) AS h FROM cube GROUP BY ALL)
+SELECT cell, year, """ + ", ".join(_code(n, c) for n, c in (
+    ("tg_mean", "t"), ("prcptot", "p"), ("rx1day", "x"), ("cdd65", "c"), ("hdd65", "h"))) + " FROM y", "cube")
+def pack_annual_indicators(spark, d):
+    names = ("tg_mean", "prcptot", "rx1day", "cdd65", "hdd65")
+    annual = indicators.annual_climate_indices(daily_cube(spark, d, "tas", "pr"))
+    return packing.pack_columns(rounded(annual, 6, *names), *names).select("cell", "year", *names)

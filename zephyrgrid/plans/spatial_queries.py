@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import physics as ph
-from ..operators import align, components, masks, regrid
+from ..operators import align, components, indicators, masks, regrid, windows
 from ..operators.aggregate import weighted_annulus_series
 from ..sources.cube import cell_table, daily_cube, grid_side, role_series, table
 from .registry import query, rounded
@@ -177,12 +177,15 @@ def hourly_assignment(spark, d):
         "cell", F.datediff("date", "a").alias("day_index"), "hour", "v")
 
 
-@query("nearest_cell_topk", _PLACES + """,
+_NEAREST = _PLACES + """,
 h AS (SELECT *, greatest(0, least(side - 1, floor((plat + 60) / (120.0::DOUBLE / side))))::BIGINT AS i,
   floor(plon / (360.0::DOUBLE / side))::BIGINT AS j FROM places, grid),
 x AS (SELECT place, cell, NOT (fi = i AND fj = j) AS away,
   round(power(lat - plat, 2) + power((((lon - plon + 180) % 360 + 360) % 360 - 180) * cos(radians(plat)), 2), 6) AS dist
-  FROM h JOIN cells c ON abs(c.fi - i) <= 8 AND least((c.fj - j + side) % side, (j - c.fj + side) % side) <= 8 WHERE land)
+  FROM h JOIN cells c ON abs(c.fi - i) <= 8 AND least((c.fj - j + side) % side, (j - c.fj + side) % side) <= 8 WHERE land)"""
+
+
+@query("nearest_cell_topk", _NEAREST + """
 SELECT place, cell, dist AS distance2 FROM x QUALIFY row_number() OVER (PARTITION BY place ORDER BY away, dist, cell) = 1""", "cells")
 def nearest_cell_topk(spark, d):
     side = grid_side(spark, d)
@@ -420,3 +423,21 @@ def canonical_grid_assign(spark, d):
         "column", F.floor((F.col("lon") - lon.low) / lon.step))
     means = c.groupBy("row", "column").agg(F.count(F.lit(1)).alias("days"), F.round(F.avg("tas"), 6).alias("tas"))
     return means.join(rows, "row").join(columns, "column")
+
+
+@query("city_series", _NEAREST + """,
+near AS (SELECT place, cell FROM x QUALIFY row_number() OVER (PARTITION BY place ORDER BY away, dist, cell) = 1),
+y AS (SELECT cell, year, sum(greatest(0, tas - 273.15 - 55.0 / 3)) AS v FROM cube GROUP BY ALL),
+k AS (SELECT cell, year, v, CASE WHEN count(v) OVER w >= 3 THEN avg(v) OVER w END AS smooth, regr_slope(v, year) OVER (PARTITION BY cell) * 10 AS trend
+  FROM y WINDOW w AS (PARTITION BY cell ORDER BY year ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))
+SELECT place, year, round(v, 6) AS value, round(smooth, 6) AS smooth, round(trend, 5) AS trend FROM near JOIN k USING (cell)""", "cube", "cells")
+def city_series(spark, d):
+    """Annual cooling degree days at each place: nearest land cell, smoothed series and trend."""
+    side = grid_side(spark, d)
+    near = align.nearest_valid_cell(_places(spark, d), cell_table(spark, d).where("land"), side, -60.0, 120.0 / side)
+    annual = indicators.annual_climate_indices(daily_cube(spark, d, "tas", "pr")).select(
+        "cell", "year", F.col("cdd65").alias("value"))
+    smooth = windows.gap_aware_mean(annual, ["cell"], "year", "value")
+    trend = annual.groupBy("cell").agg(windows.trend_per_decade(F.col("value"), F.col("year")).alias("trend"))
+    series = smooth.join(trend, "cell").join(near.select("place", "cell"), "cell")
+    return rounded(rounded(series.select("place", "year", "value", "smooth", "trend"), 6, "value", "smooth"), 5, "trend")

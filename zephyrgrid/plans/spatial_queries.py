@@ -441,3 +441,35 @@ def city_series(spark, d):
     trend = annual.groupBy("cell").agg(windows.trend_per_decade(F.col("value"), F.col("year")).alias("trend"))
     series = smooth.join(trend, "cell").join(near.select("place", "cell"), "cell")
     return rounded(rounded(series.select("place", "year", "value", "smooth", "trend"), 6, "value", "smooth"), 5, "trend")
+
+
+@query("polygon_cells", """
+p AS (SELECT c_custkey AS polygon, (c_custkey * 73 % 2400)::DOUBLE / 10 - 120 + 0.0137::DOUBLE AS x, (c_custkey * 37 % 700)::DOUBLE / 10 - 35 + 0.0071::DOUBLE AS y,
+  5 + (c_custkey * 17 % 45)::DOUBLE AS a, 3 + (c_custkey * 11 % 17)::DOUBLE AS b FROM customer),
+e AS (SELECT polygon, x - a AS x1, y - b AS y1, x + a AS x2, y - b / 2 AS y2 FROM p UNION ALL SELECT polygon, x + a, y - b / 2, x, y + b FROM p
+  UNION ALL SELECT polygon, x, y + b, x - a, y - b FROM p),
+k AS (SELECT cell, side, -60 + fi * 120.0::DOUBLE / side AS yl, 120.0::DOUBLE / side AS dy, CASE WHEN fj < side // 2 THEN fj ELSE fj - side END * 360.0::DOUBLE / side AS xl,
+  360.0::DOUBLE / side AS dx FROM cells, grid),
+c AS (SELECT polygon, cell, x1, y1, x2, y2, xl, yl, dx, dy, (x2 - x1) * (yl - y1) - (y2 - y1) * (xl - x1) AS s1, (x2 - x1) * (yl - y1) - (y2 - y1) * (xl + dx - x1) AS s2,
+  (x2 - x1) * (yl + dy - y1) - (y2 - y1) * (xl - x1) AS s3, (x2 - x1) * (yl + dy - y1) - (y2 - y1) * (xl + dx - x1) AS s4 FROM e, k)
+SELECT polygon, cell FROM c GROUP BY polygon, cell
+HAVING bool_or(greatest(x1, x2) >= xl AND least(x1, x2) <= xl + dx AND greatest(y1, y2) >= yl AND least(y1, y2) <= yl + dy
+    AND least(s1, s2, s3, s4) <= 0 AND greatest(s1, s2, s3, s4) >= 0)
+  OR count(*) FILTER ((y1 <= yl + dy / 2) <> (y2 <= yl + dy / 2) AND x1 + (yl + dy / 2 - y1) * (x2 - x1) / nullif(y2 - y1, 0) > xl + dx / 2) % 2 = 1""", "cells")
+def polygon_cells(spark, d):
+    """Cells touched by one triangle per customer."""
+    from ..operators import polygons
+
+    side = grid_side(spark, d)
+    key = F.col("c_custkey")
+    shapes = table(spark, d, "customer").select(
+        key.alias("polygon"), ((key * 73 % 2400) / 10 - 120 + 0.0137).alias("x"), ((key * 37 % 700) / 10 - 35 + 0.0071).alias("y"),
+        (5 + key * 17 % 45).cast("double").alias("a"), (3 + key * 11 % 17).cast("double").alias("b"))
+    def point(x, y):
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    x, y, a, b = (F.col(n) for n in "xyab")
+    rings = shapes.select("polygon", F.array(point(x - a, y - b), point(x + a, y - b / 2), point(x, y + b)).alias("points"))
+    cells = cell_table(spark, d).select("cell", "fi", "fj")
+    touched = polygons.touched_cells(rings, polygons.CellGrid(-60.0, 120.0 / side, side, side))
+    return touched.join(cells, ["fi", "fj"]).select("polygon", "cell")

@@ -317,7 +317,7 @@ lo AS (SELECT k AS tj, ((k + 0.5) * 360.0::DOUBLE / (side + 2) - 180.0::DOUBLE /
 ow AS (SELECT tj, (floor(p)::BIGINT + side) % side AS fj, 1 - (p - floor(p)) AS w FROM lo UNION ALL SELECT tj, (floor(p)::BIGINT + 1 + side) % side, p - floor(p) FROM lo WHERE p > floor(p)),
 s AS (SELECT fi, fj, year, month, avg(tas) AS v FROM cube GROUP BY ALL),
 nl AS (SELECT ti, count(*) AS a FROM lw GROUP BY ti), no AS (SELECT tj, count(*) AS b FROM ow GROUP BY tj)
-SELECT ti, tj, year, month, round(CASE WHEN count(v) = any_value(a * b) THEN sum(lw.w * ow.w * v) END, 6) AS v
+SELECT ti, tj, year, month, round(CASE WHEN count(v) = any_value(a * b) THEN sum(lw.w * ow.w * v) END, 9) AS v
 FROM s JOIN lw USING (fi) JOIN ow USING (fj) JOIN nl USING (ti) JOIN no USING (tj) GROUP BY ti, tj, year, month""", "cube")
 def linear_regrid(spark, d):
     side = grid_side(spark, d)
@@ -325,7 +325,7 @@ def linear_regrid(spark, d):
     n = side + 2
     target = (regrid.Axis(-60.0 + 60.0 / n, 120.0 / n, n), regrid.Axis(180.0 / n, 360.0 / n, n, True))
     monthly = daily_cube(spark, d, "tas").groupBy("fi", "fj", "year", "month").agg(F.avg("tas").alias("v"))
-    return rounded(regrid.linear_regrid(monthly, source, target, "v", ("year", "month")), 6, "v")
+    return rounded(regrid.linear_regrid(monthly, source, target, "v", ("year", "month")), 9, "v")
 
 
 OVERLAP_SQL = """t AS (SELECT unnest(range(0, side - 1)) AS k, side, side - 1 AS n FROM grid),

@@ -129,3 +129,23 @@ def test_fire_products_warm_up_and_stay_apart(spark):
     first = lambda df: df.where("dc IS NOT NULL").orderBy("ord").first()
     assert first(daily).dc > first(cold).dc  # the history carries the drought over
     assert annual.where("fwixx IS NULL").count() == 0 and annual.count() == 3
+
+
+def test_both_first_guesses_agree(spark):
+    from zephyrgrid.operators.regrid import bilinear_broadcast
+
+    rng = np.random.RandomState(5)
+    field = rng.normal(280, 5, (3, 4))
+    field[1, 2] = np.nan
+    rows = [(i, j, 1, None if np.isnan(field[i, j]) else float(field[i, j])) for i in range(3) for j in range(4)]
+    want = {(r.fi, r.fj): r.v for r in bilinear_broadcast(
+        spark.createDataFrame(rows, "ci long, cj long, ord long, v double"), "v", 3, 4, 3).collect()}
+    padded = np.full((5, 4), np.nan)
+    padded[1:4] = field
+    weights = downscale.blend_weights(3, 4, 3)
+    for i in range(3):
+        for j in range(4):
+            near = np.array([[padded[i + a, (j + b - 1) % 4] for a in range(3) for b in range(3)]])
+            for k, v in enumerate(downscale.first_guess(near, weights)[0]):
+                other = want[i * 3 + k // 3, j * 3 + k % 3]
+                assert (np.isnan(v) and other is None) or v == pytest.approx(other)

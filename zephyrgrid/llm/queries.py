@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exactdedup, sharding, urlfilter
+from . import exactdedup, packing, sharding, simhash, urlfilter
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,25 @@ def op2_bounded_sharding(spark: SparkSession, directory: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op4_simhash_golay")
+def op4_simhash_golay(spark: SparkSession, directory: str) -> DataFrame:
+    groups = simhash.near_groups(simhash.fingerprints(read(spark, directory, "documents")))
+    return groups.select(F.col("id").alias("doc_id"), simhash.hex_digits().alias("fingerprint"), "component_id")
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op5_minimum_bin_slack")
+def op5_minimum_bin_slack(spark: SparkSession, directory: str) -> DataFrame:
+    pieces = packing.cut(read(spark, directory, "documents"), tokenizer_path("word_bpe_49k.json"), with_ids=False)
+    return packing.place(pieces).select(
+        F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 _DEDUP_SQL = f"""
 WITH hashed AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), {_UPPER_LOWER})) AS text_sha256,

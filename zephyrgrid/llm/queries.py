@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exactdedup, packing, sharding, simhash, urlfilter
+from . import exactdedup, packing, quality, sharding, simhash, toxicity, urlfilter
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,18 @@ FROM hashed WINDOW g AS (PARTITION BY text_sha256)
 @query("op7_exact_dedup", _DEDUP_SQL)
 def op7_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return exactdedup.groups(read(spark, directory, "documents"))
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
+    documents = read(spark, directory, "documents")
+    trees = quality.fit(documents, read(spark, directory, "labels"))
+    return quality.judge(documents, trees).select(F.col("id").alias("doc_id"), *quality.COUNTS, "base_failed", "kept", "score")
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    model, table = toxicity.fit(read(spark, directory, "documents"), read(spark, directory, "labels"))
+    return toxicity.score(table, model).select(
+        F.col("id").alias("doc_id"), toxicity.held_out("id").alias("held_out"), "score",
+        (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"), "evidence")

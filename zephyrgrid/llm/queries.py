@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exactdedup, packing, quality, sharding, simhash, toxicity, urlfilter, warc
+from . import chat, exactdedup, packing, piecesample, quality, sharding, simhash, toxicity, urlfilter, warc
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,9 @@ def op6_chat_prefix_tree(spark: SparkSession, directory: str) -> DataFrame:
     tokenizer = tokenizer_path("byte_bpe_50k.json")
     sequences, ends = chat.format_trees(rows.unionByName(trap), tokenizer)
     return chat.read_back(sequences, ends, tokenizer)
+
+
+@query("op8_piece_sampling")
+def op8_piece_sampling(spark: SparkSession, directory: str) -> DataFrame:
+    found = piecesample.digests(read(spark, directory, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return found.withColumnRenamed("id", "doc_id")

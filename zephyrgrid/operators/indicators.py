@@ -84,10 +84,19 @@ def mean_annual_maximum(df: DataFrame, value: str, keys: tuple[str, ...] = ("cel
     return yearly.groupBy(*keys).agg(F.avg("peak").alias("mean_peak"), F.count("peak").alias("years"))
 
 
-def period_change(df: DataFrame, value: str, reference: tuple[int, int], future: tuple[int, int]) -> DataFrame:
-    """Per-cell means of two periods, their difference, and lost or gained cells."""
+Years = tuple[int | None, int | None]
+
+
+def period_change(df: DataFrame, value: str, reference: Years, future: Years) -> DataFrame:
+    """Per-cell means of two periods, their difference, and lost or gained cells; None leaves an end open."""
     def mean(limits):
-        return F.avg(F.when(F.col("year").between(*limits), F.col(value)))
+        low, high = limits
+        inside = F.lit(True)
+        if low is not None:
+            inside = inside & (F.col("year") >= low)
+        if high is not None:
+            inside = inside & (F.col("year") <= high)
+        return F.avg(F.when(inside, F.col(value)))
 
     means = df.groupBy("cell").agg(mean(reference).alias("before"), mean(future).alias("after"))
     return means.select(

@@ -197,11 +197,10 @@ def edge_audit(differences: DataFrame, group: str) -> DataFrame:
     )
     p95 = exact_quantiles(differences, "difference", [0.95], by=group).select(group, F.col("quantile").alias("p95"))
     report = counts.join(p95, group, "left").withColumn("missing_fraction", F.col("missing") / (2 * F.col("rows")))
-    # At most six pair labels: controls of "a-b" are "same-a" and "same-b".
+    # Codes may have any number of digits: controls of "a-b" are "same-a" and "same-b".
     controls = p95.where(F.col(group).startswith("same-") & (F.col("p95") != 0)).select(
-        F.substring(group, 6, 1).alias("source"), F.col("p95").alias("control"))
-    crossing = report.where(F.length(group) == 3).select(
-        group, F.explode(F.array(F.substring(group, 1, 1), F.substring(group, 3, 1))).alias("source"))
+        F.substring_index(group, "-", -1).alias("source"), F.col("p95").alias("control"))
+    crossing = report.where(~F.col(group).startswith("same-")).select(group, F.explode(F.split(group, "-")).alias("source"))
     control = crossing.join(controls, "source").groupBy(group).agg(F.avg("control").alias("control"))
     return report.join(control, group, "left").select(
         group, "paired", "missing", "missing_fraction", "low", "high", "p95",

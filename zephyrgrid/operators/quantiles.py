@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS = 1024
+MOST_GROUPS = 4096
 
 
 def sorted_array_quantile(values: Column, p: Column) -> Column:
@@ -51,13 +52,19 @@ def exact_quantiles(
     Returns ``(by, p, n, quantile)``.  Equal values collapse first, so a value
     holding a third of all rows is one row afterwards.  Every pass is one scan
     that returns at most ``BINS`` rows per open bracket: the values themselves
-    where a bracket has that few, else a histogram that narrows it.  A bracket
-    loses at least its end bins each time, so the loop ends.
+    where a bracket has that few, else a histogram that narrows it.  Both ways
+    give the same value: the one at the wanted rank.  The smallest and the largest
+    value of a bracket always fall into different bins, infinities into bins of
+    their own, so every bracket shrinks and the loop ends.
+
+    NaN is a missing value.  Infinities keep their rank; between an infinity and
+    a finite value the quantile is NaN.  More than ``MOST_GROUPS`` values of
+    ``by`` are refused, which bounds what reaches the driver.
     """
     spark = df.sparkSession
     label = F.lit("all") if by is None else F.col(by).cast("string")
     distinct = (
-        df.where(F.col(value).isNotNull() & label.isNotNull())
+        df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")) & label.isNotNull())
         .groupBy(label.alias("g"), F.col(value).cast("double").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
         .persist()
@@ -65,7 +72,9 @@ def exact_quantiles(
     try:
         summary = distinct.groupBy("g").agg(
             F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("k")
-        ).collect()
+        ).limit(MOST_GROUPS + 1).collect()
+        if len(summary) > MOST_GROUPS:
+            raise ValueError(f"{by!r} has more than {MOST_GROUPS} values")
         totals = {row.g: row.n for row in summary}
         wanted = {
             g: sorted({r for p in probabilities for r in _ranks(n, p)}) for g, n in totals.items()
@@ -81,7 +90,7 @@ def exact_quantiles(
         for p in probabilities:
             low, high = _ranks(n, p)
             a, b = found[g, low], found[g, high]
-            rows.append((g, float(p), n, a + ((n - 1) * p - low) * (b - a)))
+            rows.append((g, float(p), n, a if a == b else a + ((n - 1) * p - low) * (b - a)))
     schema = "g string, p double, n bigint, quantile double"
     return spark.createDataFrame(rows, schema).withColumnRenamed("g", by or "g")
 
@@ -97,8 +106,14 @@ def _narrow(spark, distinct, brackets, found):
     # At most two brackets per probability and group: a handful of rows.
     rows = [(g, lo, hi, k <= BINS) for (g, lo, hi), (_, _, k) in brackets.items()]
     frame = F.broadcast(spark.createDataFrame(rows, schema))
-    share = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-    bin_of = F.when(F.col("few"), F.col("v")).otherwise(F.floor(share * F.lit(BINS - 1)).cast("double"))
+    v, lo, hi, infinite = F.col("v"), F.col("lo"), F.col("hi"), F.lit(float("inf"))
+    # Halves keep the span of any two finite values finite.
+    share = F.try_divide(v / 2 - lo / 2, hi / 2 - lo / 2)
+    open_ended = (lo == -infinite) | (hi == infinite)
+    bin_of = (
+        F.when(F.col("few"), v).when(v == -infinite, -1.0).when(v == infinite, float(BINS)).when(open_ended, 0.0)
+        .otherwise(F.floor(share * F.lit(BINS - 1)).cast("double"))
+    )
     histogram = (
         distinct.join(frame, "g")
         .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
@@ -117,6 +132,8 @@ def _narrow(spark, distinct, brackets, found):
             if inside and row["first"] == row["last"]:
                 found.update({(g, rank): row["first"] for rank in inside})
             elif inside:
+                if (row["first"], row["last"]) == (lo, hi):
+                    raise ArithmeticError(f"the bracket {lo}..{hi} does not shrink")
                 result[g, row["first"], row["last"]] = (before, inside, row.k)
             before += row.n
     return result

@@ -93,13 +93,20 @@ def support_footprint(spark, d):
     return masks.combined_support(fine, coarse).select("cell", "support")
 
 
-@query("complete_support", """
-n AS (SELECT count(DISTINCT ord) AS days FROM cube WHERE year = 1997 AND month = 7)
-SELECT cell, count(tas) = any_value(days) AND count(pr) = any_value(days) AS support
-FROM cube, n WHERE year = 1997 AND month = 7 GROUP BY cell""", "cube")
+_ONE_DAY = "month = 2 AND day = 3"
+
+
+@query("complete_support", f"""
+y AS (SELECT cell, year, avg(tas) FILTER ({_ONE_DAY}) AS tas, avg(pr) FILTER ({_ONE_DAY}) AS pr FROM cube GROUP BY ALL),
+n AS (SELECT count(DISTINCT year) AS days FROM cube)
+SELECT cell, count(tas) = any_value(days) AND count(pr) = any_value(days) AS support FROM y, n GROUP BY cell""", "cube")
 def complete_support(spark, d):
-    c = daily_cube(spark, d, "tas", "pr").where("year = 1997 AND month = 7")
-    return masks.complete_support(c, axis_days(c), "tas", "pr")
+    """Cells that have 3 February in every year; some do, some don't."""
+    c = daily_cube(spark, d, "tas", "pr")
+    years = scalar_row(c.agg(F.count_distinct("year").alias("n")))["n"]
+    on = F.expr(_ONE_DAY)
+    yearly = c.groupBy("cell", "year").agg(F.avg(F.when(on, F.col("tas"))).alias("tas"), F.avg(F.when(on, F.col("pr"))).alias("pr"))
+    return masks.complete_support(yearly, years, "tas", "pr")
 
 
 _THRESHOLDS = """lim AS (SELECT cell, quantile_cont(wind, 0.95) AS q95, (min(wind) + max(wind)) / 2 AS midrange
@@ -179,10 +186,10 @@ def mean_annual_max(spark, d):
 @query("period_change", """
 SELECT cell, round(a, 6) AS before, round(b, 6) AS after, round(b - a, 6) AS change,
   a IS NOT NULL AND b IS NULL AS lost, a IS NULL AND b IS NOT NULL AS gained FROM (
-  SELECT cell, avg(tasm) FILTER (year BETWEEN 1995 AND 1998) AS a, avg(tasm) FILTER (year BETWEEN 1999 AND 2001) AS b
+  SELECT cell, avg(tasm) FILTER (year <= 1998) AS a, avg(tasm) FILTER (year >= 1999) AS b
   FROM cube GROUP BY cell)""", "cube")
 def period_change(spark, d):
-    out = ind.period_change(daily_cube(spark, d, "tasm"), "tasm", (1995, 1998), (1999, 2001))
+    out = ind.period_change(daily_cube(spark, d, "tasm"), "tasm", (None, 1998), (1999, None))
     return rounded(out, 6, "before", "after", "change")
 
 
@@ -194,7 +201,7 @@ SELECT p::DOUBLE AS p, round(quantile_cont(c, p), 6) AS quantile FROM (
 def display_limits(spark, d):
     from ..operators.quantiles import exact_quantiles
 
-    change = ind.period_change(daily_cube(spark, d, "tasm"), "tasm", (1900, 1998), (1999, 2200))
+    change = ind.period_change(daily_cube(spark, d, "tasm"), "tasm", (None, 1998), (1999, None))
     out = exact_quantiles(change, "change", [0.01, 0.99]).select("p", "quantile")
     return rounded(out, 6, "quantile")
 
@@ -432,12 +439,12 @@ def rolling_season_mean(spark, d):
     return daily_cube(spark, d, "tasm").select("cell", "ord", F.round(season, 6).alias("season"))
 
 
-_YEARLY = """y AS (SELECT cell, year, avg(tas) AS v FROM cube WHERE NOT (cell % 3 = 1 AND year = 1998) GROUP BY ALL)"""
+_YEARLY = f"""y AS (SELECT cell, year, avg(tas) FILTER ({_ONE_DAY}) AS v FROM cube GROUP BY ALL)"""
 
 
 def _yearly(spark, d):
-    c = daily_cube(spark, d, "tas").where("NOT (cell % 3 = 1 AND year = 1998)")
-    return c.groupBy("cell", "year").agg(F.avg("tas").alias("v"))
+    """The value of one day a year: missing where a cell lacks it."""
+    return daily_cube(spark, d, "tas").groupBy("cell", "year").agg(F.avg(F.when(F.expr(_ONE_DAY), F.col("tas"))).alias("v"))
 
 
 @query("gap_aware_five_year_mean", _YEARLY + """,

@@ -54,37 +54,60 @@ def packing_report(spark, d):
     return rounded(out, 8, "maximum_error")
 
 
+_DENSE_SQL = """
+span AS (SELECT min(ord) AS lo, max(ord) AS hi, 1970 + (min(ord) // 365) AS y0, 1970 + (max(ord) // 365) AS y1 FROM cube),
+daily AS (SELECT ci, ord, sum(tas) AS t, count(*) AS n FROM cube GROUP BY ALL),
+dense AS (SELECT c.ci, days.ord, coalesce(t / n, 253.5) AS tas, y0, y1 FROM (SELECT DISTINCT ci FROM cube) c,
+  (SELECT unnest(range(lo, hi + 1)) AS ord, y0, y1 FROM span) days LEFT JOIN daily ON daily.ci = c.ci AND daily.ord = days.ord),
+parts AS (SELECT ci, ord, round_even((tas - 253.5::DOUBLE) / 0.005::DOUBLE, 0)::BIGINT AS code,
+  least(2, (1970 + ord // 365 - y0) * 3 // (y1 - y0 + 1))::BIGINT AS segment FROM dense)
+"""
+
+
 def _segments(spark, d):
+    """A gap-free daily series per row of coarse cells, cut into three runs of years that cover the data's span."""
+    spec = packing.specification("tas")
+    c = daily_cube(spark, d, "tas")
+    span = scalar_row(c.agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")))
+    lo, hi = (span["lo"], span["hi"]) if span["lo"] is not None else (0, -1)
+    first, years = 1970 + lo // 365, max(1, hi // 365 - lo // 365 + 1)
+    days = c.select("ci").distinct().select("ci", F.explode(F.sequence(F.lit(lo), F.lit(max(lo, hi)))).alias("ord"))
+    known = c.groupBy("ci", "ord").agg((F.sum("tas") / F.count(F.lit(1))).alias("tas"))
+    dense = days.join(known, ["ci", "ord"], "left").select(
+        "ci", "ord", packing.pack(F.coalesce("tas", F.lit(253.5)), *spec).alias("code"),
+        F.least(F.lit(2), F.expr(f"(1970 + ord div 365 - {first}) * 3 div {years}")).alias("part"))
+    return [dense.where(F.col("part") == i).drop("part") for i in range(3)]
+
+
+def _merged(spark, d):
     spec = packing.specification("tas")
-    c = daily_cube(spark, d, "tas").select("cell", "ord", "year", packing.pack(F.col("tas"), *spec).alias("code"))
-    return [c.where(F.col("year").between(*y)).select("cell", "ord", "code") for y in ((1995, 1996), (1997, 1998), (1999, 2001))]
+    parts = _segments(spark, d)
+    return packing.merge_segments(parts, [spec] * len(parts), ["ci"])
 
 
-@query("merge_segments", """
-SELECT cell, ord, round_even((tas - 253.5::DOUBLE) / 0.005::DOUBLE, 0)::BIGINT AS code,
-  CASE WHEN year <= 1996 THEN 0 WHEN year <= 1998 THEN 1 ELSE 2 END::BIGINT AS segment FROM cube WHERE year <= 2001""", "cube")
+@query("merge_segments", _DENSE_SQL + "SELECT ci, ord, code, segment FROM parts", "cube")
 def merge_segments(spark, d):
-    """Stacked segments; the derived cube has gaps, so the strict check runs on fixtures only."""
-    first, *rest = [s.withColumn("segment", F.lit(i)) for i, s in enumerate(_segments(spark, d))]
-    for segment in rest:
-        first = first.unionByName(segment)
-    return first
-
-
-@query("segment_boundaries", """
-g AS (SELECT cell, CASE WHEN year <= 1996 THEN 0 WHEN year <= 1998 THEN 1 ELSE 2 END::BIGINT AS segment, min(ord) AS first, max(ord) AS last
-  FROM cube WHERE year <= 2001 GROUP BY ALL)
-SELECT * FROM (SELECT cell, segment, first, last, lag(last) OVER w AS previous, first - lag(last) OVER w = 1 AS daily FROM g
-  WINDOW w AS (PARTITION BY cell ORDER BY segment)) WHERE previous IS NOT NULL""", "cube")
+    """Stacked segments of a gap-free series; the operator refuses a seam that is not one day apart."""
+    return _merged(spark, d)
+
+
+@query("segment_boundaries", _DENSE_SQL.rstrip() + """,
+g AS (SELECT ci, segment, min(ord) AS first, max(ord) AS last FROM parts GROUP BY ALL)
+SELECT * FROM (SELECT ci, segment, first, last, lag(last) OVER w AS previous, first - lag(last) OVER w = 1 AS daily FROM g
+  WINDOW w AS (PARTITION BY ci ORDER BY segment)) WHERE previous IS NOT NULL""", "cube")
 def segment_boundaries(spark, d):
-    return packing.segment_boundaries(merge_segments(spark, d), ["cell"])
+    return packing.segment_boundaries(_merged(spark, d), ["ci"])
 
 
 @query("append_segment", """
-SELECT cell, ord, tas FROM cube WHERE year >= 1998 AND (cell, ord) NOT IN (SELECT cell, ord FROM cube WHERE year <= 1999)""", "cube")
+mid AS (SELECT (min(ord) + max(ord)) // 2 AS at FROM cube)
+SELECT cell, ord, tas FROM cube, mid WHERE ord > at + 365""", "cube")
 def append_segment(spark, d):
-    c = daily_cube(spark, d, "tas").select("cell", "ord", "year", "tas")
-    fresh = packing.append_new_rows(c.where("year <= 1999"), c.where("year >= 1998"), ["cell", "ord"])
+    """The later half of the series, given again with a year of overlap, adds only what the store lacks."""
+    c = daily_cube(spark, d, "tas").select("cell", "ord", "tas")
+    span = scalar_row(c.agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")))
+    middle = ((span["lo"] or 0) + (span["hi"] or 0)) // 2
+    fresh = packing.append_new_rows(c.where(F.col("ord") <= middle + 365), c.where(F.col("ord") > middle), ["cell", "ord"])
     return fresh.select("cell", "ord", "tas")
 
 

@@ -77,18 +77,20 @@ def _formulas() -> dict[str, Column]:
 
 
 # Each series' part of the table, in terms the Parquet scan can skip row groups by.
+# Every dated row belongs to exactly one: the role of a row before 1999 is its status.
 _ROLE_ROWS = {
     "ref": "l_linestatus = 'O' AND l_shipdate < TIMESTAMP_NTZ '1999-01-01 00:00:00'",
-    "hist": "l_linestatus = 'F' AND l_shipdate < TIMESTAMP_NTZ '1999-01-01 00:00:00'",
-    "sim": "l_linestatus = 'F' AND l_shipdate >= TIMESTAMP_NTZ '1999-01-01 00:00:00'",
+    "hist": "NOT (l_linestatus <=> 'O') AND l_shipdate < TIMESTAMP_NTZ '1999-01-01 00:00:00'",
+    "sim": "l_shipdate >= TIMESTAMP_NTZ '1999-01-01 00:00:00'",
 }
 
 
 def _daily(
-    spark: SparkSession, directory: str, side: int, rows: str | None = None
+    spark: SparkSession, directory: str, side: int, rows: str | None = None, role: Column | None = None
 ) -> DataFrame:
     source = table(spark, directory, "lineitem")
     items = (source if rows is None else source.where(rows)).select(
+        *([] if role is None else [role.alias("role")]),
         F.expr(f"l_partkey % {side * side}").alias("cell"),
         F.year("l_shipdate").cast("bigint").alias("year"),
         F.month("l_shipdate").cast("bigint").alias("month"),
@@ -99,7 +101,7 @@ def _daily(
         F.rint(F.col("l_extendedprice") * 100).cast("bigint").alias("cts"),
     )
     items = cal.drop_leap_days(items)
-    keys = ["cell", "year", "month", "day"]
+    keys = [*([] if role is None else ["role"]), "cell", "year", "month", "day"]
     # Map-side partial sums: however many rows share one cell and day, at most one
     # row per task and key is shuffled, so a hot cell cannot overload a reducer.
     return items.groupBy(*keys).agg(
@@ -108,12 +110,12 @@ def _daily(
     )
 
 
-def _finish(daily: DataFrame, side: int, columns: tuple[str, ...]) -> DataFrame:
+def _finish(daily: DataFrame, side: int, columns: tuple[str, ...], *lead: str) -> DataFrame:
     formulas = _formulas()
     chosen = columns or tuple(formulas)
     keyed = cal.with_noleap_keys(with_cell_keys(daily, side))
     return keyed.select(
-        *CELL_KEYS, *DAY_KEYS, *[formulas[name].alias(name) for name in chosen]
+        *lead, *CELL_KEYS, *DAY_KEYS, *[formulas[name].alias(name) for name in chosen]
     )
 
 
@@ -129,6 +131,21 @@ def role_series(spark: SparkSession, directory: str, role: str, *columns: str) -
     return _finish(_daily(spark, directory, side, _ROLE_ROWS[role]), side, columns)
 
 
+def roles(spark: SparkSession, directory: str, *columns: str) -> DataFrame:
+    """All three series in one scan: the cube with a ``role`` column, one row per (role, cell, day)."""
+    side = grid_side(spark, directory)
+    role = F.when(F.expr(_ROLE_ROWS["sim"]), "sim").when(F.expr(_ROLE_ROWS["ref"]), "ref").otherwise("hist")
+    return _finish(_daily(spark, directory, side, role=role), side, columns, "role")
+
+
+def line_counts(spark: SparkSession, directory: str) -> DataFrame:
+    """(role, lines, days): how many order lines and cell-days each series holds."""
+    side = grid_side(spark, directory)
+    parts = [_daily(spark, directory, side, _ROLE_ROWS[r]).agg(F.sum("n").alias("lines"), F.count(F.lit(1)).alias("days")).select(
+        F.lit(r).alias("role"), F.coalesce("lines", F.lit(0)).alias("lines"), "days") for r in _ROLE_ROWS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def cell_table(spark: SparkSession, directory: str) -> DataFrame:
     """Static per-cell fields: source code 0..3, land flag and land share."""
     side = grid_side(spark, directory)
@@ -185,8 +202,7 @@ def _sql_cube(name: str, role: bool) -> str:
         round(l_discount * 100)::BIGINT AS dsc, round(l_tax * 100)::BIGINT AS tx,
         round(l_extendedprice * 100)::BIGINT AS cts,
         CASE WHEN l_linestatus = 'O' AND year(l_shipdate) <= 1998 THEN 'ref'
-             WHEN l_linestatus = 'F' AND year(l_shipdate) <= 1998 THEN 'hist'
-             WHEN l_linestatus = 'F' AND year(l_shipdate) >= 1999 THEN 'sim' END AS role
+             WHEN year(l_shipdate) <= 1998 THEN 'hist' ELSE 'sim' END AS role
       FROM lineitem, grid
       WHERE NOT (month(l_shipdate) = 2 AND day(l_shipdate) = 29))
     WHERE {where}

@@ -50,12 +50,14 @@ def children(spark: SparkSession, path: str) -> list[str]:
 
 
 def open_cube(spark: SparkSession, path: str, variable: str | None = None) -> DataFrame:
-    """Open Parquet, or NetCDF and Zarr where the array libraries are installed."""
+    """Open Parquet, or NetCDF and Zarr where the array libraries are installed; NaN becomes NULL."""
     if path.endswith((".nc", ".nc4", ".zarr")):
         if variable is None:
             raise ValueError("a variable name is needed to open an array store")
         return open_array_store(spark, path, variable)
-    return spark.read.parquet(path)
+    stored = spark.read.parquet(path)
+    reals = [name for name, kind in stored.dtypes if kind in ("float", "double")]
+    return stored.withColumns({name: F.when(~F.isnan(F.col(f"`{name}`")), F.col(f"`{name}`")) for name in reals})
 
 
 def open_array_store(spark: SparkSession, path: str, variable: str, days_per_block: int = 365) -> DataFrame:
@@ -106,10 +108,28 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None, ove
     write_store(df, staging, partition_by=partition_by)
     system, target = _file_system(spark, path)
     _, source = _file_system(spark, staging)
+    _, aside = _file_system(spark, f"{path}.replaced")
     if system.exists(target):
-        system.delete(target, True)
+        # The old store steps aside first: at every moment one whole store exists.
+        if system.exists(aside):
+            system.delete(aside, True)
+        if not system.rename(target, aside):
+            raise OSError(f"could not set {path} aside")
     if not system.rename(source, target):
+        if system.exists(aside):
+            system.rename(aside, target)
         raise OSError(f"could not publish {staging} as {path}")
+    if system.exists(aside):
+        system.delete(aside, True)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Put back a store that an interrupted ``publish`` had set aside; True if that was needed."""
+    system, target = _file_system(spark, path)
+    _, aside = _file_system(spark, f"{path}.replaced")
+    if system.exists(target) or not system.exists(aside):
+        return False
+    return bool(system.rename(aside, target))
 
 
 def write_region(df: DataFrame, path: str, partition_by: list[str]) -> None:

@@ -56,8 +56,8 @@ def packing_report(spark, d):
 
 _DENSE_SQL = """
 span AS (SELECT min(ord) AS lo, max(ord) AS hi, 1970 + (min(ord) // 365) AS y0, 1970 + (max(ord) // 365) AS y1 FROM cube),
-daily AS (SELECT ci, ord, sum(tas) AS t, count(*) AS n FROM cube GROUP BY ALL),
-dense AS (SELECT c.ci, days.ord, coalesce(t / n, 253.5) AS tas, y0, y1 FROM (SELECT DISTINCT ci FROM cube) c,
+daily AS (SELECT ci, ord, max(tas) AS t FROM cube GROUP BY ALL),
+dense AS (SELECT c.ci, days.ord, coalesce(t, 253.5) AS tas, y0, y1 FROM (SELECT DISTINCT ci FROM cube) c,
   (SELECT unnest(range(lo, hi + 1)) AS ord, y0, y1 FROM span) days LEFT JOIN daily ON daily.ci = c.ci AND daily.ord = days.ord),
 parts AS (SELECT ci, ord, round_even((tas - 253.5::DOUBLE) / 0.005::DOUBLE, 0)::BIGINT AS code,
   least(2, (1970 + ord // 365 - y0) * 3 // (y1 - y0 + 1))::BIGINT AS segment FROM dense)
@@ -72,7 +72,7 @@ def _segments(spark, d):
     lo, hi = (span["lo"], span["hi"]) if span["lo"] is not None else (0, -1)
     first, years = 1970 + lo // 365, max(1, hi // 365 - lo // 365 + 1)
     days = c.select("ci").distinct().select("ci", F.explode(F.sequence(F.lit(lo), F.lit(max(lo, hi)))).alias("ord"))
-    known = c.groupBy("ci", "ord").agg((F.sum("tas") / F.count(F.lit(1))).alias("tas"))
+    known = c.groupBy("ci", "ord").agg(F.max("tas").alias("tas"))
     dense = days.join(known, ["ci", "ord"], "left").select(
         "ci", "ord", packing.pack(F.coalesce("tas", F.lit(253.5)), *spec).alias("code"),
         F.least(F.lit(2), F.expr(f"(1970 + ord div 365 - {first}) * 3 div {years}")).alias("part"))
@@ -100,8 +100,8 @@ def segment_boundaries(spark, d):
 
 
 @query("append_segment", """
-mid AS (SELECT (min(ord) + max(ord)) // 2 AS at FROM cube)
-SELECT cell, ord, tas FROM cube, mid WHERE ord > at + 365""", "cube")
+mid AS (SELECT (min(ord) + max(ord)) // 2 AS half FROM cube)
+SELECT cell, ord, tas FROM cube, mid WHERE ord > half + 365""", "cube")
 def append_segment(spark, d):
     """The later half of the series, given again with a year of overlap, adds only what the store lacks."""
     c = daily_cube(spark, d, "tas").select("cell", "ord", "tas")

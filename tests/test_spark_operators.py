@@ -1,5 +1,7 @@
 """Operators on small fixtures, checked against brute force or hand-made values."""
 
+import os
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -314,3 +316,102 @@ def test_increments_are_appended_once(spark, tmp_path):
 
 def test_presets_are_complete():
     assert set(VARIABLES) == {"hurs", "pr", "prsnratio", "ps", "rlds", "rsds", "sfcWind", "tas", "tasrange", "tasskew"}
+
+
+# Mended faults: hostile values in quantiles, units, publishing, labels with many digits.
+
+@pytest.mark.parametrize("bins", [1024, 8])
+def test_quantiles_of_hostile_values_end_and_keep_rank(spark, monkeypatch, bins):
+    from zephyrgrid.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "BINS", bins)
+    inf = float("inf")
+    for values in ([-inf, *range(3000)], [*range(3000), inf], [-inf, inf, *range(50)], [-1.7e308, 1.7e308, *range(3000)],
+                   [float("nan"), *range(100)], [5e-324, 0.0, -5e-324, 1.0] + [i * 5e-324 for i in range(2, 40)], [-inf] * 50 + [inf] * 50):
+        frame = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
+        kept = np.sort([v for v in map(float, values) if not np.isnan(v)])
+        ranks = [0.0, 0.5, 1.0] if len(kept) % 2 else [0.0, 1.0]
+        got = {r["p"]: r["quantile"] for r in quantiles.exact_quantiles(frame, "v", ranks).collect()}
+        assert got == {p: kept[int((len(kept) - 1) * p)] for p in ranks}
+
+
+def test_too_many_quantile_groups_are_refused(spark, monkeypatch):
+    from zephyrgrid.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "MOST_GROUPS", 3)
+    with pytest.raises(ValueError, match="more than 3"):
+        quantiles.exact_quantiles(spark.range(9).withColumn("v", F.col("id")), "v", [0.5], by="id")
+
+
+def test_settings_follow_the_unit_of_the_data():
+    from zephyrgrid.functions.presets import VARIABLES
+
+    rate, daily = VARIABLES["pr"].in_unit(), VARIABLES["pr"].in_unit("mm d-1")
+    assert daily.adapt_threshold == pytest.approx(0.1) and rate.adapt_threshold == pytest.approx(0.1 / 86400)
+    assert rate.adjust_bounds.lower_threshold == pytest.approx(0.1 / 86400) and rate.downscale_bounds.lower == 0.0
+    assert VARIABLES["rsds"].in_unit().adjust_bounds == VARIABLES["rsds"].adjust_bounds
+    assert VARIABLES["tas"].in_unit("degC").downscale_bounds.lower == pytest.approx(150 - 273.15)
+    with pytest.raises(ValueError):
+        VARIABLES["pr"].in_unit("K")
+
+
+def test_rain_per_second_survives_adjustment(spark):
+    from zephyrgrid.operators.adjustment import adjust_variable
+
+    rows = [(1, i, i % 365 + 1, (i % 365) // 31 + 1, 6e-5 * ((i * 37) % 100) / 100) for i in range(1095)]
+    series = spark.createDataFrame(rows, "cell bigint, ord bigint, doy bigint, month bigint, pr double")
+    out = adjust_variable(series, series, series, "pr", "pr")
+    assert out.where("adjusted > 0").count() > 900 and out.where("adjusted > 1e-4").count() == 0
+
+
+def test_publish_survives_a_crash_between_its_steps(spark, tmp_path, monkeypatch):
+    from zephyrgrid.sources import stores
+
+    path = str(tmp_path / "store")
+    old, new = spark.range(3), spark.range(5)
+    stores.publish(old, path)
+    os.rename(path, f"{path}.replaced")  # as if the job had died after setting the old store aside
+    assert stores.recover(spark, path) and not stores.recover(spark, path)
+    assert spark.read.parquet(path).count() == 3
+    stores.publish(new, path, overwrite=True)
+    assert spark.read.parquet(path).count() == 5 and not os.path.exists(f"{path}.replaced")
+    with pytest.raises(FileExistsError):
+        stores.publish(old, path)
+
+
+def test_batches_skip_what_is_published_and_refuse_what_differs(spark, tmp_path):
+    from zephyrgrid.plans import pipeline
+
+    frame = spark.createDataFrame([(c, o, 270.0 + c) for c in range(4) for o in range(400)], "cell bigint, ord bigint, v double")
+    path = str(tmp_path / "tas")
+    assert pipeline.publish_batch({path: (frame, "v", "tas")})[path]["skipped"] is False
+    assert pipeline.publish_batch({path: (frame, "v", "tas")})[path]["skipped"] is True
+    with pytest.raises(OSError):
+        pipeline.publish_batch({path: (frame.where("cell < 3"), "v", "tas")})
+
+
+def test_nan_in_a_store_is_missing(spark, tmp_path):
+    from zephyrgrid.sources import stores
+
+    spark.createDataFrame([(1, float("nan")), (2, 3.0)], "k bigint, v double").write.parquet(str(tmp_path / "n"))
+    assert {r["k"]: r["v"] for r in stores.open_cube(spark, str(tmp_path / "n")).collect()} == {1: None, 2: 3.0}
+
+
+def test_edge_audit_reads_codes_of_any_length(spark):
+    from zephyrgrid.operators import qc
+
+    rows = [("same-10", 2.0, 1.0), ("same-7", 3.0, 0.0), ("7-10", 9.0, 1.0)]
+    frame = spark.createDataFrame([(g, a, b, abs(a - b)) for g, a, b in rows], "pair string, first double, second double, difference double")
+    got = {r["pair"]: r["control_ratio"] for r in qc.edge_audit(frame, "pair").collect()}
+    assert got == {"same-10": None, "same-7": None, "7-10": 4.0}
+
+
+def test_every_row_of_the_table_has_one_role(spark):
+    from zephyrgrid.sources import cube
+
+    directory = "/root/testdata/sf0.001"
+    whole = cube.table(spark, directory, "lineitem").where("NOT (month(l_shipdate) = 2 AND day(l_shipdate) = 29)").count()
+    assert cube.line_counts(spark, directory).agg(F.sum("lines")).first()[0] == whole
+    together = cube.roles(spark, directory, "tas")
+    for role in ("ref", "hist", "sim"):
+        assert cube.role_series(spark, directory, role, "tas").exceptAll(together.where(F.col("role") == role).drop("role")).count() == 0

@@ -47,12 +47,17 @@ def parser() -> argparse.ArgumentParser:
     pack.add_argument("--variable", required=True, choices=sorted({**packing.RANGES, **packing.STEPS}))
     adjust = command("adjust", "adjust a simulation to a reference", "reference", "historical", "simulation")
     adjust.add_argument("--variable", required=True, choices=sorted(VARIABLES))
+    adjust.add_argument("--unit", help="unit of the inputs (default: the one the variable is stored in)")
+    adjust.add_argument("--min-observation-years", type=int, help="refuse series with fewer years")
     adjust.add_argument("--quantiles", type=int, default=50)
     adjust.add_argument("--seed", type=int, default=0)
     spread = command("downscale", "spread a coarse simulation over the fine grid", "reference", "simulation")
     spread.add_argument("--variable", required=True, choices=sorted(VARIABLES))
     for name, kind in (("rows", int), ("columns", int), ("factor", int), ("south", float), ("step", float)):
         spread.add_argument(f"--{name}", type=kind, required=True, help="coarse size, nesting factor, or fine latitude axis")
+    spread.add_argument("--unit", help="unit of the inputs (default: the one the variable is stored in)")
+    spread.add_argument("--quantiles", type=int, default=50)
+    spread.add_argument("--if-all-invalid-use", type=float, help="value for cells without any valid day (default: the variable's own)")
     spread.add_argument("--iterations", type=int, default=20)
     spread.add_argument("--seed", type=int, default=0)
     return root
@@ -89,14 +94,22 @@ def main(arguments: list[str] | None = None) -> int:
         report = pipeline.publish(read(options.input), options.variable, options.variable, options.output, options.overwrite)
     elif options.command == "adjust":
         inputs = [read(p) for p in (options.reference, options.historical, options.simulation)]
-        out = adjustment.adjust_variable(*inputs, options.variable, options.variable, options.quantiles, options.seed)
+        if options.min_observation_years is not None:
+            checked = pipeline.inputs_report(*inputs, options.variable, options.min_observation_years).collect()
+            short = [r["input"] for r in checked if not (r["time_monotonic"] and r["time_unique"] and r["training_period_sufficient"])]
+            if short:
+                print(json.dumps({"valid": False, "insufficient": short}, sort_keys=True))
+                return 1
+        out = adjustment.adjust_variable(
+            *inputs, options.variable, options.variable, options.quantiles, options.seed, unit=options.unit)
         stores.publish(out.select("cell", "ord", F.col("adjusted").alias(options.variable)), options.output, overwrite=options.overwrite)
     else:
-        rules = VARIABLES[options.variable]
+        rules = VARIABLES[options.variable].in_unit(options.unit)
+        fallback = rules.all_invalid_value if options.if_all_invalid_use is None else options.if_all_invalid_use
         out = downscale.downscale(
             read(options.reference), read(options.simulation), options.variable,
             Axis(options.south, options.step, options.rows * options.factor), options.rows, options.columns, options.factor,
-            rules.downscale_bounds, options.iterations, seed=options.seed, all_invalid_value=rules.all_invalid_value)
+            rules.downscale_bounds, options.iterations, options.quantiles, options.seed, fallback)
         stores.publish(out, options.output, overwrite=options.overwrite)
     print(json.dumps(report, sort_keys=True, default=str))
     return 0 if report.get("valid", report.get("valid_packing", True)) else 1

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+
+from . import units
 
 
 @dataclass(frozen=True)
@@ -12,6 +14,12 @@ class Bounds:
     upper: float | None = None
     upper_threshold: float | None = None
 
+    def converted(self, source: str, target: str) -> Bounds:
+        """The same bounds in another unit."""
+        a, b = units.conversion(source, target)
+        return Bounds(*[None if x is None else a * x + b for x in (
+            self.lower, self.lower_threshold, self.upper, self.upper_threshold)])
+
 
 @dataclass(frozen=True)
 class VariableSettings:
@@ -29,6 +37,22 @@ class VariableSettings:
     revision: int = 1
     conservation_tolerance: float = 0.05
     all_invalid_value: float | None = None
+    bounds_unit: str | None = None  # of bounds and dry-day threshold, where not ``unit``
+
+    def in_unit(self, unit: str | None = None) -> VariableSettings:
+        """These settings for data in ``unit`` (default: the variable's own): every limit is converted once, here.
+
+        Bounds of transformed values have no unit and stay as they are.
+        """
+        unit = unit or self.unit
+        source = self.bounds_unit or self.unit
+        threshold = None if self.adapt_threshold is None else units.quantity(f"{self.adapt_threshold} {source}", unit)
+        a, b = units.conversion(self.unit, unit)
+        clip = tuple(None if x is None else a * x + b for x in self.clip)
+        return replace(
+            self, unit=unit, bounds_unit=unit, adapt_threshold=threshold, clip=clip,
+            adjust_bounds=self.adjust_bounds if self.transform else self.adjust_bounds.converted(source, unit),
+            downscale_bounds=self.downscale_bounds.converted(source, unit))
 
 
 _UNIT_LOGIT = Bounds(0.0, 1e-4, 1.0, 0.9999)
@@ -42,7 +66,7 @@ VARIABLES: dict[str, VariableSettings] = {
                          revision=4),
         VariableSettings("pr", "kg m-2 s-1", "conservative", "qdm", "multiplicative",
                          Bounds(0.0, 0.1), Bounds(0.0, 0.1),
-                         adapt_threshold=0.1, clip=(0.0, None)),
+                         adapt_threshold=0.1, clip=(0.0, None), bounds_unit="mm d-1"),
         VariableSettings("prsnratio", "1", "linear", "qdm", "additive",
                          _UNIT_LOGIT, _UNIT_LOGIT, transform="logit",
                          clip=(0.0, 1.0), conservation_tolerance=0.15, all_invalid_value=0.0),

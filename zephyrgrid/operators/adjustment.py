@@ -301,13 +301,15 @@ def adjust(
 
 def adjust_variable(
     reference: DataFrame, historical: DataFrame, simulation: DataFrame, value: str, variable: str,
-    quantiles: int = 50, seed: int = 0, cache: tuple[str, str] | None = None,
+    quantiles: int = 50, seed: int = 0, cache: tuple[str, str] | None = None, unit: str | None = None,
 ) -> DataFrame:
     """Adjust one variable with its own method, transform, bounds and dry-day rule.
 
-    ``rsds`` additionally needs the ``lat`` column in every input.
+    ``unit`` is the unit of all three inputs, by default the one the variable is
+    stored in; bounds and thresholds are converted to it.  ``rsds`` additionally
+    needs the ``lat`` column in every input.
     """
-    preset: VariableSettings = settings(variable)
+    preset: VariableSettings = settings(variable).in_unit(unit)
     if preset.method == "bounded_qdm":
         from .humidity import adjust_humidity
 

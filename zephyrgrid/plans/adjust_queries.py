@@ -10,7 +10,7 @@ from ..functions.presets import VARIABLES
 from ..operators import adjustment as adj
 from ..operators.humidity import linear_quantiles
 from ..session import place_by, shared_directory
-from ..sources.cube import role_series
+from ..sources.cube import line_counts, role_series, table
 from .registry import query, rounded
 from .scalar_queries import TOP_SQL
 
@@ -151,6 +151,47 @@ def preset_snow_ratio(spark, d):
     return rounded(out.select("cell", "ord", "adjusted"), 6, "adjusted")
 
 
+_RATIO_SQL = """
+SELECT cell, ord, round(CASE WHEN x >= {edge} THEN x ELSE 0 END, {digits}) AS adjusted FROM (
+  SELECT cell, ord, v * (rq[i] / hq[i]) AS x FROM t LEFT JOIN g USING (cell, doy))"""
+
+
+@query("preset_wind", _pool("wind") + _RANK + _RATIO_SQL.format(edge="0.01::DOUBLE", digits=8), "roles")
+def preset_wind(spark, d):
+    out = adj.adjust_variable(*series(spark, d, "wind"), "wind", "sfcWind")
+    return rounded(out.select("cell", "ord", "adjusted"), 8, "adjusted")
+
+
+@query("preset_tasrange", _pool("tasrange") + _RANK + _RATIO_SQL.format(edge="0.01::DOUBLE", digits=6), "roles")
+def preset_tasrange(spark, d):
+    out = adj.adjust_variable(*series(spark, d, "tasrange"), "tasrange", "tasrange")
+    return rounded(out.select("cell", "ord", "adjusted"), 6, "adjusted")
+
+
+@query("preset_precipitation_units", """
+SELECT cell, ord, TRUE AS same FROM roles WHERE role = 'sim'""", "roles")
+def preset_precipitation_units(spark, d):
+    """Precipitation per second and per day adjusts to the same values, 86,400 apart, and rain survives."""
+    daily = series(spark, d, "pr")
+    a = adj.adjust_variable(*daily, "pr", "pr", unit="mm d-1").select("cell", "ord", F.col("adjusted").alias("day"))
+    rate = [df.withColumn("pr", F.col("pr") / 86400.0) for df in daily]
+    b = adj.adjust_variable(*rate, "pr", "pr").select("cell", "ord", F.col("adjusted").alias("second"))
+    day, second = F.coalesce("day", F.lit(-1.0)), F.coalesce(F.col("second") * 86400.0, F.lit(-1.0))
+    return a.join(b, ["cell", "ord"]).select("cell", "ord", (F.abs(day - second) <= 1e-6).alias("same"))
+
+
+@query("role_coverage", """
+SELECT role, sum(lines)::BIGINT AS lines, count(*) AS days, any_value(whole)::BIGINT AS whole FROM (
+  SELECT CASE WHEN l_linestatus = 'O' AND year(l_shipdate) <= 1998 THEN 'ref' WHEN year(l_shipdate) <= 1998 THEN 'hist' ELSE 'sim' END AS role,
+    l_partkey % (side * side) AS cell, CAST(l_shipdate AS DATE) AS day, count(*) AS lines, sum(count(*)) OVER () AS whole
+  FROM lineitem, grid WHERE NOT (month(l_shipdate) = 2 AND day(l_shipdate) = 29) GROUP BY ALL) GROUP BY role""", "grid")
+def role_coverage(spark, d):
+    """Order lines and cell-days of each series; together they are all lines without 29 February."""
+    counts = line_counts(spark, d)
+    items = table(spark, d, "lineitem").where("NOT (month(l_shipdate) = 2 AND day(l_shipdate) = 29)")
+    return counts.withColumn("whole", F.lit(items.count()))
+
+
 _KT = "least(greatest(CASE WHEN ra <= 0 THEN 0 ELSE rsds / ra END, 0.0001::DOUBLE), 0.9999::DOUBLE)"
 
 

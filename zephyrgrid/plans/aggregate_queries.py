@@ -398,18 +398,20 @@ def mean_annual_total(spark, d):
 
 
 @query("edge_comparison", """
-j AS (SELECT abs(tasm - n) AS now, abs(tas * 0.5 + n * 0.5 - n) AS then_
-  FROM (SELECT tasm, tas, lead(tas) OVER (PARTITION BY cell ORDER BY ord) AS n FROM cube)),
+j AS (SELECT abs(a.tasm - b.tas) AS now, abs(a.tas * 0.5 + b.tas * 0.5 - b.tas) AS then_
+  FROM cube a, grid, cube b WHERE a.ord = b.ord AND (b.fi = a.fi + 1 AND b.fj = a.fj OR b.fi = a.fi AND b.fj = (a.fj + 1) % side)),
 s AS (SELECT count(*) FILTER (now IS NOT NULL AND then_ IS NOT NULL) AS pairs, count(*) FILTER (then_ < now) AS better,
   quantile_cont(now, 0.95) AS a, quantile_cont(then_, 0.95) AS b FROM j)
 SELECT pairs, round(better / pairs, 6) AS improved, round(a, 6) AS p95_now, round(b, 6) AS p95_then,
   round(b - a, 6) AS p95_change, round(100 * (b / a - 1), 6) AS p95_percent_change FROM s""", "cube")
 def edge_comparison(spark, d):
-    from pyspark.sql import Window
-
-    c = daily_cube(spark, d, "tas", "tasm").withColumn("n", F.lead("tas").over(Window.partitionBy("cell").orderBy("ord")))
-    c = c.withColumn("alt", F.col("tas") * 0.5 + F.col("n") * 0.5)
-    return rounded(agg.edge_comparison(c, "tasm", "alt", "n"), 6, "improved", "p95_now", "p95_then", "p95_change", "p95_percent_change")
+    """Across the edges between neighbouring cells: would the mean of both sides join more smoothly?"""
+    c = daily_cube(spark, d, "tas", "tasm")
+    edges = agg.neighbour_edges(c.select("cell", "fi", "fj").distinct(), grid_side(spark, d)).select("a_cell", "b_cell")
+    own = c.select(F.col("cell").alias("a_cell"), "ord", "tas", "tasm")
+    other = c.select(F.col("cell").alias("b_cell"), "ord", F.col("tas").alias("n"))
+    joined = edges.join(own, "a_cell").join(other, ["b_cell", "ord"]).withColumn("alt", F.col("tas") * 0.5 + F.col("n") * 0.5)
+    return rounded(agg.edge_comparison(joined, "tasm", "alt", "n"), 6, "improved", "p95_now", "p95_then", "p95_change", "p95_percent_change")
 
 
 @query("source_code_counts", "SELECT code, count(*) AS cells FROM cells GROUP BY code", "cells")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import calendar as cal
 from ..functions.presets import VARIABLES
 from ..operators import downscale as ds
 from ..operators import fireweather as fw
@@ -27,7 +28,7 @@ def _downscaled(spark, d, value: str, variable: str):
     half = side // 2
     observations = role_series(spark, d, "ref", value)
     coarse = role_series(spark, d, "sim", value).groupBy("ci", "cj", "ord", "month").agg(F.avg(value).alias(value))
-    preset = VARIABLES[variable]
+    preset = VARIABLES[variable].in_unit("mm d-1" if variable == "pr" else None)  # the cube holds daily sums
     fine = ds.downscale(observations, coarse, value, Axis(-60.0 + 60.0 / side, 120.0 / side, side), half, half, 2,
                         preset.downscale_bounds, all_invalid_value=preset.all_invalid_value)
     return fine.select((F.col("fi") * side + F.col("fj")).alias("cell"), "ord", value)
@@ -51,6 +52,48 @@ def mbcnsd_controlled(spark, d):
     return rounded(masks.apply_support(fine, land, "tas").select("cell", "ord", "tas"), 6, "tas")
 
 
+_COVER_SQL = """
+w AS (SELECT coarse, count(DISTINCT cell) AS active FROM roles WHERE role = 'ref' GROUP BY ALL),
+s AS (SELECT coarse, month, count(DISTINCT ord) AS days FROM roles WHERE role = 'sim' GROUP BY ALL)
+SELECT coarse, month, days, 4 * days AS "values", (4 - active) * days AS missing, 0::BIGINT AS outside
+FROM s JOIN w USING (coarse)"""
+
+
+def _coverage(spark, d, value: str, variable: str, low: float, high: float):
+    """Per coarse cell and month of the downscaled field: days, values, missing and impossible ones."""
+    side = grid_side(spark, d)
+    fine = _downscaled(spark, d, value, variable).withColumn("month", cal.month_of_doy(F.pmod("ord", F.lit(365)) + 1))
+    coarse = F.expr(f"cell div {side} div 2 * {side // 2} + cell % {side} div 2")
+    return fine.groupBy(coarse.alias("coarse"), "month").agg(
+        F.count_distinct("ord").alias("days"), F.count(F.lit(1)).alias("values"), F.count_if(F.col(value).isNull()).alias("missing"),
+        F.count_if((F.col(value) < low) | (F.col(value) > high)).alias("outside"))
+
+
+@query("mbcnsd_temperature_coverage", _COVER_SQL, "roles")
+def mbcnsd_temperature_coverage(spark, d):
+    """Every simulated day of every active cell is filled, within the variable's limits."""
+    return _coverage(spark, d, "tas", "tas", 150.0, 350.0)
+
+
+@query("mbcnsd_precipitation_coverage", _COVER_SQL, "roles")
+def mbcnsd_precipitation_coverage(spark, d):
+    return _coverage(spark, d, "pr", "pr", 0.0, 3000.0)
+
+
+@query("bounded_humidity_coverage", """
+r AS (SELECT cell FROM roles GROUP BY cell HAVING count(DISTINCT role) = 3)
+SELECT cell, count(*) AS days, count(*) FILTER (cell NOT IN (SELECT cell FROM r)) AS missing, 0::BIGINT AS outside
+FROM roles WHERE role = 'sim' GROUP BY cell""", "roles")
+def bounded_humidity_coverage(spark, d):
+    """Per cell: simulated days, days left unadjusted, values outside 0..100 percent or between a bound and its threshold."""
+    r, h, s = series(spark, d, "hurs")
+    v = F.col("adjusted")
+    outside = (v < humidity.LOW) | (v > humidity.HIGH) | ((v > humidity.LOW) & (v <= humidity.LOW_EDGE)) | (
+        (v < humidity.HIGH) & (v >= humidity.HIGH_EDGE))
+    return humidity.adjust_humidity(r, h, s, "hurs").groupBy("cell").agg(
+        F.count(F.lit(1)).alias("days"), F.count_if(v.isNull()).alias("missing"), F.count_if(outside).alias("outside"))
+
+
 _LE = "[" + ", ".join("[" + ", ".join(map(str, row)) + "]" for row in fw.DAY_LENGTH.tolist()) + "]::DOUBLE[][]"
 _LF = "[" + ", ".join("[" + ", ".join(map(str, row)) + "]" for row in fw.DRYING.tolist()) + "]::DOUBLE[][]"
 

@@ -66,14 +66,16 @@ def preprocessing_report(df: DataFrame, target: Grid, value: str = "value") -> D
 def adjust_and_downscale(
     fine_reference: DataFrame, historical: DataFrame, simulation: DataFrame, value: str, variable: str,
     fine: Grid, rows: int, columns: int, factor: int, seed: int = 0, iterations: int = 20,
-    cache: tuple[str, str] | None = None,
+    cache: tuple[str, str] | None = None, unit: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Adjust the coarse simulation and spread it over the fine grid; returns (adjusted, fine).
 
+    ``unit`` is the unit of every series, by default the one the variable is stored in.
+
     ``fine_reference`` has (fi, fj, ord, doy, month, value); the model series have
     (ci, cj, ord, doy, month, value).
     """
-    rules = settings(variable)
+    rules = settings(variable).in_unit(unit)
     lat = F.lit(fine[0].first) + F.lit(fine[0].step) * F.col("fi")
     coarse = (F.expr(f"fi div {factor}") * columns + F.expr(f"fj div {factor}")).cast("bigint")
     reference = fine_reference.withColumn("lat", lat).withColumn("coarse", coarse)
@@ -86,13 +88,13 @@ def adjust_and_downscale(
 
     sim = by_cell(simulation)
     adjusted = adjustment.adjust_variable(
-        coarse_reference.withColumn("lat", coarse_lat), by_cell(historical), sim, value, variable, seed=seed, cache=cache)
+        coarse_reference.withColumn("lat", coarse_lat), by_cell(historical), sim, value, variable, seed=seed, cache=cache, unit=unit)
     if "month" not in adjusted.columns:
         adjusted = adjusted.join(sim.select("cell", *keys), ["cell", "ord"])
     adjusted = adjusted.select("cell", *keys, F.col("adjusted").alias(value))
     if variable in ("pr", "sfcWind"):
         adjusted = masks.value_controls(
-            adjusted, precipitation=value if variable == "pr" else "-", precipitation_unit="mm d-1",
+            adjusted, precipitation=value if variable == "pr" else "-", precipitation_unit=rules.unit if variable == "pr" else "kg m-2 s-1",
             wind=value if variable == "sfcWind" else "-")
     placed = adjusted.select(
         F.expr(f"cell div {columns}").alias("ci"), F.expr(f"cell % {columns}").alias("cj"), "ord", "month", value)
@@ -105,13 +107,13 @@ def adjust_and_downscale(
 
 def finish_and_check(
     spread: DataFrame, adjusted: DataFrame, support: DataFrame, value: str, variable: str, fine: Grid, factor: int,
-    days: int,
+    days: int, unit: str | None = None,
 ) -> tuple[DataFrame, dict]:
     """Value controls, support mask, and the coverage and conservation reports (two small rows)."""
-    rules = settings(variable)
+    rules = settings(variable).in_unit(unit)
     renamed = spread.withColumnRenamed(value, variable if variable != "sfcWind" else "wind")
     name = variable if variable != "sfcWind" else "wind"
-    controlled = masks.apply_support(masks.value_controls(renamed, precipitation_unit="mm d-1"), support, name)
+    controlled = masks.apply_support(masks.value_controls(renamed, precipitation_unit=rules.unit if variable == "pr" else "kg m-2 s-1"), support, name)
     finished = controlled.withColumnRenamed(name, value).drop("support")
     columns = fine[1].size // factor
     lat = F.lit(fine[0].first) + F.lit(fine[0].step) * F.col("fi")
@@ -127,7 +129,7 @@ def finish_and_check(
 
 def fire_products(
     weather: DataFrame, support: DataFrame, first_output_year: int, reference_years: tuple[int, int],
-    precipitation_unit: str = "mm d-1",
+    precipitation_unit: str = settings("pr").unit,
 ) -> tuple[DataFrame, DataFrame]:
     """Daily indices from ``first_output_year`` on (earlier days warm up), and annual indicators.
 
@@ -145,7 +147,7 @@ def fire_products(
 
 
 def publish(df: DataFrame, value: str, variable: str, path: str, overwrite: bool = False) -> dict:
-    """Pack one variable, refuse saturation, publish whole, and return the packing report."""
+    """Pack one variable, refuse saturation, publish whole, reopen and check it, and return the packing report."""
     scale, offset = packing.specification(variable)
     report = scalar_row(packing.packing_report(df, value, scale, offset)).asDict()
     if not report["valid_packing"]:
@@ -155,9 +157,35 @@ def publish(df: DataFrame, value: str, variable: str, path: str, overwrite: bool
     # Files hold whole cells of one year, in cell order, for contiguous reads.
     ordered = packed.repartition("year", F.expr("cell div 1024")).sortWithinPartitions("year", "cell", "ord")
     stores.publish(ordered, path, partition_by=["year"], overwrite=overwrite)
+    verify_published(df, value, variable, path)
     return report
 
 
+def verify_published(df: DataFrame, value: str, variable: str, path: str) -> None:
+    """Reopen a published store: as many rows and valid values as ``df``, each within half a packing step of it."""
+    scale, offset = packing.specification(variable)
+    counts = scalar_row(df.agg(F.count(F.lit(1)).alias("rows"), F.count(value).alias("valid"),
+                               F.sum(F.xxhash64("cell", "ord").cast("decimal(38,0)")).alias("keys")))
+    again = df.sparkSession.read.parquet(path)
+    back = scalar_row(again.agg(F.count(F.lit(1)).alias("rows"), F.count(packing.unpack(F.col("code"), scale, offset)).alias("valid"),
+                                F.sum(F.xxhash64("cell", "ord").cast("decimal(38,0)")).alias("keys")))
+    if counts != back:
+        raise OSError(f"{path} does not hold what was published: {back} instead of {counts}")
+
+
+def publish_batch(products: dict[str, tuple[DataFrame, str, str]], overwrite: bool = False) -> dict[str, dict]:
+    """Publish several (data, value, variable) by path; a store that is there and whole is left alone."""
+    reports = {}
+    for path, (df, value, variable) in products.items():
+        stores.recover(df.sparkSession, path)
+        if not overwrite and stores.exists(df.sparkSession, path):
+            verify_published(df, value, variable, path)
+            reports[path] = {"skipped": True}
+        else:
+            reports[path] = {"skipped": False, **publish(df, value, variable, path, overwrite)}
+    return reports
+
+
 def inputs_report(reference: DataFrame, historical: DataFrame, simulation: DataFrame, value: str, minimum_years: int) -> DataFrame:
     """One row per input: time checks over all cells, before any adjustment starts."""
     def check(df: DataFrame, name: str) -> DataFrame:

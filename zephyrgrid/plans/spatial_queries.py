@@ -31,11 +31,19 @@ def _axes(side):
     return (regrid.Axis(-60.0 + step / 2, step, side), regrid.Axis(180.0 / side, 360.0 / side, side, True))
 
 
-@query("exact_align", """
+@query("exact_align", "SELECT cell, ord, tas AS reference, pr AS historical FROM cube", "cube")
+def exact_align(spark, d):
+    """Strict alignment of two variables of one cube; unequal axes are refused."""
+    left = daily_cube(spark, d, "tas").select("cell", "ord", F.col("tas").alias("reference"))
+    right = daily_cube(spark, d, "pr").select("cell", "ord", F.col("pr").alias("historical"))
+    return align.align(left, right, ["cell", "ord"])
+
+
+@query("common_days", """
 SELECT r.cell, r.ord, r.tas AS reference, h.tas AS historical
 FROM roles r JOIN roles h ON r.cell = h.cell AND r.ord = h.ord WHERE r.role = 'ref' AND h.role = 'hist'""", "roles")
-def exact_align(spark, d):
-    """Inner alignment; the strict form, which refuses unequal axes, is tested on fixtures."""
+def common_days(spark, d):
+    """Inner alignment of two series of different days."""
     r = _role(spark, d, "ref", "tas").select("cell", "ord", F.col("tas").alias("reference"))
     h = _role(spark, d, "hist", "tas").select("cell", "ord", F.col("tas").alias("historical"))
     return align.align(r, h, ["cell", "ord"], exact=False)
@@ -219,12 +227,12 @@ def annulus_weighted_series(spark, d):
     return rounded(weighted_annulus_series(yearly, _ring(spark, d), "v"), 6, "mean")
 
 
-@query("history_concat", """
+@query("history_gaps", """
 h AS (SELECT cell, max(ord) AS last_history, count(*) AS history_days FROM roles WHERE role = 'ref' GROUP BY cell),
 s AS (SELECT cell, min(ord) AS first_simulation, count(*) AS simulation_days FROM roles WHERE role = 'sim' GROUP BY cell)
 SELECT cell, last_history, history_days, first_simulation, simulation_days, coalesce(first_simulation - last_history = 1, FALSE) AS adjacent
 FROM h FULL JOIN s USING (cell)""", "roles")
-def history_concat(spark, d):
+def history_gaps(spark, d):
     return align.history_gaps(_role(spark, d, "ref", "tas"), _role(spark, d, "sim", "tas"), ["cell"])
 
 

@@ -99,6 +99,13 @@ def segment_boundaries(spark, d):
     return packing.segment_boundaries(_merged(spark, d), ["ci"])
 
 
+@query("history_concat", _DENSE_SQL + "SELECT ci, ord, code, segment = 0 AS is_history FROM parts WHERE segment < 2", "cube")
+def history_concat(spark, d):
+    """Two adjacent periods stacked; the operator refuses a gap between them."""
+    history, simulation, _ = _segments(spark, d)
+    return align.concatenate_history(history, simulation, ["ci"])
+
+
 @query("append_segment", """
 mid AS (SELECT (min(ord) + max(ord)) // 2 AS half FROM cube)
 SELECT cell, ord, tas FROM cube, mid WHERE ord > half + 365""", "cube")

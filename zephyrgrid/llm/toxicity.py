@@ -48,6 +48,7 @@ NEIGHBOURS = 15
 BLOCK = 64
 CUT = 0.7
 FLUSH = 200_000
+REMEMBERED = 20_000
 
 
 def held_out(key: str | Column) -> Column:
@@ -164,48 +165,58 @@ def weighted(terms, counts, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class BlockMaxIndex:
-    """Postings by term and block of examples, with the largest weight of each."""
+    """Postings by term and block of vectors, with the largest weight of each; equal vectors are one entry."""
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], terms: int):
-        # Examples led by the same term lie together, which keeps the maxima of other blocks low.
-        lead = [(int(t[np.argmax(w)]), -float(w.max())) if len(t) else (terms, 0.0) for t, w in rows]
-        self.order = np.array(sorted(range(len(rows)), key=lambda i: (*lead[i], i)), np.int64)
-        self.blocks = -(-len(rows) // BLOCK)
-        slot = np.empty(len(rows), np.int64)
-        slot[self.order] = np.arange(len(rows))
-        term = np.concatenate([t for t, _ in rows] or [np.array([], np.int64)])
-        weight = np.concatenate([w for _, w in rows] or [np.array([], np.float64)])
-        at = np.repeat(slot, [len(t) for t, _ in rows])
+        members: dict[tuple, list[int]] = {}
+        for example, (t, w) in enumerate(rows):
+            members.setdefault((tuple(t.tolist()), tuple(np.round(w, 12).tolist())), []).append(example)
+        # Vectors led by the same term lie together, which keeps the maxima of other blocks low.
+        def place(key):
+            lead = max(range(len(key[0])), key=lambda i: key[1][i], default=-1)
+            return (key[0][lead], -key[1][lead]) if lead >= 0 else (terms, 0.0), key
+        ordered = sorted(members, key=place)
+        self.members = [members[key] for key in ordered]
+        vectors = [rows[m[0]] for m in self.members]
+        self.size, self.blocks = len(vectors), -(-len(vectors) // BLOCK)
+        term = np.concatenate([t for t, _ in vectors] or [np.array([], np.int64)])
+        weight = np.concatenate([w for _, w in vectors] or [np.array([], np.float64)])
+        at = np.repeat(np.arange(self.size), [len(t) for t, _ in vectors])
         by = np.lexsort((at, term))
         self.at, self.weight, term = at[by], weight[by], term[by]
         group = term * max(1, self.blocks) + self.at // BLOCK
         self.starts = np.nonzero(np.r_[True, group[1:] != group[:-1]])[0] if len(group) else np.array([], np.int64)
-        self.ends = np.r_[self.starts[1:], len(group)]
+        self.lengths = np.diff(np.r_[self.starts, len(group)])
         self.block = self.at[self.starts] // BLOCK
         self.most = np.maximum.reduceat(self.weight, self.starts) if len(group) else self.weight
         self.first = np.searchsorted(term[self.starts], np.arange(terms + 1))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> list[tuple[int, float]]:
         """The k examples with the largest positive cosine as (example, cosine), best first, ties by example."""
-        bounds = np.zeros(self.blocks)
-        for t, w in zip(terms, weights):
-            of = slice(self.first[t], self.first[t + 1])
-            bounds[self.block[of]] += w * self.most[of]
+        spans = [np.arange(self.first[t], self.first[t + 1]) for t in terms]
+        groups = np.concatenate(spans or [np.array([], np.int64)])
+        scale = np.repeat(weights, [len(s) for s in spans])
+        bounds = np.bincount(self.block[groups], scale * self.most[groups], self.blocks)
+        order = np.argsort(-bounds, kind="stable")
         best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(best) >= k and bounds[block] < -best[k - 1][0] - 1e-9:
+        at, step = 0, 4
+        while at < len(order) and bounds[order[at]] > 0:
+            if len(best) >= k and bounds[order[at]] < -best[k - 1][0] - 1e-9:
                 break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(terms, weights):
-                g = self.first[t] + np.searchsorted(self.block[self.first[t]:self.first[t + 1]], block)
-                if g < self.first[t + 1] and self.block[g] == block:
-                    of = slice(self.starts[g], self.ends[g])
-                    scores[self.at[of] - block * BLOCK] += w * self.weight[of]
-            for i in np.nonzero(scores > 0)[0]:
-                example = int(self.order[block * BLOCK + i])
-                if example != skip:
-                    best.append((-round(float(scores[i]), 12), example))
+            chosen = np.zeros(self.blocks, bool)
+            chosen[order[at:at + step]] = True
+            on = chosen[self.block[groups]]
+            picked, n = groups[on], self.lengths[groups[on]]
+            postings = np.repeat(self.starts[picked] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+            scores = np.bincount(self.at[postings], np.repeat(scale[on], n) * self.weight[postings], self.size)
+            found = np.nonzero(scores > 0)[0]
+            if len(found) > k + 1:
+                found = found[scores[found] >= np.partition(scores[found], -k - 1)[-k - 1] - 1e-9]
+            for entry in found:
+                score = -round(float(scores[entry]), 12)
+                best += [(score, example) for example in self.members[entry][:k + 1] if example != skip]
             best = sorted(best)[:k]
+            at, step = at + step, step * 4
         return [(example, -minus) for minus, example in best]
 
 
@@ -234,6 +245,7 @@ class Model:
     index: BlockMaxIndex | None = None
     without: float = 0.0
     knots: tuple[np.ndarray, np.ndarray] = (np.array([0.0]), np.array([0.0]))
+    known: dict = field(default_factory=dict)
 
     def vote(self, terms, counts, skip: int = -1) -> tuple[float, list[tuple[int, float]]] | None:
         """Share of toxic weight among the nearest examples and the examples; None without any."""
@@ -245,10 +257,14 @@ class Model:
         return sum(c * self.toxic[e] for e, c in near) / sum(c for _, c in near), near
 
     def score(self, terms, counts) -> tuple[float, list[tuple[int, float]]]:
-        found = self.vote(terms, counts)
-        if found is None:
-            return self.without, []
-        return float(np.interp(found[0], *self.knots)), found[1]
+        """Probability and examples; the last ``REMEMBERED`` distinct texts are not searched again."""
+        key = tuple(terms), tuple(counts)
+        if key not in self.known:
+            found = self.vote(terms, counts)
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[key] = (self.without, []) if found is None else (float(np.interp(found[0], *self.knots)), found[1])
+        return self.known[key]
 
 
 def fit(documents: DataFrame, labels: DataFrame, table: DataFrame | None = None, limit: int = MAX_EXAMPLES) -> tuple[Model, DataFrame]:

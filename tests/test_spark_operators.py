@@ -415,3 +415,11 @@ def test_every_row_of_the_table_has_one_role(spark):
     together = cube.roles(spark, directory, "tas")
     for role in ("ref", "hist", "sim"):
         assert cube.role_series(spark, directory, role, "tas").exceptAll(together.where(F.col("role") == role).drop("role")).count() == 0
+
+
+def test_training_series_read_the_table_once(spark):
+    from zephyrgrid.plans.adjust_queries import series
+
+    for frame in series(spark, "/root/testdata/sf0.001", "tas"):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan" not in plan and "Scan ExistingRDD" in plan

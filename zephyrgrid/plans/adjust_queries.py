@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from ..functions.presets import VARIABLES
 from ..operators import adjustment as adj
 from ..operators.humidity import linear_quantiles
-from ..session import place_by, shared_directory
-from ..sources.cube import line_counts, role_series, table
+from ..session import cut_lineage, place_by, shared_directory
+from ..sources.cube import line_counts, roles, table
 from .registry import query, rounded
 from .scalar_queries import TOP_SQL
 
@@ -18,8 +18,10 @@ _NODES = "[" + ", ".join(f"{n:.2f}" for n in adj.quantile_nodes(50)) + "]"
 
 
 def series(spark, d, *columns):
+    """The three series from one scan: daily rows are written once and each series is read from there."""
     keys = ["cell", "ord", "doy", "month", "year", "lat"]
-    return tuple(role_series(spark, d, r, *columns).select(*keys, *columns) for r in ("ref", "hist", "sim"))
+    together = cut_lineage(roles(spark, d, *columns).select("role", *keys, *columns))
+    return tuple(together.where(F.col("role") == r).select(*keys, *columns) for r in ("ref", "hist", "sim"))
 
 
 def _pool(value: str) -> str:

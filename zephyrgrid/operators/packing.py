@@ -47,10 +47,11 @@ def pack_columns(df: DataFrame, *names: str) -> DataFrame:
 def pack(value: Column, scale: float, offset: float, label: str = "value") -> Column:
     """SMALLINT code; missing is -32768; infinite or out-of-range values stop the job."""
     code = F.rint((value - F.lit(offset)) / F.lit(scale))
-    problem = F.when(F.abs(value) == F.lit(float("inf")), F.lit(f"{label} is infinite")).when(
-        F.abs(code) > CODE_LIMIT, F.concat(F.lit(f"{label} does not fit the packing range: "), value.cast("string")))
-    return F.when(value.isNull() | F.isnan(value), F.lit(FILL).cast("smallint")).when(
-        problem.isNotNull(), F.raise_error(problem).cast("smallint")).otherwise(code.cast("smallint"))
+    problem = F.when(F.abs(value) == F.lit(float("inf")), F.lit(f"{label} is infinite")).otherwise(
+        F.concat(F.lit(f"{label} does not fit the packing range: "), value.cast("string")))
+    # Most values pass the first test, and it is all they meet; NaN and NULL fail it.
+    return F.when(F.abs(code) <= CODE_LIMIT, code.cast("smallint")).when(
+        value.isNull() | F.isnan(value), F.lit(FILL).cast("smallint")).otherwise(F.raise_error(problem).cast("smallint"))
 
 
 def unpack(code: Column, scale: float, offset: float) -> Column:

@@ -3,8 +3,9 @@
 Terms are lower-cased words of letters, the first letters of longer words, and
 either of them found at least two, three or five times.  The vocabulary holds
 the terms whose presence goes with the label: Dunning's G-squared of at least 2 ln T, T being the number of terms in
-``MIN_ROWS`` or more examples, which lets about one term pass by chance;
-``MAX_TERMS`` at most, strongest first.  Document frequencies are counted over all documents.
+``MIN_ROWS`` or more examples, which lets about one term pass by chance, and odds
+of the label at least ``MIN_ODDS`` times higher or lower with the term, which
+leaves out what merely marks a language; ``MAX_TERMS`` at most, strongest first.  Document frequencies are counted over all documents.
 
 Examples are a bounded sample: of the labelled rows that may be learnt from, the
 ``MAX_EXAMPLES`` with the smallest hash of their id.  Their postings lie in an
@@ -44,11 +45,12 @@ LEVELS = (1, 2, 3, 5)
 MAX_EXAMPLES = 20_000
 MAX_TERMS = 4096
 MIN_ROWS = 3
+MIN_ODDS = 3.0
 NEIGHBOURS = 15
 BLOCK = 64
 CUT = 0.7
 FLUSH = 200_000
-REMEMBERED = 20_000
+REMEMBERED = 10_000
 
 
 def held_out(key: str | Column) -> Column:
@@ -101,6 +103,8 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def vocabulary(documents: DataFrame, sample: DataFrame, limit: int = MAX_TERMS) -> list[str]:
     """The terms that tell the labels apart.  ``sample`` is bounded, so it is broadcast."""
     known = documents.select(F.col("doc_id").alias("example"), "text").join(F.broadcast(sample), "example")
+    # Copies of one text say the same thing once; otherwise every word of a much copied text looks telling.
+    known = known.withColumn("hash", F.sha2(F.coalesce("text", F.lit("")), 256)).dropDuplicates(["hash", "toxic"])
     counted = known.select("text", "toxic").mapInArrow(_presence, "term string, toxic bigint, clean bigint").groupBy("term").agg(
         F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
     counted = cut_lineage(counted)
@@ -115,7 +119,8 @@ def vocabulary(documents: DataFrame, sample: DataFrame, limit: int = MAX_TERMS)
     g2 = sum((F.when(x > 0, x * F.log(x * total / e)).otherwise(0.0) for x, e in cells), F.lit(0.0)) * 2
     tested = counted.where(f"term <> '' AND a + b >= {MIN_ROWS}")
     least = 2 * math.log(max(2, tested.count()))
-    best = tested.withColumn("g2", g2).where(F.col("g2") >= least).orderBy(F.desc("g2"), "term").limit(limit)
+    odds = F.log((F.col("a") + 0.5) * (without - F.col("b") + 0.5) / ((F.col("b") + 0.5) * (with_term - F.col("a") + 0.5)))
+    best = tested.withColumn("g2", g2).where(F.abs(odds) >= math.log(MIN_ODDS)).where(F.col("g2") >= least).orderBy(F.desc("g2"), "term").limit(limit)
     return [r["term"] for r in best.select("term").collect()]
 
 
@@ -125,6 +130,8 @@ class TermFinder:
     def __init__(self, terms: list[str]):
         self.words: dict[str, list[tuple[int, int]]] = {}
         self.starts: dict[int, dict[str, list[tuple[int, int]]]] = {}
+        # Most words differ from every prefix in the first letters, which one look-up tells.
+        self.heads = {t.partition("#")[0][:PREFIXES[0]] for t in terms if "*" in t}
         for number, term in enumerate(terms):
             base, _, level = term.partition("#")
             start = base.endswith("*")
@@ -134,11 +141,13 @@ class TermFinder:
     def __call__(self, text: str | None) -> dict[int, int]:
         words = Counter(WORD.findall((text or "").lower()))
         found = [(self.words[w], words[w]) for w in words.keys() & self.words.keys()]
+        heads, shortest = self.heads, PREFIXES[0]
+        likely = [w for w in words if w[:shortest] in heads]
         for size, starts in self.starts.items():
             counts: Counter = Counter()
-            for word, n in words.items():
+            for word in likely:
                 if word[:size] in starts and len(word) > size:
-                    counts[word[:size]] += n
+                    counts[word[:size]] += words[word]
             found += [(starts[w], n) for w, n in counts.items()]
         return {number: n for levels, n in found for level, number in levels if n >= level}
 
@@ -193,9 +202,10 @@ class BlockMaxIndex:
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> list[tuple[int, float]]:
         """The k examples with the largest positive cosine as (example, cosine), best first, ties by example."""
-        spans = [np.arange(self.first[t], self.first[t + 1]) for t in terms]
-        groups = np.concatenate(spans or [np.array([], np.int64)])
-        scale = np.repeat(weights, [len(s) for s in spans])
+        low = self.first[terms]
+        span = self.first[terms + 1] - low
+        groups = np.repeat(low + span - np.cumsum(span), span) + np.arange(span.sum())
+        scale = np.repeat(weights, span)
         bounds = np.bincount(self.block[groups], scale * self.most[groups], self.blocks)
         order = np.argsort(-bounds, kind="stable")
         best: list[tuple[float, int]] = []
@@ -207,7 +217,7 @@ class BlockMaxIndex:
             chosen[order[at:at + step]] = True
             on = chosen[self.block[groups]]
             picked, n = groups[on], self.lengths[groups[on]]
-            postings = np.repeat(self.starts[picked] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+            postings = np.repeat(self.starts[picked] + n - np.cumsum(n), n) + np.arange(n.sum())
             scores = np.bincount(self.at[postings], np.repeat(scale[on], n) * self.weight[postings], self.size)
             found = np.nonzero(scores > 0)[0]
             if len(found) > k + 1:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +35,18 @@ def scattered(*columns: str | Column, parts: int) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(parts)).cast("int")
 
 
+def stretches(texts: list[str], characters: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Cut a list into runs [a, b) of about so many characters."""
+    start = size = 0
+    for at, text in enumerate(texts):
+        size += len(text)
+        if size >= characters:
+            yield start, at + 1
+            start, size = at + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Join where one key may own a third of ``left`` and is unique, or nearly so, in ``right``.
 

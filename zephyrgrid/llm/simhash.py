@@ -34,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from .common import components, salted_join
@@ -172,15 +173,15 @@ def links(nodes: DataFrame) -> DataFrame:
 
 
 def near_groups(marked: DataFrame) -> DataFrame:
-    """(id, fp, component_id) for rows (id, fp); component_id is the smallest id in reach over links."""
+    """(id, fp, component_id, root) for rows (id, fp); component_id is the smallest id in reach over links."""
     marked = cut_lineage(marked)
     nodes = cut_lineage(marked.groupBy("fp").agg(F.min("id").alias("smallest")))
     roots = components(links(nodes))
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "smallest", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    named = salted_join(rooted.select("fp", "root"), lowest, ["root"]).select("fp", "component_id")
-    return salted_join(marked, named, ["fp"]).select("id", "fp", "component_id")
+    named = salted_join(rooted.select("fp", "root"), lowest, ["root"]).select("fp", "component_id", "root")
+    return salted_join(marked, named, ["fp"]).select("id", "fp", "component_id", "root")
 
 
 def hex_digits(column: str = "fp"):
@@ -190,15 +191,26 @@ def hex_digits(column: str = "fp"):
 def survivors(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row of each component, whole: the one with its smallest id.
 
-    Of several rows with that id, the first by its printed form stays; a
-    component without any id keeps one row in the same way.
+    Rows with an id of their own are told apart by it, and only the ids to drop
+    are looked up.  Rows that share an id, or have none, are told apart by
+    fingerprint too; where several of them could stay for a component, the first
+    by its printed form does.
     """
-    groups = near_groups(fingerprints(documents, key)).select("id", "component_id").distinct()
-    kept = groups.where("id <=> component_id").select("id")
-    whole = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.col(key).alias("id"))
-    named = whole.join(kept.distinct(), whole["id"].eqNullSafe(kept["id"]), "left_semi")
-    repeated = named.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
-    single = named.join(repeated, named["id"].eqNullSafe(repeated["id"]), "left_anti").select("row.*")
-    several = named.join(repeated, named["id"].eqNullSafe(repeated["id"]), "left_semi").groupBy("id").agg(
-        F.min_by("row", F.to_json("row")).alias("row")).select("row.*")
-    return single.unionByName(several)
+    name = F.coalesce(F.concat(F.lit("i"), F.col("id").cast("string")), F.lit(""))
+    groups = cut_lineage(near_groups(fingerprints(documents, key)).withColumn("name", name))
+    shared = cut_lineage(groups.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR name = ''").select("name"))
+    dropped = groups.where("NOT (id <=> component_id)").select("name").unionByName(shared).distinct()
+    whole = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.col(key).alias("id"), "text").withColumn("name", name)
+    single = whole.select("row", "name").join(dropped, "name", "left_anti").select("row.*")
+    kept = groups.where("id <=> component_id").select("name", "fp", "root").distinct()
+    rows = whole.select("row", "name", "text").join(shared, "name", "left_semi")
+    marked = rows.mapInArrow(_marked_rows, T.StructType([*rows.select("row", "name").schema.fields, T.StructField("fp", T.LongType())]))
+    several = salted_join(marked, kept, ["name", "fp"]).groupBy("root").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return single.unionByName(several.select("row.*"))
+
+
+def _marked_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (row, name, text) as (row, name, fp)."""
+    for batch in batches:
+        values = np.array([fingerprint(t.as_py()) for t in batch.column("text")], np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("name"), pa.array(values)], names=["row", "name", "fp"])

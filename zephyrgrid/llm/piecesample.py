@@ -38,12 +38,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stretches
+from .slots import SlotTable
+
 BLANK = "▁"
 THETA = 0.5
 SEED = 20240229
 KEPT_PARTS = 500_000
-TEXT_AT_ONCE = 1 << 20
 SHARE_BITS = 31
+LETTERS_AT_ONCE = 1 << 16
 _MODELS: dict[tuple[str, float], "Lattices"] = {}
 
 
@@ -61,6 +64,7 @@ class Vocabulary:
         for i, piece in enumerate(pieces):
             self.weight[i] = float(i + 1) ** -theta
             if model.is_byte(i):
+                self.weight[i] = float(self.size) ** -theta  # bytes only stand in for what no piece holds
                 self.byte_ids[int(piece[3:5], 16)] = i
                 self.bytes_of[i] = bytes([int(piece[3:5], 16)])
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
@@ -78,6 +82,37 @@ class Vocabulary:
         kept = re.escape("".join(sorted(beside)))
         self.part = re.compile(f"\n| *+[^\\W{kept}]++(?![{kept}])| *+[^\\w \n]++(?![{kept}])| *[^ \n]+| +")
         self.rarest = float(self.size) ** -theta
+        self._grow_trie()
+
+    def _grow_trie(self) -> None:
+        """Pieces by their letters: ``steps`` finds (node, letter), ``ends`` tells the piece that ends at a step, or -1."""
+        nodes: dict[tuple[int, str], int] = {}
+        ends = []
+        for text, number in self.number.items():
+            node = 0
+            for char in text:
+                if (node, char) not in nodes:
+                    nodes[node, char] = len(nodes) + 1
+                    ends.append(-1)
+                node = nodes[node, char]
+            ends[node - 1] = number
+        self.steps = SlotTable(np.array([node << 21 | ord(char) for node, char in nodes], np.int64))
+        self.ends = np.array(ends, np.int32)
+
+    def find(self, letters: np.ndarray) -> np.ndarray:
+        """For rows of letters: the piece of ``size`` letters that ends before position ``end``, at [row, end, size - 1]; -1 if none."""
+        rows, length = letters.shape
+        found = np.full((rows, length + 1, self.longest), -1, np.int32)
+        row, start = np.divmod(np.arange(rows * length), length)
+        node = np.zeros(rows * length, np.int64)
+        for size in range(1, min(self.longest, length) + 1):
+            inside = start + size <= length
+            row, start, node = row[inside], start[inside], node[inside]
+            step = self.steps.find(node << 21 | letters[row, start + size - 1])
+            alive = step >= 0
+            row, start, node = row[alive], start[alive], step[alive].astype(np.int64) + 1
+            found[row, start + size, size - 1] = self.ends[node - 1]
+        return found
 
     def decode(self, ids) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode()
@@ -90,6 +125,7 @@ class Lattices:
         self.words = Vocabulary(path, theta)
         self.spelled: dict[str, int] = {}  # characters spelled by several bytes, numbered after the pieces
         self.spellings: list[list[int]] = []
+        self.weights = list(self.words.weight)
         self._forget()
 
     def _forget(self) -> None:
@@ -99,63 +135,71 @@ class Lattices:
         self.piece = array("i")
         self.back = array("b")  # characters a choice covers
 
-    def _character(self, char: str) -> tuple[int, float]:
-        """The stand-in of a character that no piece holds, and its weight."""
+    def _character(self, char: str) -> int:
+        """The stand-in of a character that no piece holds."""
         data = char.encode()
         if len(data) == 1:
-            return int(self.words.byte_ids[data[0]]), self.words.rarest
+            return int(self.words.byte_ids[data[0]])
         if char not in self.spelled:
             self.spelled[char] = self.words.size + len(self.spelled)
             self.spellings.append([int(self.words.byte_ids[b]) for b in data])
-        return self.spelled[char], self.words.rarest ** len(data)
-
-    def add(self, part: str) -> None:
-        number, weight, longest = self.words.number.get, self.words.weight, self.words.longest
-        first, share, piece, back = self.first.append, self.share.append, self.piece.append, self.back.append
-        self.base[part] = len(self.first)
-        first(len(self.share))
-        total = [1.0]
-        for at in range(1, len(part) + 1):
-            choices = []
-            for start in range(at - longest if at > longest else 0, at):
-                found = number(part[start:at])
-                if found is not None:
-                    choices.append((total[start] * weight[found], found, at - start))
-            if not choices or choices[-1][2] != 1:
-                found, w = self._character(part[at - 1])
-                choices.append((total[at - 1] * w, found, 1))
-            first(len(self.share))
-            if len(choices) == 1:
-                whole, found, step = choices[0]
-                share(1 << SHARE_BITS)
-                piece(found)
-                back(step)
-            else:
-                choices.sort(reverse=True)
-                whole = sum([c[0] for c in choices])
-                seen, scale = 0.0, (1 << SHARE_BITS) / whole
-                for w, found, step in choices:
-                    seen += w
-                    share(int(seen * scale))
-                    piece(found)
-                    back(step)
-                self.share[-1] = 1 << SHARE_BITS
-            total.append(whole)
-            if whole < 1e-200:  # only ratios count: lift the sums that are still in reach
-                total[-longest:] = [t * 1e200 for t in total[-longest:]]
+            self.weights.append(self.words.rarest ** len(data))
+        return self.spelled[char]
+
+    def add_all(self, parts: list[str]) -> None:
+        """Build the lattices of new parts, those of one length side by side."""
+        by_length: dict[int, list[str]] = {}
+        for part in parts:
+            by_length.setdefault(len(part), []).append(part)
+        for length, same in by_length.items():
+            rows = max(1, LETTERS_AT_ONCE // length)
+            for at in range(0, len(same), rows):
+                self._add(same[at:at + rows], length)
+
+    def _add(self, parts: list[str], length: int) -> None:
+        longest = self.words.longest
+        letters = np.frombuffer("".join(parts).encode("utf-32-le"), "<u4").reshape(-1, length).astype(np.int64)
+        found = self.words.find(letters)
+        alone = found[:, 1:, 0]
+        for letter in np.unique(letters[alone < 0]):
+            alone[(letters == letter) & (alone < 0)] = self._character(chr(letter))
+        # Choices stand with the longest piece first, which is mostly the likeliest.
+        found = found[:, :, ::-1]
+        weight = np.where(found >= 0, np.array(self.weights)[found], 0.0)
+        share = np.zeros(found.shape, np.int64)
+        total = np.zeros((len(parts), longest + length))  # the sums to positions 0.. stand from column ``longest`` - 1 on
+        total[:, longest - 1] = 1.0
+        for at in range(1, length + 1):
+            window = total[:, at - 1:at - 1 + longest]
+            sums = np.cumsum(window * weight[:, at], axis=1)
+            whole = sums[:, -1:]
+            share[:, at] = sums / whole * (1 << SHARE_BITS)
+            total[:, at - 1 + longest] = whole[:, 0]
+            low = whole[:, 0] < 1e-200  # only ratios count: lift the sums that are still in reach
+            if low.any():
+                total[low, at:at + longest] *= 1e200
+        there = found >= 0
+        count = there.sum(axis=2).ravel()
+        base = len(self.first)
+        first = len(self.share) + np.cumsum(count) - count
+        self.base.update(zip(parts, range(base, base + (length + 1) * len(parts), length + 1)))
+        self.first.frombytes(first.astype(np.int32).tobytes())
+        self.share.frombytes(share[there].astype(np.uint32).tobytes())
+        self.piece.frombytes(found[there].astype(np.int32).tobytes())
+        self.back.frombytes(np.broadcast_to(np.arange(longest, 0, -1, dtype=np.int8), found.shape)[there].tobytes())
 
     def sample(self, texts: list[str], seeds: list[int]) -> list[np.ndarray]:
         """Piece ids of each text; ``seeds`` are 64-bit numbers, one for each text."""
         split = [self.words.part.findall(t) for t in texts]
         if len(self.base) > KEPT_PARTS:
             self._forget()
+        fresh = set().union(*split).difference(self.base)
+        if fresh:
+            self.add_all(list(fresh))
         base = self.base
         starts: list[int] = []
         sizes: list[int] = []
         for parts in split:
-            for part in parts:
-                if part not in base:
-                    self.add(part)
             starts += map(base.__getitem__, parts)
             sizes += map(len, parts)
         counts = np.array([len(p) for p in split], np.int64)
@@ -210,24 +254,12 @@ def row_seed(key, seed: int = SEED) -> int:
     return xxhash.xxh64_intdigest(str(key), seed)
 
 
-def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Stretches of about ``TEXT_AT_ONCE`` characters."""
-    start = size = 0
-    for at, text in enumerate(texts):
-        size += len(text)
-        if size >= TEXT_AT_ONCE:
-            yield start, at + 1
-            start, size = at + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _sample_batches(path: str, theta: float, seed: int, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = lattices(path, theta)
         for batch in batches:
             texts, keys = batch.column("text").to_pylist(), batch.column("id").to_pylist()
-            for a, b in _groups([t or "" for t in texts]):
+            for a, b in stretches([t or "" for t in texts]):
                 found = model.sample([t or "" for t in texts[a:b]], [row_seed(k, seed) for k in keys[a:b]])
                 ids = batch.column("id").slice(a, b - a)
                 if not digests:

@@ -89,7 +89,7 @@ def test_components_equal_all_pairs(spark, monkeypatch, bucket):
     for i, v in rows:
         if i is not None:
             smallest[root[v]] = min(i, smallest.get(root[v], i))
-    assert Counter(tuple(r) for r in simhash.near_groups(marked).collect()) == Counter((i, v, smallest[root[v]]) for i, v in rows)
+    assert Counter(tuple(r) for r in simhash.near_groups(marked).select("id", "fp", "component_id").collect()) == Counter((i, v, smallest[root[v]]) for i, v in rows)
 
 
 def test_components_of_hubs_and_chains(spark):
@@ -103,10 +103,11 @@ def test_one_row_of_each_component_stays(spark):
     near = " ".join(f"word{i}" for i in range(3000))
     rows = [(1, near, "c", "c"), (2, near.upper(), "c", "c"), (3, "other text here now", "c", "c"), (None, near, "c", "c"), (4, None, "c", "c"),
             (5, "", "c", "c"), (3, "other text here now", "d", "c"), (3, "other text here now", "c", "c"), (None, "alone without id", "c", "c")]
+    rows += [(3, near, "x", "c"), (None, "another without id", "c", "c"), (6, "one id two texts", "c", "c"), (6, "of two components", "c", "c")]
     docs = spark.createDataFrame(rows, DOCS)
     kept = simhash.survivors(docs)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] or 0, r["fp"]) for r in kept.collect()) == [(0, "c"), (1, "c"), (3, "c"), (4, "c")]
+    assert sorted((r["doc_id"] or 0, r["fp"]) for r in kept.collect()) == [(0, "c"), (0, "c"), (1, "c"), (3, "c"), (4, "c"), (6, "c"), (6, "c")]
     assert simhash.survivors(docs.where("false")).count() == 0
 
 
@@ -121,6 +122,15 @@ def test_words_encode_like_whole_texts(text):
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_many_words_merge_like_one_by_one():
+    encoder = packing.encoder(TOKENIZER)
+    random.seed(11)
+    words = ["".join(random.choice("abcdefghijklmnopqrstuvwxyzéüñ") for _ in range(random.randint(1, 25))) for _ in range(3000)]
+    words += ["a", "the", "aaaaaaaaaaaaaaaa", "internationalization", "ÿ", "ß" * 40]
+    for word, ids in zip(words, encoder.merges.encode([w.encode() for w in words])):
+        assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(word, add_special_tokens=False).ids
+
+
 def test_emptying_the_memory_of_words_changes_nothing(monkeypatch):
     encoder = packing.WordEncoder(TOKENIZER)
     text = "one two, three one! four. five two,"

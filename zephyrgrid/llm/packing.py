@@ -32,13 +32,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ranked
+from .common import ranked, stretches
+from .wordbpe import Merges
 
 CAPACITY = 4096
 END_ID = 2
-CACHED_WORDS = 1_000_000
-# Letters that stay one letter when lower-cased and composed.
-PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]+")
+CACHED_WORDS = 600_000
+# Letters that stay one letter when lower-cased and composed; and what closes a word that ends in one.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e"
+PLAIN = re.compile(f"[{_LETTERS}]+")
+CLOSING = re.compile(f"(?<=[{_LETTERS}])([.,!]+)(?=[ \\n\\t\\r]|\\Z)")
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -46,8 +49,9 @@ class WordEncoder:
     """Token ids of whole texts, as little-endian 32-bit numbers, with a bounded memory of words.
 
     The vocabulary drops white space and never merges across it, so a text may be
-    encoded word by word; a word made of letters and the punctuation that ends it
-    are likewise encoded apart.  Everything unusual goes to the tokenizer as it stands.
+    encoded word by word; a letter and the punctuation that closes its word are
+    apart as well.  New words of plain letters go through the same
+    merges, many at a time; everything unusual goes to the tokenizer as it stands.
     """
 
     def __init__(self, path: str):
@@ -55,54 +59,33 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = Merges(path)
+        self.forget()
+
+    def forget(self) -> None:
+        """Give the memory of words back; workers outlive their tasks."""
         self.known: dict[str, bytes] = {"": b""}
-        vocabulary = self.tokenizer.get_vocab()
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        pa.default_memory_pool().release_unused()
 
-    def _learn(self, words: list[str]) -> None:
-        for word, found in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False)):
+    def _learn(self, words: set[str]) -> None:
+        plain = list(filter(PLAIN.fullmatch, words))
+        self.known.update(zip(plain, self.merges.encode([s.lower().encode() for s in plain])))
+        odd = list(words.difference(plain))
+        for word, found in zip(odd, self.tokenizer.encode_batch(odd, add_special_tokens=False)):
             self.known[word] = np.array(found.ids, "<u4").tobytes()
 
-    def _learn_plain(self, stems: list[str]) -> None:
-        """Words of plain letters, encoded as one text; each ends at its one token that closes a word."""
-        ids = np.array(self.tokenizer.encode(" ".join(stems), add_special_tokens=False).ids, "<u4")
-        ends = np.nonzero(self.closes[ids])[0] + 1
-        if len(ends) != len(stems) or (len(ends) and ends[-1] != len(ids)):
-            raise ValueError("this vocabulary does not close each word with one token")
-        flat, at = ids.tobytes(), 0
-        for stem, end in zip(stems, (4 * ends).tolist()):
-            self.known[stem] = flat[at:end]
-            at = end
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        split = [CLOSING.sub(r" \1", t).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        if len(self.known) > CACHED_WORDS:
+            self.forget()
+        fresh = set().union(*split).difference(self.known)
+        if fresh:
+            self._learn(fresh)
+        get = self.known.__getitem__
+        return [b"".join(map(get, words)) for words in split]
 
     def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self.known
-        if len(known) > CACHED_WORDS:
-            known = self.known = {"": b""}
-        found = list(map(known.get, words))
-        if None in found:
-            fresh = {w: None for w, f in zip(words, found) if f is None}
-            parts, plain, odd = {}, {}, {}
-            for word in fresh:
-                stem = word.rstrip(".,!")
-                tail = word[len(stem):]
-                if PLAIN.fullmatch(stem):
-                    parts[word] = stem, tail
-                    if stem not in known:
-                        plain[stem] = None
-                    if tail not in known:
-                        odd[tail] = None
-                else:
-                    odd[word] = None
-            if plain:
-                self._learn_plain(list(plain))
-            if odd:
-                self._learn(list(odd))
-            for word, (stem, tail) in parts.items():
-                known[word] = known[stem] + known[tail]
-            found = list(map(known.get, words))
-        return b"".join(found)
+        return self.encode_all([text])[0]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -115,11 +98,17 @@ def _cut_batches(path: str, capacity: int, end_id: int, with_ids: bool):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        words = encoder(path)
+        try:
+            yield from pieces(words, batches)
+        finally:
+            words.forget()
+
+    def pieces(words: WordEncoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, starts, lengths, sums, totals, ids = [], [], [], [], [], []
-            for row, text in enumerate(batch.column("text")):
-                tokens = encode(text.as_py() or "") + end
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for row, tokens in enumerate(t + end for a, b in stretches(texts, 4 << 20) for t in words.encode_all(texts[a:b])):
                 total = len(tokens) // 4
                 for start in range(0, total, capacity):
                     piece = tokens[4 * start:4 * (start + capacity)]

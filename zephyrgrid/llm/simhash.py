@@ -199,11 +199,14 @@ def survivors(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     name = F.coalesce(F.concat(F.lit("i"), F.col("id").cast("string")), F.lit(""))
     groups = cut_lineage(near_groups(fingerprints(documents, key)).withColumn("name", name))
     shared = cut_lineage(groups.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR name = ''").select("name"))
-    dropped = groups.where("NOT (id <=> component_id)").select("name").unionByName(shared).distinct()
+    dropped = groups.where("NOT (id <=> component_id)").select("name", F.lit(False).alias("is_shared"))
+    fates = dropped.unionByName(shared.withColumn("is_shared", F.lit(True))).groupBy("name").agg(F.bool_or("is_shared").alias("is_shared"))
     whole = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.col(key).alias("id"), "text").withColumn("name", name)
-    single = whole.select("row", "name").join(dropped, "name", "left_anti").select("row.*")
+    # One join tells single rows that stay (no fate) from rows to look at again.
+    told = whole.join(fates, "name", "left")
+    single = told.where("is_shared IS NULL").select("row.*")
     kept = groups.where("id <=> component_id").select("name", "fp", "root").distinct()
-    rows = whole.select("row", "name", "text").join(shared, "name", "left_semi")
+    rows = told.where("is_shared").select("row", "name", "text")
     marked = rows.mapInArrow(_marked_rows, T.StructType([*rows.select("row", "name").schema.fields, T.StructField("fp", T.LongType())]))
     several = salted_join(marked, kept, ["name", "fp"]).groupBy("root").agg(F.min_by("row", F.to_json("row")).alias("row"))
     return single.unionByName(several.select("row.*"))

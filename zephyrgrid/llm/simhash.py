@@ -75,20 +75,20 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int.from_bytes(np.packbits(2 * ones > count).tobytes(), "big")
 
 
-def _fingerprint_batches(words: int):
+def _fingerprint_batches(words: int, mark=fingerprint):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(t.as_py(), words) for t in batch.column("text")], np.uint64).view(np.int64)
+            values = np.array([mark(t.as_py(), words) for t in batch.column("text")], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(values)], names=["id", "fp"])
 
     return run
 
 
-def fingerprints(documents: DataFrame, key: str = "doc_id", words: int = WORDS) -> DataFrame:
-    """(id, fp) for every row; fp is the fingerprint as a signed 64-bit number."""
+def fingerprints(documents: DataFrame, key: str = "doc_id", words: int = WORDS, mark=fingerprint) -> DataFrame:
+    """(id, fp) for every row; fp is the fingerprint, or what ``mark`` gives, as a signed 64-bit number."""
     rows = documents.select(F.col(key).alias("id"), "text")
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(_fingerprint_batches(words), f"id {kind}, fp bigint")
+    return rows.mapInArrow(_fingerprint_batches(words, mark), f"id {kind}, fp bigint")
 
 
 def _remainders(words: np.ndarray) -> np.ndarray:
@@ -172,11 +172,11 @@ def links(nodes: DataFrame) -> DataFrame:
     return pairs.unionByName(small).unionByName(hubs)
 
 
-def near_groups(marked: DataFrame) -> DataFrame:
-    """(id, fp, component_id, root) for rows (id, fp); component_id is the smallest id in reach over links."""
+def near_groups(marked: DataFrame, find=links) -> DataFrame:
+    """(id, fp, component_id, root) for rows (id, fp); component_id is the smallest id in reach over the links that ``find`` gives."""
     marked = cut_lineage(marked)
     nodes = cut_lineage(marked.groupBy("fp").agg(F.min("id").alias("smallest")))
-    roots = components(links(nodes))
+    roots = components(find(nodes))
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "smallest", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
@@ -188,7 +188,7 @@ def hex_digits(column: str = "fp"):
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
-def survivors(documents: DataFrame, key: str = "doc_id") -> DataFrame:
+def survivors(documents: DataFrame, key: str = "doc_id", mark=fingerprint, find=links) -> DataFrame:
     """One row of each component, whole: the one with its smallest id.
 
     Rows with an id of their own are told apart by it, and only the ids to drop
@@ -197,7 +197,7 @@ def survivors(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     by its printed form does.
     """
     name = F.coalesce(F.concat(F.lit("i"), F.col("id").cast("string")), F.lit(""))
-    groups = cut_lineage(near_groups(fingerprints(documents, key)).withColumn("name", name))
+    groups = cut_lineage(near_groups(fingerprints(documents, key, mark=mark), find).withColumn("name", name))
     shared = cut_lineage(groups.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR name = ''").select("name"))
     dropped = groups.where("NOT (id <=> component_id)").select("name", F.lit(False).alias("is_shared"))
     fates = dropped.unionByName(shared.withColumn("is_shared", F.lit(True))).groupBy("name").agg(F.bool_or("is_shared").alias("is_shared"))
@@ -207,13 +207,16 @@ def survivors(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     single = told.where("is_shared IS NULL").select("row.*")
     kept = groups.where("id <=> component_id").select("name", "fp", "root").distinct()
     rows = told.where("is_shared").select("row", "name", "text")
-    marked = rows.mapInArrow(_marked_rows, T.StructType([*rows.select("row", "name").schema.fields, T.StructField("fp", T.LongType())]))
+    marked = rows.mapInArrow(_marked_rows(mark), T.StructType([*rows.select("row", "name").schema.fields, T.StructField("fp", T.LongType())]))
     several = salted_join(marked, kept, ["name", "fp"]).groupBy("root").agg(F.min_by("row", F.to_json("row")).alias("row"))
     return single.unionByName(several.select("row.*"))
 
 
-def _marked_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (row, name, text) as (row, name, fp)."""
-    for batch in batches:
-        values = np.array([fingerprint(t.as_py()) for t in batch.column("text")], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("name"), pa.array(values)], names=["row", "name", "fp"])
+def _marked_rows(mark):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (row, name, text) as (row, name, fp)."""
+        for batch in batches:
+            values = np.array([mark(t.as_py()) for t in batch.column("text")], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("name"), pa.array(values)], names=["row", "name", "fp"])
+
+    return run

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exactdedup, packing, piecesample, quality, sharding, simhash, toxicity, urlfilter, warc
+from . import chat, exactdedup, packing, piecesample, quality, sharding, simhash, tokenalign, toxicity, urlfilter, warc
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,10 @@ def op6_chat_prefix_tree(spark: SparkSession, directory: str) -> DataFrame:
 def op8_piece_sampling(spark: SparkSession, directory: str) -> DataFrame:
     found = piecesample.digests(read(spark, directory, "documents"), tokenizer_path("piece_bpe_32k.model"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, directory: str) -> DataFrame:
+    found = tokenalign.align(read(spark, directory, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.select(F.col("id").cast("bigint").alias("doc_id"), *tokenalign.COUNTS, "n_best", "count_sum", digest.alias("groups_sha256"))

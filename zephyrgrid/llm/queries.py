@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exactdedup, packing, piecesample, quality, sharding, simhash, tokenalign, toxicity, urlfilter, warc
+from . import chat, exactdedup, langid, packing, phrases, piecesample, quality, sharding, simhash, tokenalign, toxicity, urlfilter, warc
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,46 @@ def op13_token_alignment(spark: SparkSession, directory: str) -> DataFrame:
     found = tokenalign.align(read(spark, directory, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
     return found.select(F.col("id").cast("bigint").alias("doc_id"), *tokenalign.COUNTS, "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
+_PHRASE_SQL = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), {_UPPER_LOWER}), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+spelled AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), x -> x <> '') AS w FROM pieces),
+runs AS (
+  SELECT lang, m, array_to_string(w[s:s + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM spelled, (VALUES (1), (2), (3), (4)) AS t(m))),
+grams AS (SELECT lang, m, phrase, count(*) AS f FROM runs GROUP BY ALL HAVING count(*) >= 30),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM spelled GROUP BY lang),
+cuts AS (
+  SELECT g.lang, g.phrase, g.f AS a, k, array_to_string(string_split(g.phrase, ' ')[1:k], ' ') AS x,
+         array_to_string(string_split(g.phrase, ' ')[k + 1:], ' ') AS y
+  FROM grams g, (VALUES (1), (2), (3)) AS t(k) WHERE k < m),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, u.f AS l, v.f AS r, ((2000000::HUGEINT * c.a) // (u.f + v.f))::BIGINT AS score, k
+  FROM cuts c JOIN grams u ON u.lang = c.lang AND u.phrase = c.x JOIN grams v ON v.lang = c.lang AND v.phrase = c.y),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+left_out AS (
+  SELECT DISTINCT x.lang, x.phrase FROM grams x JOIN grams y ON y.lang = x.lang AND y.m > x.m
+    AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' ') AND 100::HUGEINT * y.f >= 80 * x.f WHERE x.m > 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest ANTI JOIN left_out USING (lang, phrase)) JOIN totals USING (lang)
+WHERE rank <= 2000
+"""
+
+
+@query("op12_phrase_mining", _PHRASE_SQL)
+def op12_phrase_mining(spark: SparkSession, directory: str) -> DataFrame:
+    found = phrases.collocations(phrases.frequent_phrases(read(spark, directory, "documents")))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+@query("op11_language_id")
+def op11_language_id(spark: SparkSession, directory: str) -> DataFrame:
+    documents = read(spark, directory, "documents")
+    found = langid.predict(documents, langid.fit(documents))
+    return found.select(F.col("id").alias("doc_id"), langid.held_out("id").alias("held_out"), "lang_pred", "score")

@@ -3,14 +3,14 @@
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from zephyrgrid.llm import packing, quality, simhash
+from zephyrgrid.llm import packing, quality
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -20,7 +20,7 @@ def _fold(text):
 
 
 def test_stages_in_order():
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality rules", "exact dedup", "simhash near-dedup", "packing"]
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality rules", "exact dedup", "near-dedup", "packing"]
     assert corpus_pipeline.ORACLE_SQL is None
 
 
@@ -73,14 +73,23 @@ def test_every_stage_decides_by_its_rule(spark, planted):
     assert ids[3] == {max((i for i in same if i is not None), default=None) for same in largest.values()}
     assert len(seen[2]) == len(largest)
 
-    # Near copies: the smallest id within reach over two bits.
-    prints = [(simhash.fingerprint(r["text"]), r["doc_id"]) for r in seen[2]]
-    group = list(range(len(prints)))
-    for i in range(len(prints)):
-        for j in range(i):
-            if (prints[i][0] ^ prints[j][0]).bit_count() <= 2:
+    # Near copies: the smallest id within reach over a similarity of 0.8 between sets of five-word shingles.
+    sets = []
+    for r in seen[2]:
+        words = re.findall(r"[^ \t-\r]+", _fold(r["text"]))
+        sets.append(frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))))
+    holders = defaultdict(list)
+    for at, shingles in enumerate(sets):
+        for s in shingles:
+            holders[s].append(at)
+    group = list(range(len(sets)))
+    for i, shingles in enumerate(sets):
+        shared = Counter(j for s in shingles for j in holders[s] if j < i)
+        for j, n in shared.items():
+            if 5 * n >= 4 * (len(shingles) + len(sets[j]) - n):
                 a, b = group[i], group[j]
                 group = [min(a, b) if g in (a, b) else g for g in group]
+    prints = [(None, r["doc_id"]) for r in seen[2]]
     smallest = defaultdict(list)
     for g, (_, i) in zip(group, prints):
         smallest[g].append(i)

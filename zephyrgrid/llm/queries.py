@@ -165,7 +165,7 @@ WITH pieces AS (
          unnest(string_split_regex(translate(coalesce(text, ''), {_UPPER_LOWER}), '[.,;:!?\\x0A-\\x0D]')) AS piece
   FROM documents),
 spelled AS (
-  SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), x -> x <> '') AS w FROM pieces),
+  SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
 runs AS (
   SELECT lang, m, array_to_string(w[s:s + m - 1], ' ') AS phrase
   FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM spelled, (VALUES (1), (2), (3), (4)) AS t(m))),

@@ -85,9 +85,11 @@ def period_region(
 
 
 def complete_support(df: DataFrame, days: int, *values: str, key: str = "cell") -> DataFrame:
-    """Per cell: is every listed variable present on each of the ``days`` days?"""
-    complete = [F.count(F.col(v)) == F.lit(days) for v in values]
-    return df.groupBy(key).agg(reduce(lambda a, b: a & b, complete).alias("support"))
+    """Per cell: is every listed variable present on each of the ``days`` days, and how many days does the worst one lack?"""
+    present = [F.count(F.col(v)) for v in values]
+    complete = reduce(lambda a, b: a & b, [n == F.lit(days) for n in present])
+    lacking = F.lit(days) - (F.least(*present) if len(present) > 1 else present[0])
+    return df.groupBy(key).agg(complete.alias("support"), lacking.alias("missing_days"))
 
 
 def combined_support(
@@ -101,13 +103,6 @@ def combined_support(
     ).drop("parent_support")
 
 
-def valid_temperature_everywhere(df: DataFrame, value: str, days: int, key: str) -> DataFrame:
-    """Model-side support: present on all days and strictly inside the valid range."""
-    low, high = TEMPERATURE_VALID_RANGE_K
-    inside = F.when((F.col(value) > low) & (F.col(value) < high), 1)
-    return df.groupBy(key).agg((F.count(inside) == F.lit(days)).alias("support"))
-
-
 def apply_support(df: DataFrame, mask: DataFrame, *values: str, key: str = "cell") -> DataFrame:
     """Keep values inside the mask only; infinite values stop the job."""
     joined = df.join(mask.select(key, "support"), key, "left")

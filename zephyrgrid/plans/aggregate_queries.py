@@ -93,20 +93,14 @@ def support_footprint(spark, d):
     return masks.combined_support(fine, coarse).select("cell", "support")
 
 
-_ONE_DAY = "month = 2 AND day = 3"
-
-
-@query("complete_support", f"""
-y AS (SELECT cell, year, avg(tas) FILTER ({_ONE_DAY}) AS tas, avg(pr) FILTER ({_ONE_DAY}) AS pr FROM cube GROUP BY ALL),
-n AS (SELECT count(DISTINCT year) AS days FROM cube)
-SELECT cell, count(tas) = any_value(days) AND count(pr) = any_value(days) AS support FROM y, n GROUP BY cell""", "cube")
+@query("complete_support", """
+n AS (SELECT count(DISTINCT ord) AS days FROM cube)
+SELECT cell, count(tas) = any_value(days) AND count(pr) = any_value(days) AS support,
+  any_value(days) - least(count(tas), count(pr)) AS missing_days FROM cube, n GROUP BY cell""", "cube")
 def complete_support(spark, d):
-    """Cells that have 3 February in every year; some do, some don't."""
+    """Which cells have both variables on every day of the axis, and how many days the others lack."""
     c = daily_cube(spark, d, "tas", "pr")
-    years = scalar_row(c.agg(F.count_distinct("year").alias("n")))["n"]
-    on = F.expr(_ONE_DAY)
-    yearly = c.groupBy("cell", "year").agg(F.avg(F.when(on, F.col("tas"))).alias("tas"), F.avg(F.when(on, F.col("pr"))).alias("pr"))
-    return masks.complete_support(yearly, years, "tas", "pr")
+    return masks.complete_support(c, axis_days(c), "tas", "pr")
 
 
 _THRESHOLDS = """lim AS (SELECT cell, quantile_cont(wind, 0.95) AS q95, (min(wind) + max(wind)) / 2 AS midrange
@@ -441,12 +435,14 @@ def rolling_season_mean(spark, d):
     return daily_cube(spark, d, "tasm").select("cell", "ord", F.round(season, 6).alias("season"))
 
 
-_YEARLY = f"""y AS (SELECT cell, year, avg(tas) FILTER ({_ONE_DAY}) AS v FROM cube GROUP BY ALL)"""
+_LEAST_DAYS = 285
+_YEARLY = f"""y AS (SELECT cell, year, CASE WHEN count(tas) >= {_LEAST_DAYS} THEN avg(tas) END AS v FROM cube GROUP BY ALL)"""
 
 
 def _yearly(spark, d):
-    """The value of one day a year: missing where a cell lacks it."""
-    return daily_cube(spark, d, "tas").groupBy("cell", "year").agg(F.avg(F.when(F.expr(_ONE_DAY), F.col("tas"))).alias("v"))
+    """The mean over all days of each year; missing where a cell has fewer than 285 of them."""
+    return daily_cube(spark, d, "tas").groupBy("cell", "year").agg(
+        F.when(F.count("tas") >= _LEAST_DAYS, F.avg("tas")).alias("v"))
 
 
 @query("gap_aware_five_year_mean", _YEARLY + """,

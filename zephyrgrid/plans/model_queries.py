@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
@@ -10,7 +12,9 @@ from ..operators import downscale as ds
 from ..operators import fireweather as fw
 from ..operators import humidity, indicators, masks, packing
 from ..operators.regrid import Axis
+from ..session import shared_directory
 from ..sources.cube import cell_table, daily_cube, grid_side, role_series, table, with_cell_keys
+from ..streaming import fire_season
 from .adjust_queries import series
 from .registry import query, rounded
 from .spatial_queries import OVERLAP_SQL
@@ -188,6 +192,20 @@ def cffwis_daily(spark, d):
     return rounded(out.select("cell", "ord", "always_on", *_INDICES), 4, *_INDICES)
 
 
+@query("cffwis_streamed", _DAILY + f"SELECT cell, ord, always_on, {_ROUNDED} FROM fire", "cube", recursive=True)
+def cffwis_streamed(spark, d):
+    """The same indices from a stream that gets one year at a time and is started anew for each."""
+    root = f"{shared_directory(spark)}/fire-stream-{uuid.uuid4().hex}"
+    columns = ["cell", "ord", "month", "lat", "tas", "hurs", "pr", "wind"]
+    _weather(spark, d).select("year", *columns).write.partitionBy("year").parquet(f"{root}/years")
+    years = spark.read.parquet(f"{root}/years")
+    for row in years.select("year").distinct().orderBy("year").collect():
+        years.where(F.col("year") == row["year"]).select(*columns).write.mode("append").parquet(f"{root}/incoming")
+        fire_season.start(spark, f"{root}/incoming", f"{root}/codes", f"{root}/checkpoint").awaitTermination()
+    out = fire_season.settled(spark.read.parquet(f"{root}/codes"))
+    return rounded(out.select("cell", "ord", "always_on", *_INDICES), 4, *_INDICES)
+
+
 @query("cffwis_history_continuity", _DAILY + f"SELECT cell, ord, always_on, {_ROUNDED} FROM fire WHERE ord >= 29 * 365",
        "cube", recursive=True)
 def cffwis_history_continuity(spark, d):

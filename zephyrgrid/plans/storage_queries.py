@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import physics as ph
@@ -56,54 +58,51 @@ def packing_report(spark, d):
 
 _DENSE_SQL = """
 span AS (SELECT min(ord) AS lo, max(ord) AS hi, 1970 + (min(ord) // 365) AS y0, 1970 + (max(ord) // 365) AS y1 FROM cube),
-daily AS (SELECT ci, ord, max(tas) AS t FROM cube GROUP BY ALL),
-dense AS (SELECT c.ci, days.ord, coalesce(t, 253.5) AS tas, y0, y1 FROM (SELECT DISTINCT ci FROM cube) c,
-  (SELECT unnest(range(lo, hi + 1)) AS ord, y0, y1 FROM span) days LEFT JOIN daily ON daily.ci = c.ci AND daily.ord = days.ord),
-parts AS (SELECT ci, ord, round_even((tas - 253.5::DOUBLE) / 0.005::DOUBLE, 0)::BIGINT AS code,
+dense AS (SELECT c.cell, days.ord, tas, y0, y1 FROM (SELECT DISTINCT cell FROM cube) c,
+  (SELECT unnest(range(lo, hi + 1)) AS ord, y0, y1 FROM span) days LEFT JOIN cube ON cube.cell = c.cell AND cube.ord = days.ord),
+parts AS (SELECT cell, ord, CASE WHEN tas IS NULL THEN -32768 ELSE round_even((tas - 253.5::DOUBLE) / 0.005::DOUBLE, 0) END::BIGINT AS code,
   least(2, (1970 + ord // 365 - y0) * 3 // (y1 - y0 + 1))::BIGINT AS segment FROM dense)
 """
 
 
-def _segments(spark, d):
-    """A gap-free daily series per row of coarse cells, cut into three runs of years that cover the data's span."""
+def _dense_codes(spark, d):
+    """Every cell on every day of the data's span, packed; gaps hold the missing code.  ``part`` is one of three runs of years."""
     spec = packing.specification("tas")
     c = daily_cube(spark, d, "tas")
     span = scalar_row(c.agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")))
     lo, hi = (span["lo"], span["hi"]) if span["lo"] is not None else (0, -1)
     first, years = 1970 + lo // 365, max(1, hi // 365 - lo // 365 + 1)
-    days = c.select("ci").distinct().select("ci", F.explode(F.sequence(F.lit(lo), F.lit(max(lo, hi)))).alias("ord"))
-    known = c.groupBy("ci", "ord").agg(F.max("tas").alias("tas"))
-    dense = days.join(known, ["ci", "ord"], "left").select(
-        "ci", "ord", packing.pack(F.coalesce("tas", F.lit(253.5)), *spec).alias("code"),
+    days = c.select("cell").distinct().select("cell", F.explode(F.sequence(F.lit(lo), F.lit(max(lo, hi)))).alias("ord"))
+    return days.join(c.select("cell", "ord", "tas"), ["cell", "ord"], "left").select(
+        "cell", "ord", packing.pack(F.col("tas"), *spec).alias("code"),
         F.least(F.lit(2), F.expr(f"(1970 + ord div 365 - {first}) * 3 div {years}")).alias("part"))
-    return [dense.where(F.col("part") == i).drop("part") for i in range(3)]
 
 
 def _merged(spark, d):
-    spec = packing.specification("tas")
-    parts = _segments(spark, d)
-    return packing.merge_segments(parts, [spec] * len(parts), ["ci"])
+    dense = _dense_codes(spark, d)
+    parts = [dense.where(F.col("part") == i).drop("part") for i in range(3)]
+    return packing.merge_segments(parts, [packing.specification("tas")] * len(parts), ["cell"])
 
 
-@query("merge_segments", _DENSE_SQL + "SELECT ci, ord, code, segment FROM parts", "cube")
+@query("merge_segments", _DENSE_SQL + "SELECT cell, ord, code, segment FROM parts", "cube")
 def merge_segments(spark, d):
-    """Stacked segments of a gap-free series; the operator refuses a seam that is not one day apart."""
+    """Stacked segments of gap-free series; the operator refuses a seam that is not one day apart."""
     return _merged(spark, d)
 
 
 @query("segment_boundaries", _DENSE_SQL.rstrip() + """,
-g AS (SELECT ci, segment, min(ord) AS first, max(ord) AS last FROM parts GROUP BY ALL)
-SELECT * FROM (SELECT ci, segment, first, last, lag(last) OVER w AS previous, first - lag(last) OVER w = 1 AS daily FROM g
-  WINDOW w AS (PARTITION BY ci ORDER BY segment)) WHERE previous IS NOT NULL""", "cube")
+g AS (SELECT cell, segment, min(ord) AS first, max(ord) AS last FROM parts GROUP BY ALL)
+SELECT * FROM (SELECT cell, segment, first, last, lag(last) OVER w AS previous, first - lag(last) OVER w = 1 AS daily FROM g
+  WINDOW w AS (PARTITION BY cell ORDER BY segment)) WHERE previous IS NOT NULL""", "cube")
 def segment_boundaries(spark, d):
-    return packing.segment_boundaries(_merged(spark, d), ["ci"])
+    return packing.segment_boundaries(_merged(spark, d), ["cell"])
 
 
-@query("history_concat", _DENSE_SQL + "SELECT ci, ord, code, segment = 0 AS is_history FROM parts WHERE segment < 2", "cube")
+@query("history_concat", _DENSE_SQL + "SELECT cell, ord, code, segment = 0 AS is_history FROM parts", "cube")
 def history_concat(spark, d):
-    """Two adjacent periods stacked; the operator refuses a gap between them."""
-    history, simulation, _ = _segments(spark, d)
-    return align.concatenate_history(history, simulation, ["ci"])
+    """The first run of years in front of all later ones; the operator refuses a gap between them."""
+    dense = _dense_codes(spark, d)
+    return align.concatenate_history(dense.where("part = 0").drop("part"), dense.where("part > 0").drop("part"), ["cell"])
 
 
 @query("append_segment", """
@@ -283,7 +282,7 @@ def store_roundtrip(spark, d):
     """Write to a staging folder, publish, and read back by year partition."""
     from ..session import shared_directory
 
-    path = f"{shared_directory(spark)}/store-roundtrip"
+    path = f"{shared_directory(spark)}/store-roundtrip-{uuid.uuid4().hex}"
     c = daily_cube(spark, d, "tas").select("cell", "ord", "year", "tas")
     stores.publish(c, path, partition_by=["year"], overwrite=True)
     return spark.read.parquet(path).select("cell", "ord", "tas")

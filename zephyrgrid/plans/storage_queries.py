@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import physics as ph
 from ..operators import align, packing, qc
-from ..session import scalar_row
+from ..session import scalar_row, shared_directory
 from ..sources import stores
 from ..sources.cube import cell_table, daily_cube, role_series, table
 from .aggregate_queries import axis_days
@@ -280,9 +280,27 @@ def json_report(spark, d):
 @query("store_roundtrip", "SELECT cell, ord, tas FROM cube", "cube")
 def store_roundtrip(spark, d):
     """Write to a staging folder, publish, and read back by year partition."""
-    from ..session import shared_directory
-
     path = f"{shared_directory(spark)}/store-roundtrip-{uuid.uuid4().hex}"
     c = daily_cube(spark, d, "tas").select("cell", "ord", "year", "tas")
     stores.publish(c, path, partition_by=["year"], overwrite=True)
     return spark.read.parquet(path).select("cell", "ord", "tas")
+
+
+@query("array_store_roundtrip", """
+SELECT cell, ord, year, round(lat, 9) AS lat, round(CASE WHEN tasm IS NOT NULL THEN round_even((tasm - 253.5::DOUBLE) / 0.005::DOUBLE, 0) * 0.005::DOUBLE + 253.5 END, 6) AS tas
+FROM cube WHERE tasm IS NOT NULL AND lat > 0 AND ord BETWEEN 27 * 365 AND 29 * 365 + 100""", "cube")
+def array_store_roundtrip(spark, d):
+    """The whole cube as a chunked array of packed codes, of which two years and a hemisphere are read back."""
+    from ..sources import arrays
+    from ..sources.cube import grid_side
+    from ..operators.regrid import Axis
+
+    side = grid_side(spark, d)
+    c = daily_cube(spark, d, "tasm").withColumnRenamed("tasm", "tas")
+    span = scalar_row(c.agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")))
+    days = (span["lo"], span["hi"] + 1) if span["lo"] is not None else (0, 0)
+    path = f"{shared_directory(spark).removeprefix('file:')}/array-{uuid.uuid4().hex}.zarr"
+    arrays.write_array(c, path, "tas", days, Axis(-60 + 60 / side, 120 / side, side), Axis(180 / side, 360 / side, side),
+                       "time=180,lat=8,lon=8", packing.specification("tas"), "K")
+    back = arrays.open_array(spark, path, "tas").where(f"lat > 0 AND ord BETWEEN {27 * 365} AND {29 * 365 + 100} AND tas IS NOT NULL")
+    return back.select((F.col("fi") * side + F.col("fj")).alias("cell"), "ord", "year", F.round("lat", 9).alias("lat"), F.round("tas", 6).alias("tas"))

@@ -4,10 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,50 +47,20 @@ def children(spark: SparkSession, path: str) -> list[str]:
 
 
 def open_cube(spark: SparkSession, path: str, variable: str | None = None) -> DataFrame:
-    """Open Parquet, or NetCDF and Zarr where the array libraries are installed; NaN becomes NULL."""
-    if path.endswith((".nc", ".nc4", ".zarr")):
+    """Open Parquet or a chunked array store (Zarr format 2, one variable of it); NaN becomes NULL."""
+    if path.endswith((".nc", ".nc4")):
+        raise ValueError("NetCDF files are not read; convert them to Zarr format 2 or Parquet")
+    if path.endswith(".zarr"):
+        from .arrays import open_array
+
         if variable is None:
             raise ValueError("a variable name is needed to open an array store")
-        return open_array_store(spark, path, variable)
+        return open_array(spark, path, variable)
     stored = spark.read.parquet(path)
     reals = [name for name, kind in stored.dtypes if kind in ("float", "double")]
     return stored.withColumns({name: F.when(~F.isnan(F.col(f"`{name}`")), F.col(f"`{name}`")) for name in reals})
 
 
-def open_array_store(spark: SparkSession, path: str, variable: str, days_per_block: int = 365) -> DataFrame:
-    """Long rows of an array store; every task opens the store and reads its own block of days.
-
-    Missing values arrive as NULL.  Needs xarray (and zarr or netCDF4) on the
-    driver, for the axis lengths, and on the executors.
-    """
-    import xarray
-
-    def load():
-        return xarray.open_zarr(path) if path.endswith(".zarr") else xarray.open_dataset(path)
-
-    with load() as dataset:
-        days = dataset.sizes["time"]
-    blocks = (days + days_per_block - 1) // days_per_block
-
-    def read(frames: Iterator) -> Iterator:
-        for frame in frames:
-            for block in frame["id"]:
-                with load() as dataset:
-                    part = dataset[variable].isel(time=slice(block * days_per_block, (block + 1) * days_per_block))
-                    moments = part["time"].dt
-                    values = part.transpose("time", "lat", "lon").to_numpy()
-                    i, j = (index.ravel() for index in np.indices(values.shape[1:]))
-                    for k in range(values.shape[0]):
-                        yield pd.DataFrame({
-                            "fi": i, "fj": j, "lat": part["lat"].to_numpy()[i], "lon": part["lon"].to_numpy()[j],
-                            "year": int(moments.year[k]), "month": int(moments.month[k]), "day": int(moments.day[k]),
-                            "value": values[k].ravel().astype("float64")})
-
-    schema = "fi bigint, fj bigint, lat double, lon double, year bigint, month bigint, day bigint, value double"
-    rows = spark.range(0, blocks, 1, max(1, int(blocks))).mapInPandas(read, schema)
-    return rows.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
-
-
 def write_store(df: DataFrame, path: str, overwrite: bool = False, partition_by: list[str] | None = None) -> None:
     writer = df.write.mode("overwrite" if overwrite else "errorifexists").option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
@@ -194,10 +161,6 @@ def write_json(df: DataFrame, path: str, overwrite: bool = False) -> None:
     df.select(json_report(*df.columns).alias("value")).write.mode("overwrite" if overwrite else "errorifexists").text(path)
 
 
-def write_csv(df: DataFrame, path: str, overwrite: bool = False) -> None:
-    df.write.mode("overwrite" if overwrite else "errorifexists").option("header", True).csv(path)
-
-
 def discover(spark: SparkSession, root: str, variables: list[str], periods: dict[str, str]) -> list[dict]:
     """Model and scenario stores below ``root/model/scenario/period/variable``; layouts must be complete.
 

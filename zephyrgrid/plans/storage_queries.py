@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import physics as ph
 from ..operators import align, packing, qc
 from ..session import scalar_row, shared_directory
-from ..sources import stores
+from ..sources import stores, versions
 from ..sources.cube import cell_table, daily_cube, role_series, table
 from .aggregate_queries import axis_days
 from .registry import query, rounded
@@ -304,3 +304,53 @@ def array_store_roundtrip(spark, d):
                        "time=180,lat=8,lon=8", packing.specification("tas"), "K")
     back = arrays.open_array(spark, path, "tas").where(f"lat > 0 AND ord BETWEEN {27 * 365} AND {29 * 365 + 100} AND tas IS NOT NULL")
     return back.select((F.col("fi") * side + F.col("fj")).alias("cell"), "ord", "year", F.round("lat", 9).alias("lat"), F.round("tas", 6).alias("tas"))
+
+
+_TILE = 8
+
+
+def _versioned(spark, d, columns=("tas",)):
+    """A store of the cube's earlier half, to which the later half comes with a year of overlap; (path, cube)."""
+    path = f"{shared_directory(spark)}/versions-{uuid.uuid4().hex}"
+    c = daily_cube(spark, d, *columns).select("cell", "ord", *columns)
+    span = scalar_row(c.agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")))
+    middle = ((span["lo"] or 0) + (span["hi"] or 0)) // 2
+    versions.create(c.where(F.col("ord") <= middle + 365), path, _TILE)
+    versions.append(c.where(F.col("ord") > middle), path, tile_cells=_TILE)
+    return path, c
+
+
+@query("zone_mapped_append", f"""
+SELECT year, cell // {_TILE} AS tile, min(ord) AS first, max(ord) AS last, count(*) AS "rows" FROM cube GROUP BY ALL""", "cube")
+def zone_mapped_append(spark, d):
+    """What the manifest says of every (year, tile) after an append that overlapped the store by a year."""
+    path, _ = _versioned(spark, d)
+    return versions.entries(spark, path).groupBy("year", "tile").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.sum("rows").alias("rows"))
+
+
+@query("version_read", "SELECT cell, ord, tas FROM cube WHERE ord BETWEEN 27 * 365 AND 28 * 365 + 90", "cube")
+def version_read(spark, d):
+    """Days across both segments, from the files whose zones hold them."""
+    path, _ = _versioned(spark, d)
+    return versions.read(spark, path, days=(27 * 365, 28 * 365 + 91)).select("cell", "ord", "tas")
+
+
+@query("clone_differences", f"""
+SELECT year, cell // {_TILE} AS tile, count(*) AS rows_before, count(*) AS rows_after, round(avg(tas), 6) AS mean_before,
+  round(avg(tas + CASE WHEN ord % 2 = 0 THEN 0.5 ELSE 0 END), 6) AS mean_after, sum(CASE WHEN ord % 2 = 0 THEN 1 ELSE 0 END)::BIGINT AS changed
+FROM cube WHERE year = 1997 AND (cell // {_TILE}) % 2 = 0 GROUP BY ALL""", "cube")
+def clone_differences(spark, d):
+    """A clone with one year of every second tile rebuilt: which partitions differ from the original, and by how much."""
+    path, _ = _versioned(spark, d)
+    other = f"{path}-clone"
+    versions.clone(spark, path, other)
+    region = versions.read(spark, other, days=(27 * 365, 28 * 365)).where(f"(cell div {_TILE}) % 2 = 0")
+    versions.replace_region(region.withColumn("tas", F.col("tas") + F.when(F.col("ord") % 2 == 0, 0.5).otherwise(0.0)), other, tile_cells=_TILE)
+    changed = versions.changed_partitions(versions.entries(spark, path), versions.entries(spark, other))
+    zone = [r["tile"] for r in changed.select("tile").distinct().collect()]
+    sides = [versions.read(spark, p, tiles=zone).select("cell", "ord", F.col("tas").alias(n)) for p, n in ((path, "before"), (other, "after"))]
+    pairs = sides[0].join(sides[1], ["cell", "ord"]).withColumns({"year": versions.year_of(), "tile": F.expr(f"cell div {_TILE}")})
+    means = pairs.groupBy("year", "tile").agg(F.round(F.avg("before"), 6).alias("mean_before"), F.round(F.avg("after"), 6).alias("mean_after"),
+                                              F.count_if(F.col("before") != F.col("after")).alias("changed"))
+    return changed.join(means, ["year", "tile"])

@@ -11,10 +11,11 @@ def test_humidity_window_golden_vector():
     observed = np.array([5, 15, 25, 40, 55, 70, 80, 90, 95, 99.0])
     historical = np.array([8, 18, 30, 48, 65, 82, 95, 101, 104, 110.0])
     simulation = np.array([6, 20, 35, 50, 68, 85, 98, 103, 108, 115, 72, 100.5])
+    # The published result for this sample.
     expected = [3.75, 16.266575854700857, 29.677192841880345, 42.63793227307152, 58.05585632370443,
                 72.66235205777792, 87.96663231062661, 93.42852212792297, 98.6217086618368,
                 99.0000393032093, 61.489093827186174, 91.26262116002363]
-    actual = humidity.adjust_window(observed, historical, simulation, 5, 0)
+    actual = humidity.adjust_windows([observed], [historical], [simulation], 5, 0)[0]
     np.testing.assert_allclose(actual, expected, rtol=0, atol=1e-11)
 
 
@@ -22,6 +23,7 @@ def test_weighted_sum_core_golden_vector():
     observations = np.array([[1.0, 5.0], [2.0, 4.0], [3.0, 8.0], [4.0, 7.0], [5.0, 9.0], [6.0, 6.0]])
     coarse = np.array([2.0, 3.0, 4.0, 5.0, 6.0])
     fine = np.array([[1.5, 2.5], [2.5, 3.5], [3.5, 4.5], [4.5, 5.5], [5.5, 6.5]])
+    # The published result for this sample.
     expected = [[0.00155682408, 2.78048780], [1.23028218, 3.97549408], [2.37329178, 5.25830433],
                 [3.55867130, 6.86961402], [4.95583388, 7.65853659]]
     actual = downscale.preserve_weighted_sum(
@@ -39,11 +41,28 @@ def test_rotations_are_orthogonal_and_repeatable():
 
 def test_gap_filling_keeps_known_values_and_is_repeatable():
     values = np.array([np.nan, 1.0, 3.0, np.nan, 2.0, np.nan])
-    a, b = (downscale.fill_gaps(values, np.nan, 7) for _ in range(2))
+    matrix = np.column_stack([values, np.arange(6.0), np.full(6, np.nan), np.where(np.arange(6) == 2, 4.0, np.nan)])
+    fallback = np.array([np.nan, np.nan, 5.0, np.nan])
+    a, b = (downscale.fill_gaps(matrix, fallback, 7) for _ in range(2))
     np.testing.assert_array_equal(a, b)
-    np.testing.assert_array_equal(a[[1, 2, 4]], [1.0, 3.0, 2.0])
-    assert np.isfinite(a).all() and a.min() >= 1.0 and a.max() <= 3.0
-    np.testing.assert_array_equal(downscale.fill_gaps(np.full(3, np.nan), 5.0, 0), np.full(3, 5.0))
+    np.testing.assert_array_equal(a[[1, 2, 4], 0], [1.0, 3.0, 2.0])
+    np.testing.assert_array_equal(a[:, 1:], np.column_stack([np.arange(6.0), np.full(6, 5.0), np.full(6, 4.0)]))
+    assert np.isfinite(a).all() and a.min() >= 0.0 and a[:, 0].max() <= 3.0
+    # Ranks 0, 2, 1 on days 1, 2, 4: lines give places -2, 1.5 and 0.5 to days 0, 3 and 5.
+    assert a[0, 0] <= a[5, 0] <= a[3, 0]
+    np.testing.assert_array_equal(a[:, 0], downscale.fill_gaps(matrix[:, :1], fallback[:1], 7)[:, 0])
+    with np.testing.assert_raises(ValueError):
+        downscale.fill_gaps(np.full((3, 1), np.nan), np.array([np.nan]), 0)
+
+
+def test_windows_side_by_side_equal_single_ones():
+    draw = np.random.RandomState(2)
+    sides = [[np.clip(draw.normal(60, spread, draw.randint(1, 70)), -5, 105) for _ in range(25)] for spread in (20, 30, 40)]
+    together = humidity.adjust_windows(*sides, 50, 3)
+    for row, obs, past, future in zip(together, *sides):
+        alone = humidity.adjust_windows([obs], [past], [future], 50, 3)[0]
+        np.testing.assert_array_equal(row[:future.size], alone)
+        assert np.isnan(row[future.size:]).all() and (alone >= 0).all() and (alone <= 100).all()
 
 
 def test_censored_values_spread_between_bound_and_threshold():

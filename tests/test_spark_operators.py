@@ -335,12 +335,24 @@ def test_quantiles_of_hostile_values_end_and_keep_rank(spark, monkeypatch, bins)
         assert got == {p: kept[int((len(kept) - 1) * p)] for p in ranks}
 
 
-def test_too_many_quantile_groups_are_refused(spark, monkeypatch):
-    from zephyrgrid.operators import quantiles
+@pytest.mark.parametrize("changed", [{}, {"SMALL": 0, "MARGIN": 0.3}, {"SMALL": 0, "MARGIN": -0.2, "BINS": 8}, {"BINS": 2, "BROADCAST_BRACKETS": 0}])
+def test_quantiles_of_many_groups_with_wide_wrong_and_deep_brackets(spark, monkeypatch, changed):
+    """A negative margin makes every bracket miss its rank; the counts must show it."""
+    for name, to in changed.items():
+        monkeypatch.setattr(quantiles, name, to)
+    draw = np.random.default_rng(8)
+    groups = {f"g{i}": np.round(draw.normal(i, 3, draw.integers(1, 400)), 1) for i in range(12)}
+    groups["same"], groups["endless"] = np.full(300, 2.5), np.array([-np.inf, 1.0, 2.0, np.inf, np.inf])
+    rows = [(g, float(v)) for g, values in groups.items() for v in values] + [("g0", None), ("g1", float("nan")), (None, 1.0)]
+    got = {(r["k"], r["p"]): (r["n"], r["quantile"]) for r in quantiles.exact_quantiles(
+        spark.createDataFrame(rows, "k string, v double"), "v", [0.0, 0.05, 0.5, 0.99, 1.0], by="k").collect()}
+    assert len(got) == 5 * len(groups)
+    for (g, p), (n, found) in got.items():
+        assert n == len(groups[g])
+        if g != "endless":
+            assert found == pytest.approx(np.quantile(groups[g], p), abs=1e-9)
+    assert got["endless", 0.5][1] == 2.0 and got["endless", 1.0][1] == np.inf and got["endless", 0.0][1] == -np.inf
 
-    monkeypatch.setattr(quantiles, "MOST_GROUPS", 3)
-    with pytest.raises(ValueError, match="more than 3"):
-        quantiles.exact_quantiles(spark.range(9).withColumn("v", F.col("id")), "v", [0.5], by="id")
 
 
 def test_settings_follow_the_unit_of_the_data():

@@ -254,3 +254,19 @@ def sample_edges(edges: DataFrame, group: str, limit: int) -> DataFrame:
         order = Window.partitionBy(*keys).orderBy("h", "a_cell", "b_cell")
         salted = salted.withColumn("r", F.row_number().over(order)).where(F.col("r") <= limit)
     return salted.drop("h", "salt", "r")
+
+
+def reference_audit(df: DataFrame, bounds: dict[str, tuple[float, float]], probabilities: list[float]) -> DataFrame:
+    """One row per variable: count, moments, extremes, quantiles (p1, p50, ...) and values outside its bounds.
+
+    All variables go through the same scans: one row per value, labelled by variable.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("variable"), F.col(n).cast("double").alias("v"), F.lit(a).alias("floor"), F.lit(b).alias("ceiling"))
+                                for n, (a, b) in bounds.items()])).alias("x")
+    long = df.select(pairs).select("x.*").where("v IS NOT NULL AND NOT isnan(v)")
+    moments = long.groupBy("variable").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("deviation"), F.min("v").alias("minimum"),
+        F.max("v").alias("maximum"), F.count_if((F.col("v") < F.col("floor")) | (F.col("v") > F.col("ceiling"))).alias("outside"))
+    points = exact_quantiles(long, "v", probabilities, by="variable")
+    ranks = points.groupBy("variable").agg(*[F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(f"p{round(p * 100)}") for p in probabilities])
+    return moments.join(ranks, "variable")

@@ -1,20 +1,21 @@
 """Exact quantiles at positions (n-1)*p, for small groups and for whole tables.
 
 Groups whose size the calendar bounds use Spark's ``percentile`` or sorted
-arrays.  Whole-table quantiles never gather the values in one task: repeated
-histograms narrow a bracket around each wanted rank until one value is left.
+arrays.  Whole-table quantiles never gather the values in one task: sketches
+bracket each wanted rank, and one more scan counts what is inside.
 """
 
 from __future__ import annotations
 
-import math
-from collections import defaultdict
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 BINS = 1024
-MOST_GROUPS = 4096
+SKETCH, MARGIN = 2048, 0.004  # size of a sketch, and the share of rows by which its ranks may be off
+SMALL = 10_000  # groups of so few rows are counted in full
+BROADCAST_BRACKETS = 50_000
 
 
 def sorted_array_quantile(values: Column, p: Column) -> Column:
@@ -47,96 +48,103 @@ def group_percentiles(df: DataFrame, keys: list[str], value: str, probabilities:
 def exact_quantiles(
     df: DataFrame, value: str, probabilities: list[float], by: str | None = None
 ) -> DataFrame:
-    """Exact quantiles of a whole column, optionally for each value of a few-valued ``by``.
+    """Exact quantiles of a whole column, optionally for each value of ``by``.
 
-    Returns ``(by, p, n, quantile)``.  Equal values collapse first, so a value
-    holding a third of all rows is one row afterwards.  Every pass is one scan
-    that returns at most ``BINS`` rows per open bracket: the values themselves
-    where a bracket has that few, else a histogram that narrows it.  Both ways
-    give the same value: the one at the wanted rank.  The smallest and the largest
-    value of a bracket always fall into different bins, infinities into bins of
-    their own, so every bracket shrinks and the loop ends.
+    Returns ``(by, p, n, quantile)``.  The data is scanned twice.  The first scan builds
+    a mergeable KLL sketch per group, which brackets every wanted rank between two
+    values less than a hundredth of the rows apart.  The second counts what lies below
+    each bracket and, value by value, what lies inside; equal values are one row, so a
+    value that holds a third of all rows is no burden.  Ranks are then settled among the
+    rows inside, by histograms while a bracket has more than ``BINS`` values.
+    A sketch that was wrong shows in the counts; its groups are counted again in full.
+    Nothing but the number of brackets reaches the driver.
 
     NaN is a missing value.  Infinities keep their rank; between an infinity and
-    a finite value the quantile is NaN.  More than ``MOST_GROUPS`` values of
-    ``by`` are refused, which bounds what reaches the driver.
+    a finite value the quantile is NaN.
     """
-    spark = df.sparkSession
     label = F.lit("all") if by is None else F.col(by).cast("string")
-    distinct = (
-        df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")) & label.isNotNull())
-        .groupBy(label.alias("g"), F.col(value).cast("double").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .persist()
-    )
-    try:
-        summary = distinct.groupBy("g").agg(
-            F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("k")
-        ).limit(MOST_GROUPS + 1).collect()
-        if len(summary) > MOST_GROUPS:
-            raise ValueError(f"{by!r} has more than {MOST_GROUPS} values")
-        totals = {row.g: row.n for row in summary}
-        wanted = {
-            g: sorted({r for p in probabilities for r in _ranks(n, p)}) for g, n in totals.items()
-        }
-        found: dict[tuple[str, int], float] = {}
-        open_brackets = {(r.g, r.lo, r.hi): (0, wanted[r.g], r.k) for r in summary}
-        while open_brackets:
-            open_brackets = _narrow(spark, distinct, open_brackets, found)
-    finally:
-        distinct.unpersist()
-    rows = []
-    for g, n in totals.items():
-        for p in probabilities:
-            low, high = _ranks(n, p)
-            a, b = found[g, low], found[g, high]
-            rows.append((g, float(p), n, a if a == b else a + ((n - 1) * p - low) * (b - a)))
-    schema = "g string, p double, n bigint, quantile double"
-    return spark.createDataFrame(rows, schema).withColumnRenamed("g", by or "g")
-
-
-def _ranks(n: int, p: float) -> tuple[int, int]:
-    position = (n - 1) * p
-    return math.floor(position), math.ceil(position)
-
-
-def _narrow(spark, distinct, brackets, found):
-    """One pass over the open brackets; settles what it can and returns smaller brackets."""
-    schema = "g string, lo double, hi double, few boolean"
-    # At most two brackets per probability and group: a handful of rows.
-    rows = [(g, lo, hi, k <= BINS) for (g, lo, hi), (_, _, k) in brackets.items()]
-    frame = F.broadcast(spark.createDataFrame(rows, schema))
-    v, lo, hi, infinite = F.col("v"), F.col("lo"), F.col("hi"), F.lit(float("inf"))
-    # Halves keep the span of any two finite values finite.
-    share = F.try_divide(v / 2 - lo / 2, hi / 2 - lo / 2)
-    open_ended = (lo == -infinite) | (hi == infinite)
-    bin_of = (
-        F.when(F.col("few"), v).when(v == -infinite, -1.0).when(v == infinite, float(BINS)).when(open_ended, 0.0)
-        .otherwise(F.floor(share * F.lit(BINS - 1)).cast("double"))
-    )
-    histogram = (
-        distinct.join(frame, "g")
-        .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-        .groupBy("g", "lo", "hi", bin_of.alias("bin"))
-        .agg(F.sum("n").alias("n"), F.min("v").alias("first"), F.max("v").alias("last"), F.count(F.lit(1)).alias("k"))
-        .collect()
-    )
-    bins = defaultdict(list)
-    for row in sorted(histogram, key=lambda r: r["bin"]):
-        bins[row.g, row.lo, row.hi].append(row)
-    result = {}
-    for (g, lo, hi), (base, ranks, _) in brackets.items():
-        before = base
-        for row in bins[g, lo, hi]:
-            inside = [r for r in ranks if before <= r < before + row.n]
-            if inside and row["first"] == row["last"]:
-                found.update({(g, rank): row["first"] for rank in inside})
-            elif inside:
-                if (row["first"], row["last"]) == (lo, hi):
-                    raise ArithmeticError(f"the bracket {lo}..{hi} does not shrink")
-                result[g, row["first"], row["last"]] = (before, inside, row.k)
-            before += row.n
-    return result
+    v = F.col(value).cast("double")
+    rows = df.where(F.col(value).isNotNull() & ~F.isnan(v) & label.isNotNull()).select(label.alias("g"), v.alias("v"))
+    brackets = cut_lineage(_brackets(rows, probabilities))
+    held = cut_lineage(_counted(rows, brackets))
+    missed = cut_lineage(_missed(brackets, held))
+    if not missed.isEmpty():
+        wide = brackets.join(missed, ["g", "p"]).withColumns({"a": F.col("lo"), "b": F.col("hi")})
+        again = _counted(rows, wide)
+        held = cut_lineage(held.join(missed, ["g", "p"], "left_anti").unionByName(again))
+    settled = _settled(brackets, held)
+    low, high = (settled.select("g", "p", F.col("rank").alias(f"{side}_rank"), F.col("v").alias(side)) for side in ("low", "high"))
+    found = brackets.join(low, ["g", "p", "low_rank"]).join(high, ["g", "p", "high_rank"])
+    between = F.col("low") + ((F.col("n") - 1) * F.col("p") - F.col("low_rank")) * (F.col("high") - F.col("low"))
+    return found.select(F.col("g").alias(by or "g"), "p", "n", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(between).alias("quantile"))
+
+
+def _brackets(rows: DataFrame, probabilities: list[float]) -> DataFrame:
+    """(g, p, n, lo, hi, a, b, low_rank, high_rank): from one scan, where each wanted rank should lie."""
+    summary = rows.groupBy("g").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.kll_sketch_agg_double("v", F.lit(SKETCH)).alias("sketch"))
+
+    def end(share: float, extreme: str) -> Column:
+        if not 0 < share < 1:
+            return F.col(extreme)
+        return F.when(F.col("n") <= SMALL, F.col(extreme)).otherwise(F.kll_sketch_get_quantile_double("sketch", F.lit(share)))
+
+    wanted = F.array(*[F.struct(F.lit(float(p)).alias("p"), end(p - MARGIN, "lo").alias("a"), end(p + MARGIN, "hi").alias("b")) for p in dict.fromkeys(probabilities)])
+    position = (F.col("n") - 1) * F.col("p")
+    return summary.select("g", "n", "lo", "hi", F.explode(wanted).alias("w")).select("g", "n", "lo", "hi", "w.*").withColumns(
+        {"low_rank": F.floor(position).cast("bigint"), "high_rank": F.ceil(position).cast("bigint")})
+
+
+def _counted(rows: DataFrame, brackets: DataFrame) -> DataFrame:
+    """(g, p, v, n): rows per value inside each bracket; v is NULL for all rows below it."""
+    few = brackets.select("g", "p", "a", "b")
+    if few.count() <= BROADCAST_BRACKETS:
+        few = F.broadcast(few)
+    inside = rows.join(few, "g").where(F.col("v") <= F.col("b"))
+    return inside.groupBy("g", "p", F.when(F.col("v") >= F.col("a"), F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _missed(brackets: DataFrame, held: DataFrame) -> DataFrame:
+    """(g, p) of brackets that do not hold their ranks."""
+    sums = held.groupBy("g", "p").agg(
+        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("below"), F.sum("n").alias("reached"))
+    outside = F.col("reached").isNull() | (F.col("low_rank") < F.col("below")) | (F.col("high_rank") >= F.col("reached"))
+    return brackets.join(sums, ["g", "p"], "left").where(outside).select("g", "p")
+
+
+def _settled(brackets: DataFrame, held: DataFrame) -> DataFrame:
+    """(g, p, rank, v): the value at each wanted rank.
+
+    The smallest and the largest value of a bracket always fall into different bins,
+    infinities into bins of their own, so every round leaves fewer values.
+    """
+    keys = ["g", "p", "rank"]
+    below = held.where("v IS NULL").select("g", "p", F.col("n").alias("below"))
+    wanted = brackets.join(below, ["g", "p"], "left").select(
+        "g", "p", F.explode(F.array_distinct(F.array("low_rank", "high_rank"))).alias("rank"), F.coalesce("below", F.lit(0)).alias("below"))
+    left = held.where("v IS NOT NULL").join(wanted, ["g", "p"]).select(*keys, (F.col("rank") - F.col("below")).alias("want"), "v", "n")
+    before = Window.partitionBy(*keys).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    last = None
+    while True:
+        left = cut_lineage(left)
+        spans = left.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("k"))
+        most = spans.agg(F.max("k").alias("k"), F.sum("k").alias("total")).first()
+        # Values next to each other at the end of the number range may share a bin; by then there are only a few.
+        if (most["k"] or 0) <= BINS or most["total"] == last:
+            break
+        last = most["total"]
+        v, lo, hi, infinite = F.col("v"), F.col("lo"), F.col("hi"), F.lit(float("inf"))
+        # Halves keep the span of any two finite values finite.
+        share = F.try_divide(v / 2 - lo / 2, hi / 2 - lo / 2)
+        open_ended = (lo == -infinite) | (hi == infinite)
+        bin_of = (F.when(v == -infinite, -1.0).when(v == infinite, float(BINS)).when(open_ended, 0.0)
+                  .otherwise(F.coalesce(F.floor(share * F.lit(BINS - 1)).cast("double"), F.lit(0.0))))
+        bins = left.join(spans, keys).groupBy(*keys, "want", bin_of.alias("at")).agg(F.sum("n").alias("n"), F.min("v").alias("first"), F.max("v").alias("last"))
+        placed = bins.withColumn("passed", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        chosen = placed.where("passed <= want AND want < passed + n").select(*keys, (F.col("want") - F.col("passed")).alias("rest"), "first", "last")
+        left = left.join(chosen, keys).where("v BETWEEN first AND last").select(*keys, F.col("rest").alias("want"), "v", "n")
+    placed = left.withColumn("at", F.col("v")).withColumn("passed", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    return placed.where("passed <= want AND want < passed + n").select(*keys, "v")
 
 
 def circular_day_windows(

@@ -495,3 +495,22 @@ def doy_window_quantiles(spark, d):
     q = sorted_array_quantiles(F.col("values"), [0.1, 0.5, 0.9])
     return w.select("cell", "doy", F.size("values").alias("n"), q.alias("q")).select(
         "cell", "doy", "n", *[F.round(F.col("q")[i], 6).alias(n) for i, n in enumerate(("q10", "q50", "q90"))])
+
+
+_AUDITED = {"tas": (150.0, 350.0), "hurs": (0.0, 100.0), "pr": (0.0, 3000.0), "wind": (0.0, 90.0), "tasrange": (0.0, 60.0), "ps": (30000.0, 104800.0)}
+_AUDIT_RANKS = (0.01, 0.05, 0.5, 0.95, 0.99)
+
+
+@query("reference_audit", f"""
+l AS (UNPIVOT (SELECT tas, hurs, pr, wind, tasrange, ps FROM roles WHERE role = 'ref') ON tas, hurs, pr, wind, tasrange, ps INTO NAME variable VALUE v),
+b(variable, low, high) AS (VALUES {", ".join(f"('{n}', {a}::DOUBLE, {b}::DOUBLE)" for n, (a, b) in _AUDITED.items())})
+SELECT variable, count(*) AS n, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS deviation, min(v) AS minimum, max(v) AS maximum,
+  {", ".join(f"round(quantile_cont(v, {p}), 6) AS p{round(p * 100)}" for p in _AUDIT_RANKS)}, count(*) FILTER (v < low OR v > high) AS outside
+FROM l JOIN b USING (variable) GROUP BY variable""", "roles")
+def reference_audit(spark, d):
+    """One row per reference variable: moments, extremes, quantiles and values outside the audit bounds."""
+    from ..operators.qc import reference_audit as audit
+    from ..sources.cube import role_series
+
+    out = audit(role_series(spark, d, "ref", *_AUDITED), _AUDITED, list(_AUDIT_RANKS))
+    return rounded(out, 6, "mean", "deviation", *[f"p{round(p * 100)}" for p in _AUDIT_RANKS])

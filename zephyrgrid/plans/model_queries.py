@@ -26,6 +26,46 @@ def bounded_humidity(spark, d):
     r, h, s = series(spark, d, "hurs")
     return rounded(humidity.adjust_humidity(r, h, s, "hurs"), 6, "adjusted")
 
+def _list_quantile(values: str, p: str) -> str:
+    """Linear quantile of a sorted list; an interval's right end never passes the last value."""
+    x = f"(({p}) * (len({values}) - 1))"
+    return f"({values}[floor({x})::BIGINT + 1] + ({x} - floor({x})) * ({values}[least(len({values}), floor({x})::BIGINT + 2)] - {values}[floor({x})::BIGINT + 1]))"
+
+
+def _knot(values: str, table: str) -> str:
+    """1-based left knot of a value in an ordered list."""
+    return f"greatest(1, least(len({table}) - 1, len(list_filter({table}, lambda q: q <= {values}))))::BIGINT"
+
+
+_SHARE = "greatest(0, least(1, CASE WHEN {t}[{j} + 1] > {t}[{j}] THEN ({v} - {t}[{j}]) / ({t}[{j} + 1] - {t}[{j}]) ELSE ({v} >= {t}[{j} + 1])::INT END))"
+
+
+@query("bounded_humidity_inner", f"""
+s AS (SELECT role, cell, ord, doy, 5 + 0.9::DOUBLE * hurs AS v FROM roles),
+c AS (SELECT DISTINCT cell, doy AS centre FROM s WHERE role = 'sim' AND cell IN (SELECT cell FROM s GROUP BY cell HAVING count(DISTINCT role) = 3)),
+w AS (SELECT c.cell, centre, role, ord, doy, v FROM c JOIN s ON s.cell = c.cell AND least(abs(doy - centre), 365 - abs(doy - centre)) <= 15),
+l AS (SELECT cell, centre, list(v ORDER BY v) FILTER (role = 'ref') AS ol, list(v ORDER BY v) FILTER (role = 'hist') AS pl,
+  list(v ORDER BY v) FILTER (role = 'sim') AS fl FROM w GROUP BY ALL),
+n AS (SELECT *, least(51, len(ol), len(pl), len(fl)) AS n FROM l WHERE len(ol) > 0 AND len(pl) > 0),
+t AS (SELECT *, list_transform(range(n), lambda i: {_list_quantile('ol', 'CASE WHEN i = n - 1 THEN 1 ELSE i * (1::DOUBLE / (n - 1)) END')}) AS oq,
+  list_transform(range(n), lambda i: {_list_quantile('pl', 'CASE WHEN i = n - 1 THEN 1 ELSE i * (1::DOUBLE / (n - 1)) END')}) AS pq,
+  list_transform(range(n), lambda i: {_list_quantile('fl', 'CASE WHEN i = n - 1 THEN 1 ELSE i * (1::DOUBLE / (n - 1)) END')}) AS fq FROM n),
+k AS (SELECT cell, centre, n, oq, pq, fq, v, {_knot('v', 'oq')} AS j FROM (SELECT cell, centre, n, oq, pq, fq, unnest(ol) AS v FROM t)),
+h AS (SELECT *, {_SHARE.format(t='oq', j='j', v='v')} AS share FROM k),
+x AS (SELECT cell, centre, v, n, oq[j] + share * (oq[j + 1] - oq[j]) AS o, pq[j] + share * (pq[j + 1] - pq[j]) AS p, fq[j] + share * (fq[j + 1] - fq[j]) AS f FROM h),
+g AS (SELECT cell, centre, list(moved ORDER BY moved) AS goal FROM (SELECT cell, centre, greatest(0, least(100, CASE
+    WHEN n < 2 THEN v WHEN p = o THEN f WHEN p < o AND f < p THEN o + f - p WHEN p < o THEN 100 - (100 - o) * (100 - f) / (100 - p) WHEN f > p THEN o + f - p
+    ELSE o * f / p END)) AS moved FROM x) WHERE moved > 0.01 AND moved < 99.99 GROUP BY ALL),
+m AS (SELECT t.cell, t.centre, list_transform(range(51), lambda i: {_list_quantile('fl', 'CASE WHEN i = 50 THEN 1 ELSE i * (1::DOUBLE / 50) END')}) AS source,
+  list_transform(range(51), lambda i: {_list_quantile('goal', 'CASE WHEN i = 50 THEN 1 ELSE i * (1::DOUBLE / 50) END')}) AS target FROM t JOIN g USING (cell, centre)),
+a AS (SELECT s.cell, s.ord, s.v, source, target, {_knot('s.v', 'source')} AS j FROM s JOIN m ON m.cell = s.cell AND m.centre = s.doy WHERE s.role = 'sim'),
+b AS (SELECT cell, ord, target[j] + {_SHARE.format(t='source', j='j', v='v')} * (target[j + 1] - target[j]) AS r FROM a)
+SELECT cell, ord, round(CASE WHEN r <= 0.01 THEN 0 WHEN r >= 99.99 THEN 100 ELSE r END, 9) AS adjusted FROM b""", "roles")
+def bounded_humidity_inner(spark, d):
+    """Humidity kept clear of both bounds: nothing is drawn, so every adjusted value has its SQL."""
+    inner = [df.withColumn("hurs", 5 + 0.9 * F.col("hurs")) for df in series(spark, d, "hurs")]
+    return rounded(humidity.adjust_humidity(*inner, "hurs").where("adjusted IS NOT NULL"), 9, "adjusted")
+
 
 def _downscaled(spark, d, value: str, variable: str):
     side = grid_side(spark, d)

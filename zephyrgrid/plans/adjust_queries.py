@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -216,7 +218,7 @@ def fit_cache_roundtrip(spark, d):
     """The same adjustment through a stored fit: trained once, then read by its fingerprint."""
     r, h, s = series(spark, d, "tas")
     key = adj.fit_key({"tables": d, "variable": "tas", "method": "qdm", "window": 31, "quantiles": 50})
-    path = f"{shared_directory(spark)}/fit-cache/tas"
+    path = f"{shared_directory(spark)}/fit-cache-{uuid.uuid4().hex}/tas"
     adj.cached_fit(spark, path, key, lambda: adj.train(r, h, "tas", "qdm", "additive"))
     out = adj.adjust(r, h, s, "tas", "qdm", "additive", "dayofyear", cache=(path, key))
     return rounded(out.select("cell", "ord", "adjusted"), 8, "adjusted")

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from zephyrgrid.llm import quality, queries, toxicity
 
@@ -145,3 +146,29 @@ def test_odd_tables(spark):
     assert all((s >= 0.7) == bool(i % 2) for i, s in scores.items())
     kept = toxicity.clean_rows(both, model)
     assert kept.columns == both.columns and {r["doc_id"] for r in kept.collect()} == set(range(0, 60, 2))
+
+
+def test_an_id_with_several_texts_gives_one_model(spark):
+    """Whatever the partitioning, the same text of an id is learned from."""
+    rows, labels = [], []
+    for i in range(200):
+        words = " ".join(f"word{(i * 7 + k) % 90}" for k in range(40 + i % 50))
+        rows += [(i, words + ".", "en", "s", 0), (i, ("### " + words + " $$$\n") * (1 + i % 3), "en", "s", 0)]
+        labels.append((i, i % 2, (i // 2) % 2))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    trees = [quality.fit(docs.repartition(n, *by), marks) for n, by in ((1, []), (7, ["doc_id"]), (5, ["text"]))]
+    for other in trees[1:]:
+        assert other.least == trees[0].least and np.array_equal(other.cut, trees[0].cut) and np.array_equal(other.value, trees[0].value)
+    votes = [toxicity.fit(docs.repartition(n, "text"), marks)[0] for n in (2, 9)]
+    assert votes[0].terms == votes[1].terms and votes[0].ids == votes[1].ids and np.array_equal(votes[0].knots, votes[1].knots)
+
+
+def test_the_quality_cut_keeps_clean_examples_it_has_not_seen(spark):
+    directory = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{directory}/{t}.parquet") for t in ("documents", "labels"))
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    trees = quality.fit(docs, labels.where(half))
+    unseen = docs.join(labels.where(~half).where("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    judged = quality.judge(unseen, trees).where("NOT base_failed")
+    assert judged.where("kept").count() >= 0.985 * judged.count()

@@ -9,9 +9,12 @@ or repeated words never raise a score: splits on those statistics are admitted
 only in that direction and bound the values of all nodes below them.
 
 The cut is the lower of one half and the score that all but ``LOST`` of the clean
-examples reach, so that clean documents stay.
+examples reach, so that clean documents stay.  It comes from scores of examples by
+trees that have not seen them (``FOLDS`` parts by a hash of the id), as an
+interpolated quantile.
 
-Defined cases: a null text has no words and fails the base rule, like an empty
+Defined cases: of several labelled texts that share an id the one with the smallest
+hash is learned from, so partitioning does not matter; a null text has no words and fails the base rule, like an empty
 one; a null id is kept as it is; repeated rows each give a row; without labels of
 both kinds the trees reject nothing; an empty table gives an empty result.
 """
@@ -19,6 +22,7 @@ both kinds the trees reject nothing; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,6 +41,7 @@ LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
 MAX_EXAMPLES = 20_000
 LOST = 0.002
+FOLDS = 3
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 # Statistics the trees see, and the direction in which each may move the score (0: either).
 FEATURES = {
@@ -191,7 +196,8 @@ def _sample_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         values = [statistics(t.as_py())[1] for t in batch.column("text")]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("example"), batch.column("quality"), pa.array(values, pa.list_(pa.float64()))], names=["example", "quality", "values"])
+            [batch.column("example"), batch.column("quality"), batch.column("named"), pa.array(values, pa.list_(pa.float64()))],
+            names=["example", "quality", "named", "values"])
 
 
 def fit(documents: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> Trees | None:
@@ -199,15 +205,24 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> T
     sample = cut_lineage(examples(labels, limit))
     known = documents.select(F.col("doc_id").alias("example"), "text").join(F.broadcast(sample), "example")
     kind = sample.schema["example"].dataType.simpleString()
-    rows = known.select("example", "quality", "text").mapInArrow(_sample_batches, f"example {kind}, quality int, values array<double>")
-    rows = sorted(tuple(r) for r in rows.dropDuplicates(["example"]).collect())
+    rows = known.select("example", "quality", "text", F.xxhash64("text").alias("named")).mapInArrow(
+        _sample_batches, f"example {kind}, quality int, named bigint, values array<double>")
+    # Equal texts have equal values, so the order is complete.
+    rows = rows.groupBy("example").agg(F.min(F.struct("named", "quality", "values")).alias("row")).select("example", "row.quality", "row.values")
+    rows = sorted(tuple(r) for r in rows.collect())
     clean = np.array([r[1] for r in rows], np.float64)
     if not rows or clean.min() == clean.max():
         return None
     features = np.array([r[2] for r in rows])
     trees = grow(features, clean, list(FEATURES.values()))
-    reached = np.sort(trees.score(features)[clean == 1])
-    trees.least = float(min(0.5, reached[int(LOST * len(reached))]))
+    fold = np.array([zlib.crc32(str(r[0]).encode()) % FOLDS for r in rows])
+    unseen = np.full(len(rows), np.nan)
+    for part in range(FOLDS):
+        rest = fold != part
+        if 0 < clean[rest].sum() < rest.sum():
+            unseen[~rest] = grow(features[rest], clean[rest], list(FEATURES.values())).score(features[~rest])
+    reached = unseen[(clean == 1) & np.isfinite(unseen)]
+    trees.least = float(min(0.5, np.quantile(reached, LOST))) if len(reached) else 0.0
     return trees
 
 

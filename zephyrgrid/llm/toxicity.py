@@ -287,8 +287,10 @@ def fit(documents: DataFrame, labels: DataFrame, table: DataFrame | None = None,
     for r in table.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
         frequency[r["term"]] = r["count"]
     model = Model(terms, np.log((total + 1) / (frequency + 1)) + 1)
-    known = table.join(F.broadcast(sample), table["id"] == sample["example"]).dropDuplicates(["example"])
-    rows = sorted(known.select("example", "toxic", "terms", "counts").collect())
+    known = table.join(F.broadcast(sample), table["id"] == sample["example"])
+    # Of several texts that share an id the one whose terms come first is learned from.
+    known = known.groupBy("example").agg(F.min(F.struct("terms", "counts", "toxic")).alias("row")).select("example", "row.toxic", "row.terms", "row.counts")
+    rows = sorted(known.collect())
     model.ids = [r["example"] for r in rows]
     model.toxic = np.array([r["toxic"] for r in rows], np.int64)
     prior = float(model.toxic.mean()) if rows else 0.0

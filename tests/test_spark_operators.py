@@ -435,3 +435,17 @@ def test_training_series_read_the_table_once(spark):
     for frame in series(spark, "/root/testdata/sf0.001", "tas"):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "FileScan" not in plan and "Scan ExistingRDD" in plan
+
+
+def test_a_single_wrong_value_in_a_published_store_is_found(spark, tmp_path):
+    """Counts and keys agree; only one code differs."""
+    from zephyrgrid.plans import pipeline
+
+    frame = spark.range(4).select(F.col("id").alias("cell")).crossJoin(spark.range(365).select(F.col("id").alias("ord"))).withColumn(
+        "v", 280.0 + F.col("cell") + F.col("ord") / 100)
+    path = str(tmp_path / "store")
+    report = pipeline.publish(frame, "v", "tas", path)
+    assert report["maximum_error"] <= 0.0025 + 1e-9
+    pipeline.verify_published(frame, "v", "tas", path)
+    with pytest.raises(OSError, match="does not hold"):
+        pipeline.verify_published(frame.withColumn("v", F.col("v") + F.when(F.expr("cell = 2 AND ord = 77"), 0.006).otherwise(0.0)), "v", "tas", path)

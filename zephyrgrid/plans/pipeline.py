@@ -12,7 +12,7 @@ from ..functions import physics as ph
 from ..functions import units
 from ..functions.presets import settings
 from ..operators import adjustment, aggregate, downscale, fireweather, indicators, masks, packing, qc, regrid
-from ..session import scalar_row
+from ..session import cut_lineage, scalar_row
 from ..sources import stores
 
 Grid = tuple[regrid.Axis, regrid.Axis]
@@ -147,8 +147,12 @@ def fire_products(
 
 
 def publish(df: DataFrame, value: str, variable: str, path: str, overwrite: bool = False) -> dict:
-    """Pack one variable, refuse saturation, publish whole, reopen and check it, and return the packing report."""
+    """Pack one variable, refuse saturation, publish whole, reopen and check it, and return the packing report.
+
+    The input is evaluated once; everything else works on that copy.
+    """
     scale, offset = packing.specification(variable)
+    df = cut_lineage(df.select("cell", "ord", F.col(value).alias(value)))
     report = scalar_row(packing.packing_report(df, value, scale, offset)).asDict()
     if not report["valid_packing"]:
         raise ValueError(f"{variable} does not fit its packing: {report}")
@@ -162,15 +166,23 @@ def publish(df: DataFrame, value: str, variable: str, path: str, overwrite: bool
 
 
 def verify_published(df: DataFrame, value: str, variable: str, path: str) -> None:
-    """Reopen a published store: as many rows and valid values as ``df``, each within half a packing step of it."""
+    """Reopen a published store: it must hold every cell and day of ``df`` with the code of its value, and nothing else.
+
+    A code is the nearest step to its value, so equal codes are values within half a
+    packing step.  Both sides come down to one row, nothing is joined.
+    """
     scale, offset = packing.specification(variable)
-    counts = scalar_row(df.agg(F.count(F.lit(1)).alias("rows"), F.count(value).alias("valid"),
-                               F.sum(F.xxhash64("cell", "ord").cast("decimal(38,0)")).alias("keys")))
-    again = df.sparkSession.read.parquet(path)
-    back = scalar_row(again.agg(F.count(F.lit(1)).alias("rows"), F.count(packing.unpack(F.col("code"), scale, offset)).alias("valid"),
-                                F.sum(F.xxhash64("cell", "ord").cast("decimal(38,0)")).alias("keys")))
-    if counts != back:
-        raise OSError(f"{path} does not hold what was published: {back} instead of {counts}")
+
+    def summary(rows: DataFrame):
+        return scalar_row(rows.agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("code") != packing.FILL).alias("valid"),
+            F.sum(F.xxhash64("cell", "ord").cast("decimal(38,0)")).alias("keys"),
+            F.sum(F.xxhash64("cell", "ord", F.col("code").cast("smallint")).cast("decimal(38,0)")).alias("values")))
+
+    wanted = summary(df.select("cell", "ord", packing.pack(F.col(value), scale, offset, variable).alias("code")))
+    found = summary(df.sparkSession.read.parquet(path))
+    if wanted != found:
+        raise OSError(f"{path} does not hold what was published: {found} instead of {wanted}")
 
 
 def publish_batch(products: dict[str, tuple[DataFrame, str, str]], overwrite: bool = False) -> dict[str, dict]:

@@ -13,9 +13,9 @@ bits for each frequent run, up to ``MAX_FILTER_BITS`` (32 MB, which bounds the
 broadcast); a fuller one lets more rare runs into the shuffle and changes no result.
 
 Counting shuffles pairs of fingerprint and count.  A last pass over the texts then
-verifies: within a batch every occurrence is held against the first one of its
-fingerprint, word by word and byte by byte, and each phrase comes out once, as
-text, with its count and a pointer to one occurrence (row id, byte offset).
+verifies: within a task every occurrence is held against the first one of its
+fingerprint, words byte by byte and runs word by word, and each phrase comes out
+once per task, as text, with its count and a pointer to an occurrence (the id of a row).
 Counts of equal texts are added up, hence colliding fingerprints come apart.
 Only runs that the bitmaps call frequent are ever made into text.
 
@@ -52,6 +52,7 @@ STRETCH = 1 << 20
 BITS_PER_RUN = 16
 MAX_FILTER_BITS = 1 << 28
 BLOCK_BITS = 15
+KEPT_RUNS, ROWS_AT_ONCE = 1 << 20, 1 << 16  # runs a task counts before it passes them on
 UNKNOWN = "und"
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
@@ -118,38 +119,19 @@ class Runs:
         prints = self.words if n == 1 else mixed(windows(self.words, WORD_BASE, start, start + n) + np.uint64(n))
         return prints, (self.piece[:count] == self.piece[n - 1:]) & self.counted[n - 1:]
 
-    def word_classes(self) -> np.ndarray:
-        """A number for each word, equal exactly for words of equal bytes and language."""
-        _, first, inverse = np.unique(self.words, return_index=True, return_inverse=True)
-        sizes = self.ends - self.starts
-        model = first[inverse]
-        if (sizes == sizes[model]).all() and (self.language == self.language[model]).all():
-            total = int(sizes.sum())
-            inside = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            if np.array_equal(self.data[np.repeat(self.starts, sizes) + inside], self.data[np.repeat(self.starts[model], sizes) + inside]):
-                return inverse
-        seen: dict[tuple[bytes, int], int] = {}
-        return np.array([seen.setdefault((self.word(i), int(self.language[i])), len(seen)) for i in range(len(sizes))], np.int64)
-
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i]:self.ends[i]].tobytes()
 
-    def phrase(self, i: int, n: int) -> bytes:
-        """Words i to i + n - 1 with single blanks between them."""
-        whole = self.data[self.starts[i]:self.ends[i + n - 1]].tobytes()
-        single = len(whole) == int((self.ends[i:i + n] - self.starts[i:i + n]).sum()) + n - 1
-        return whole.replace(b"\t", b" ") if single else b" ".join([self.word(k) for k in range(i, i + n)])
-
 
-def cut_long(text: bytes, size: int = STRETCH) -> Iterator[tuple[bytes, int, int]]:
-    """(bytes, words carried over, offset in ``text``) in stretches of about ``size`` bytes."""
+def cut_long(text: bytes, size: int = STRETCH) -> Iterator[tuple[bytes, int]]:
+    """(bytes, words carried over) in stretches of about ``size`` bytes."""
     start, carried = 0, b""
     while True:
         found = END.search(text, start + size) if len(text) - start > size else None
         stop = found.start() if found else len(text)
         part = text[start:stop]
         words = carried.split(b" ") if carried else []
-        yield (carried + b" " + part if words else part), len(words), start - (len(carried) + 1 if words else 0)
+        yield (carried + b" " + part if words else part), len(words)
         if not found:
             return
         # A piece that goes on takes its last words along, so that no run is lost between stretches.
@@ -159,10 +141,10 @@ def cut_long(text: bytes, size: int = STRETCH) -> Iterator[tuple[bytes, int, int
 
 
 def _buffers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Runs, list[str], list]]:
-    """(runs, language names, (row id, offset) of each part) for about ``STRETCH`` bytes of text at a time."""
+    """(runs, language names, row id of each part) for about ``STRETCH`` bytes of text at a time."""
     parts, places, held, number = [], [], 0, {}
 
-    def made():
+    def made() -> tuple[Runs, list[str], list]:
         hashes = np.array([xxhash.xxh64_intdigest(name) for name in number], np.uint64)
         return Runs(parts, hashes), list(number), places
 
@@ -172,9 +154,9 @@ def _buffers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Runs, list[str
             text = text.as_py()
             if not text:
                 continue
-            for part, carried, offset in cut_long(text.encode().translate(LOWER)):
+            for part, carried in cut_long(text.encode().translate(LOWER)):
                 parts.append((part, number.setdefault(UNKNOWN if language is None else language, len(number)), carried))
-                places.append((key, offset))
+                places.append(key)
                 held += len(part)
                 if held >= STRETCH:
                     yield made()
@@ -223,45 +205,136 @@ def frequent_bits(counted: DataFrame, least: int, max_bits: int = MAX_FILTER_BIT
     return bits
 
 
+class Seen:
+    """The words and runs of a task, each once: exact numbers, counts and where they were first seen.
+
+    A fingerprint points to the word or run it was first seen with.  Every later
+    one is held against it, words byte by byte and runs word by word; those that
+    differ though their fingerprint is the same get numbers by their contents.
+    """
+
+    def __init__(self):
+        self.blob = bytearray()
+        self.word_at = np.zeros((0, 3), np.int64)  # start and size in ``blob``, number of the language
+        self.languages: dict[str, int] = {}
+        self.known = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in range(LONGEST + 1)]  # fingerprints in order, their numbers; 0: words
+        self.odd: list[dict] = [{} for _ in range(LONGEST + 1)]
+        self.runs = [np.zeros((0, n), np.int64) for n in range(LONGEST + 1)]
+        self.times = [np.zeros(0, np.int64) for _ in range(LONGEST + 1)]
+        self.examples: list[list] = [[] for _ in range(LONGEST + 1)]
+        self.totals: dict[str, int] = {}
+
+    def _numbers(self, level: int, prints: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+        """(number of each fingerprint, position of the first occurrence of each new one); new ones are numbered from ``count`` on."""
+        held, numbers = self.known[level]
+        found, first, inverse = np.unique(prints, return_index=True, return_inverse=True)
+        at = np.minimum(np.searchsorted(held, found), max(0, len(held) - 1))
+        old = held[at] == found if len(held) else np.zeros(len(found), bool)
+        own = np.empty(len(found), np.int64)
+        own[old] = numbers[at[old]]
+        own[~old] = count + np.arange(int((~old).sum()))
+        if not old.all():
+            merged = np.concatenate([held, found[~old]])
+            order = np.argsort(merged, kind="stable")
+            self.known[level] = merged[order], np.concatenate([numbers, own[~old]])[order]
+        return own[inverse], first[~old]
+
+    def _add_words(self, runs: Runs, at: np.ndarray, names: np.ndarray) -> None:
+        rows = []
+        for i in at.tolist():
+            word = runs.word(i)
+            rows.append((len(self.blob), len(word), int(names[runs.language[i]])))
+            self.blob += word
+        self.word_at = np.concatenate([self.word_at, np.array(rows, np.int64).reshape(-1, 3)])
+
+    def words_of(self, runs: Runs, at: np.ndarray, names: np.ndarray) -> np.ndarray:
+        """The exact number of each word ``at``."""
+        numbers, fresh = self._numbers(0, runs.words[at], len(self.word_at))
+        self._add_words(runs, at[fresh], names)
+        start, size, language = self.word_at[numbers].T
+        sizes = runs.ends[at] - runs.starts[at]
+        same = (size == sizes) & (language == names[runs.language[at]])
+        if not same.all():
+            sizes = np.where(same, sizes, 0)
+        total = int(sizes.sum())
+        inside = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        blob = np.frombuffer(bytes(self.blob), np.uint8)
+        differ = runs.data[np.repeat(runs.starts[at], sizes) + inside] != blob[np.repeat(start, sizes) + inside]
+        if differ.any():
+            same[np.repeat(np.arange(len(at)), sizes)[differ]] = False
+        for i in np.flatnonzero(~same).tolist():
+            word = (runs.word(int(at[i])), int(names[runs.language[at[i]]]))
+            if word not in self.odd[0]:
+                self.odd[0][word] = len(self.word_at)
+                self._add_words(runs, at[i:i + 1], names)
+            numbers[i] = self.odd[0][word]
+        return numbers
+
+    def count_runs(self, n: int, prints: np.ndarray, words: np.ndarray, example) -> None:
+        """Count runs of ``n`` words with their fingerprints; ``words`` has the number of each word, ``example`` names the place of the k-th run."""
+        numbers, fresh = self._numbers(n, prints, len(self.runs[n]))
+        self.runs[n] = np.concatenate([self.runs[n], words[fresh]])
+        self.examples[n].extend(example(fresh))
+        for i in np.flatnonzero((self.runs[n][numbers] != words).any(axis=1)).tolist():
+            run = tuple(words[i].tolist())
+            if run not in self.odd[n]:
+                self.odd[n][run] = len(self.runs[n])
+                self.runs[n] = np.concatenate([self.runs[n], words[i:i + 1]])
+                self.examples[n].extend(example(np.array([i])))
+            numbers[i] = self.odd[n][run]
+        counts = np.bincount(numbers, minlength=len(self.runs[n]))
+        counts[:len(self.times[n])] += self.times[n]
+        self.times[n] = counts
+
+    def count(self, buffer: Runs, languages: list[str], places: list, bits: list[np.ndarray]) -> None:
+        names = np.array([self.languages.setdefault(x, len(self.languages)) for x in languages], np.int64)
+        for name, times in zip(languages, np.bincount(buffer.language[buffer.counted], minlength=len(languages)).tolist()):
+            self.totals[name] = self.totals.get(name, 0) + times
+        wanted = np.flatnonzero(_may_be_frequent(bits[0], buffer.words))
+        exact = np.full(len(buffer.words), -1, np.int64)
+        exact[wanted] = self.words_of(buffer, wanted, names)
+        for n in range(1, LONGEST + 1):
+            prints, valid = _admitted(buffer, n, bits[n - 2])
+            at = np.flatnonzero(valid & _may_be_frequent(bits[n - 1], prints)) if len(prints) else np.zeros(0, np.int64)
+            words = np.column_stack([exact[at + k] for k in range(n)])
+            self.count_runs(n, prints[at], words, lambda rows, at=at: [places[p] for p in buffer.part[at[rows]].tolist()])
+
+    def rows(self, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+        """(lang, n, phrase, times, example); runs of no words hold the words of a language."""
+        spelled = [bytes(self.blob[s:s + size]).decode() for s, size in self.word_at[:, :2].tolist()]
+        names = list(self.languages)
+        columns = [list(self.totals), [0] * len(self.totals), [""] * len(self.totals), list(self.totals.values()), [None] * len(self.totals)]
+        for n in range(1, LONGEST + 1):
+            columns[0] += [names[x] for x in self.word_at[self.runs[n][:, 0], 2].tolist()]
+            columns[1] += [n] * len(self.runs[n])
+            columns[2] += [" ".join([spelled[w] for w in run]) for run in self.runs[n].tolist()]
+            columns[3] += self.times[n].tolist()
+            columns[4] += self.examples[n]
+        types = (pa.string(), pa.int32(), pa.string(), pa.int64(), kind)
+        for start in range(0, len(columns[0]), ROWS_AT_ONCE):
+            yield pa.RecordBatch.from_arrays([pa.array(c[start:start + ROWS_AT_ONCE], t) for c, t in zip(columns, types)], names=["lang", "n", "phrase", "times", "example"])
+
+
 def _phrase_batches(filters: list):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [f.value for f in filters]
-        for runs, names, places in _buffers(batches):
-            classes = runs.word_classes()
-            rows: list[tuple[int, int, int, bytes]] = []  # first word, length, times, text
-            for n in range(1, LONGEST + 1):
-                prints, valid = _admitted(runs, n, bits[n - 2])
-                at = np.flatnonzero(valid & _may_be_frequent(bits[n - 1], prints)) if len(prints) else np.zeros(0, np.int64)
-                for first, times in zip(*_equal_runs(classes, prints, at, n)):
-                    rows.append((first, n, times, runs.phrase(first, n)))
-            counted = np.bincount(runs.language[runs.counted], minlength=len(names)).tolist()
-            part = [int(runs.part[r[0]]) for r in rows]
-            columns = [
-                pa.array([names[runs.language[r[0]]] for r in rows] + names, pa.string()), pa.array([r[1] for r in rows] + [0] * len(names), pa.int32()),
-                pa.array([r[3].decode() for r in rows] + [""] * len(names), pa.string()), pa.array([r[2] for r in rows] + counted, pa.int64()),
-                pa.array([places[p][0].as_py() for p in part] + [None] * len(names), places[0][0].type),
-                pa.array([int(runs.starts[r[0]] - runs.offsets[p]) + places[p][1] for r, p in zip(rows, part)] + [None] * len(names), pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "n", "phrase", "times", "example", "example_at"])
+        seen, kind = Seen(), pa.null()
+        for runs, languages, places in _buffers(batches):
+            kind = next((p.type for p in places if p is not None), kind)
+            seen.count(runs, languages, [p.as_py() for p in places], bits)
+            if sum(map(len, seen.times)) > KEPT_RUNS:
+                yield from seen.rows(kind)
+                seen = Seen()
+        if seen.totals:
+            yield from seen.rows(kind)
 
     return run
 
 
-def _equal_runs(classes: np.ndarray, prints: np.ndarray, at: np.ndarray, n: int) -> tuple[list[int], list[int]]:
-    """(first position, times) of each distinct run of n words among those that begin at ``at``."""
-    _, first, inverse, times = np.unique(prints[at], return_index=True, return_inverse=True, return_counts=True)
-    model = at[first[inverse]]
-    if all(np.array_equal(classes[at + k], classes[model + k]) for k in range(n)):
-        return at[first].tolist(), times.tolist()
-    exact = np.column_stack([classes[at + k] for k in range(n)])
-    _, first, times = np.unique(exact, axis=0, return_index=True, return_counts=True)
-    return at[first].tolist(), times.tolist()
-
-
 def frequent_phrases(documents: DataFrame, least: int = LEAST, key: str = "doc_id") -> DataFrame:
-    """(lang, n, phrase, times, example, example_at): every run of one to four words found ``least`` times or more.
+    """(lang, n, phrase, times, example): every run of one to four words found ``least`` times or more.
 
-    ``example`` and ``example_at`` point to one occurrence: the id of its row and the
-    byte offset in its text.  Rows of n = 0 hold the number of words of a language.
+    ``example`` is the id of a row that holds it.  Rows of n = 0 hold the number of words of a language.
     """
     rows = documents.select(F.col(key).alias("id"), F.col("lang").cast("string").alias("lang"), "text")
     context = documents.sparkSession.sparkContext
@@ -270,14 +343,13 @@ def frequent_phrases(documents: DataFrame, least: int = LEAST, key: str = "doc_i
         counted = rows.select("lang", "text").mapInArrow(_count_batches(n, filters[-1] if filters else None), "print bigint, times bigint")
         filters.append(context.broadcast(frequent_bits(counted, least)))
     kind = rows.schema["id"].dataType.simpleString()
-    found = rows.mapInArrow(_phrase_batches(filters), f"lang string, n int, phrase string, times bigint, example {kind}, example_at bigint")
-    place = F.struct("example", "example_at")
-    summed = found.groupBy("lang", "n", "phrase").agg(F.sum("times").alias("times"), F.min(place).alias("place"))
-    return summed.where((F.col("times") >= least) | (F.col("n") == 0)).select("lang", "n", "phrase", "times", "place.*")
+    found = rows.mapInArrow(_phrase_batches(filters), f"lang string, n int, phrase string, times bigint, example {kind}")
+    summed = found.groupBy("lang", "n", "phrase").agg(F.sum("times").alias("times"), F.min("example").alias("example"))
+    return summed.where((F.col("times") >= least) | (F.col("n") == 0))
 
 
 def collocations(phrases: DataFrame, kept: int = KEPT_PER_LANGUAGE) -> DataFrame:
-    """The best phrases of two to four words per language: (lang, rank, phrase, a, l, r, n, score, example, example_at).
+    """The best phrases of two to four words per language: (lang, rank, phrase, a, l, r, n, score, example).
 
     A phrase of count a, cut into two parts of counts l and r, scores
     floor(2,000,000 a / (l + r)); its lowest-scoring cut counts, of equal ones the
@@ -286,7 +358,7 @@ def collocations(phrases: DataFrame, kept: int = KEPT_PER_LANGUAGE) -> DataFrame
     """
     phrases = cut_lineage(phrases)
     totals = phrases.where("n = 0").select("lang", F.col("times").alias("total"))
-    grams = phrases.where("n > 0").select("lang", F.col("n").alias("words"), "phrase", "times", "example", "example_at")
+    grams = phrases.where("n > 0").select("lang", F.col("n").alias("words"), "phrase", "times", "example")
     counts = grams.select("lang", F.col("phrase").alias("part"), F.col("times").alias("part_times"))
     candidates = grams.where("words > 1")
 
@@ -303,7 +375,7 @@ def collocations(phrases: DataFrame, kept: int = KEPT_PER_LANGUAGE) -> DataFrame
         cuts = salted_join(cuts.withColumn("part", F.expr(part)), counts, ["lang", "part"]).drop("part").withColumnRenamed("part_times", side)
     score = F.expr(f"(cast(times as decimal(20,0)) * {SCALE}) div (cast(l as decimal(20,0)) + cast(r as decimal(20,0)))")
     lowest = cuts.groupBy("lang", "phrase").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut"))
-    scored = kept_rows.join(lowest, ["lang", "phrase"]).select("lang", "phrase", F.col("times").alias("a"), "cut.l", "cut.r", "cut.score", "example", "example_at")
+    scored = kept_rows.join(lowest, ["lang", "phrase"]).select("lang", "phrase", F.col("times").alias("a"), "cut.l", "cut.r", "cut.score", "example")
 
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     # First among a share of a language's phrases, then among what is left of all shares.
@@ -311,4 +383,4 @@ def collocations(phrases: DataFrame, kept: int = KEPT_PER_LANGUAGE) -> DataFrame
     best = scored.withColumn("share", scattered("phrase", parts=64)).withColumn("place", F.row_number().over(share)).where(F.col("place") <= kept)
     ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= kept)
     return ranked.join(totals, "lang").select(
-        "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", F.col("total").alias("n"), "score", "example", "example_at")
+        "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", F.col("total").alias("n"), "score", "example")

@@ -57,6 +57,11 @@ def main() -> None:
     # As many values as the published figure (75 million), written out as Parquet.
     member = F.explode(F.sequence(F.lit(1), F.lit(max(1, 75_000_000 // (4 * items.count())))))
     members = items.select("l_quantity", "l_extendedprice", "l_discount", "l_tax", member.alias("member"))
+    # Every copy of a row has values of its own, or Parquet would store them as runs.
+    moved = F.xxhash64("l_extendedprice", "l_discount", "member") % 1000
+    members = members.withColumns({
+        "l_quantity": F.col("l_quantity") + moved / 500, "l_extendedprice": F.col("l_extendedprice") + moved,
+        "l_discount": F.col("l_discount") + moved / 50000, "l_tax": F.col("l_tax") + moved / 50000})
     values = members.count() * 4
     target = tempfile.mkdtemp(prefix="bench-") + "/packed"
     start = time.perf_counter()

@@ -335,7 +335,7 @@ def test_quantiles_of_hostile_values_end_and_keep_rank(spark, monkeypatch, bins)
         assert got == {p: kept[int((len(kept) - 1) * p)] for p in ranks}
 
 
-@pytest.mark.parametrize("changed", [{}, {"SMALL": 0, "MARGIN": 0.3}, {"SMALL": 0, "MARGIN": -0.2, "BINS": 8}, {"BINS": 2, "BROADCAST_BRACKETS": 0}])
+@pytest.mark.parametrize("changed", [{"SMALL": 0, "MARGIN": 0.3}, {"SMALL": 0, "MARGIN": -0.2, "BINS": 8}, {"BINS": 8, "BROADCAST_BRACKETS": 0}])
 def test_quantiles_of_many_groups_with_wide_wrong_and_deep_brackets(spark, monkeypatch, changed):
     """A negative margin makes every bracket miss its rank; the counts must show it."""
     for name, to in changed.items():

@@ -67,8 +67,9 @@ def exact_quantiles(
     rows = df.where(F.col(value).isNotNull() & ~F.isnan(v) & label.isNotNull()).select(label.alias("g"), v.alias("v"))
     brackets = cut_lineage(_brackets(rows, probabilities))
     held = cut_lineage(_counted(rows, brackets))
-    missed = cut_lineage(_missed(brackets, held))
+    missed = _missed(brackets, held)
     if not missed.isEmpty():
+        missed = cut_lineage(missed)
         wide = brackets.join(missed, ["g", "p"]).withColumns({"a": F.col("lo"), "b": F.col("hi")})
         again = _counted(rows, wide)
         held = cut_lineage(held.join(missed, ["g", "p"], "left_anti").unionByName(again))
@@ -126,7 +127,6 @@ def _settled(brackets: DataFrame, held: DataFrame) -> DataFrame:
     before = Window.partitionBy(*keys).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     last = None
     while True:
-        left = cut_lineage(left)
         spans = left.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("k"))
         most = spans.agg(F.max("k").alias("k"), F.sum("k").alias("total")).first()
         # Values next to each other at the end of the number range may share a bin; by then there are only a few.
@@ -142,7 +142,7 @@ def _settled(brackets: DataFrame, held: DataFrame) -> DataFrame:
         bins = left.join(spans, keys).groupBy(*keys, "want", bin_of.alias("at")).agg(F.sum("n").alias("n"), F.min("v").alias("first"), F.max("v").alias("last"))
         placed = bins.withColumn("passed", F.coalesce(F.sum("n").over(before), F.lit(0)))
         chosen = placed.where("passed <= want AND want < passed + n").select(*keys, (F.col("want") - F.col("passed")).alias("rest"), "first", "last")
-        left = left.join(chosen, keys).where("v BETWEEN first AND last").select(*keys, F.col("rest").alias("want"), "v", "n")
+        left = cut_lineage(left.join(chosen, keys).where("v BETWEEN first AND last").select(*keys, F.col("rest").alias("want"), "v", "n"))
     placed = left.withColumn("at", F.col("v")).withColumn("passed", F.coalesce(F.sum("n").over(before), F.lit(0)))
     return placed.where("passed <= want AND want < passed + n").select(*keys, "v")
 

@@ -28,7 +28,7 @@ groups column is held whole.
 
 from __future__ import annotations
 
-import os
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -45,7 +45,7 @@ from .wordbpe import byte_letters
 
 BLANK = "▁"
 PIECE = 64
-KEPT_CHUNKS = 300_000
+KEPT_CHUNKS = 450_000
 BLOCK_CHARS = 1 << 14
 STRETCH = 1 << 20
 BROADCAST_PAIRS = 1 << 22
@@ -138,16 +138,23 @@ class Aligner:
     """Both tokenizers and a bounded memory of aligned chunks."""
 
     def __init__(self, a_path: str, b_path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import public_tokenizers
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
+        # A byte-level vocabulary whose ids are its merge ranks: special tokens left out, their strings are plain text.
+        with open(a_path, encoding="utf-8") as file:
+            whole = json.load(file)
+        special = {t["id"] for t in whole["added_tokens"]}
         values = {letter: byte for byte, letter in enumerate(byte_letters())}
-        self.a_bytes = [b""] * self.a.get_vocab_size()
-        for token, at in self.a.get_vocab().items():
-            self.a_bytes[at] = bytes(values.get(c, 0) for c in token)
+        ranks = {bytes(values[c] for c in token): at for token, at in whole["model"]["vocab"].items() if at not in special}
+        merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in whole["model"]["merges"]]
+        if [whole["model"]["vocab"][m] for m in merged] != list(range(256, 256 + len(merged))):
+            raise ValueError("the ids of the vocabulary are not its merge ranks")
+        self.a = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.a_bytes = [b""] * (max(ranks.values()) + 1)
+        for token, at in ranks.items():
+            self.a_bytes[at] = token
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.b_bytes = []
         for at in range(self.b.get_piece_size()):
@@ -158,7 +165,9 @@ class Aligner:
         self.a_size, self.b_size = (np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
         self.forget()
 
-    def forget(self) -> None:
+    def forget(self, spelling: bool = True) -> None:
+        """Start anew; groups are spelled out only if asked for."""
+        self.spelling = spelling
         self.number: dict[str, int] = {}
         self.groups: list[str] = []
         self.held = Kept(np.zeros((0, len(COUNTS)), np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, bool))
@@ -179,14 +188,15 @@ class Aligner:
             (single if whole[1:2].isspace() or whole[-1:].isspace() or len(whole) < 2 else plain).append(chunk)
         blocks = [["."] + plain[a:b] for a, b in stretches(plain, BLOCK_CHARS)]
         texts = ["".join(map(literal, block)) for block in blocks]
-        for block, text, a, b in zip(blocks, texts, self.a.encode_batch(texts, add_special_tokens=False), self.b.encode([t[1:] for t in texts], num_threads=1)):
-            if self._spells(text, a.ids, b):
-                self._keep(block, a.ids, b)
+        for block, text, b in zip(blocks, texts, self.b.encode([t[1:] for t in texts], num_threads=1)):
+            a = self.a.encode_ordinary(text)
+            if self._spells(text, a, b):
+                self._keep(block, a, b)
             else:
                 single.extend(block[1:])
         for chunk in single:
             whole = literal(chunk)
-            a, b = self.a.encode(whole, add_special_tokens=False).ids, self.b.encode(whole[1:] if whole[0] == " " else whole)
+            a, b = self.a.encode_ordinary(whole), self.b.encode(whole[1:] if whole[0] == " " else whole)
             if whole[0] != " ":
                 b = b[1:]  # the blank the tokenizer adds in front of a text
             if self._spells(whole, a, b):
@@ -209,18 +219,19 @@ class Aligner:
         chunk_groups = np.searchsorted(group_ends, ends)
         if not np.array_equal(group_ends[chunk_groups], ends):
             raise ValueError("a token crosses the chunks of a text")
-        spelled_a, spelled_b = list(map(str, a_ids)), list(map(str, b_ids))
-        groups, i, j = [], 0, 0
-        for x, y in zip((at_a[last] + 1).tolist(), (at_b[last] + 1).tolist()):
-            groups.append(",".join(spelled_a[i:x]) + "|" + ",".join(spelled_b[j:y]))
-            i, j = x, y
         group_stops = chunk_groups + 1
         stops = np.column_stack([at_a[last][chunk_groups] + 1, at_b[last][chunk_groups] + 1, group_stops, last[chunk_groups] + 1])
         counts = np.diff(stops, axis=0, prepend=0)
-        texts, start = [], 0
-        for stop in group_stops.tolist():
-            texts.append(";".join(groups[start:stop]))
-            start = stop
+        texts = [""] * len(chunks)
+        if self.spelling:
+            spelled_a, spelled_b = list(map(str, a_ids)), list(map(str, b_ids))
+            groups, i, j, start = [], 0, 0, 0
+            for x, y in zip((at_a[last] + 1).tolist(), (at_b[last] + 1).tolist()):
+                groups.append(",".join(spelled_a[i:x]) + "|" + ",".join(spelled_b[j:y]))
+                i, j = x, y
+            for at, stop in enumerate(group_stops.tolist()):
+                texts[at] = ";".join(groups[start:stop])
+                start = stop
         self._add(chunks, texts, counts, a[at_a] << PAIR_SHIFT | b[at_b], counts[:, 3], True)
 
     def _add(self, chunks, groups, counts, links, link_counts, fine) -> None:
@@ -266,6 +277,7 @@ def _summed(codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _pair_batches(a_path: str, b_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(a_path, b_path)
+        both.forget(spelling=False)
         uses = np.zeros(0, np.int64)
 
         def drained() -> pa.RecordBatch:
@@ -274,7 +286,7 @@ def _pair_batches(a_path: str, b_path: str):
             times[:len(uses)] = uses
             used = np.repeat(times, np.diff(held.starts))
             codes, sums = _summed(held.links[used > 0], used[used > 0])
-            both.forget()
+            both.forget(spelling=False)
             return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(sums)], names=["pair", "times"])
 
         try:
@@ -327,6 +339,7 @@ class _Table:
 def _document_batches(a_path: str, b_path: str, table, with_links: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(a_path, b_path)
+        both.forget()
         values = np.zeros((0, 2), np.int64)  # links that are best, and the sum of their counts, per chunk
 
         def valued() -> np.ndarray:

@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from zephyrgrid.operators import align
+from zephyrgrid.operators import align, polygons
 
 
 def _plan(df):
@@ -50,3 +50,29 @@ def test_windows_of_the_nearest_cell_are_not_unfolded_per_place(spark):
             ranks.append(((c.fi, c.fj) != (i, j), round(d, 6), c.cell))
         assert got[p.place] == (min(ranks)[2], min(ranks)[1])
     assert len(got) == 403
+
+
+def test_touched_cells_are_not_grouped_one_by_one(spark):
+    shapes = spark.range(50).select(F.col("id").alias("polygon"), F.array(*[
+        F.struct((F.col("id") * 5 - 150.0 + x).alias("x"), (F.col("id") % 9 * 10 - 45.0 + y).alias("y"))
+        for x, y in ((0, 0), (40, 0), (40, 25), (0, 25))]).alias("points"))
+    grid = polygons.CellGrid(-60.0, 6.0, 20, 20)
+    touched = polygons.touched_cells(shapes, grid)
+    below = _unfolded_inputs(touched)
+    assert all("RepartitionByExpression" in x for x in below)
+    assert not any("Aggregate [" in x and "fj#" in x for x in _plan(touched))
+    got = [(r.polygon, r.fi, r.fj) for r in touched.collect()]
+    want = set()
+    for k in range(50):
+        x0, y0 = k * 5 - 150.0, k % 9 * 10 - 45.0
+        for fi in range(20):
+            for s in range(20):
+                south, west = -60.0 + fi * 6.0, -180.0 + s * 18.0
+                if south <= y0 + 25 and south + 6.0 >= y0 and west <= x0 + 40 and west + 18.0 >= x0:
+                    want.add((k, fi, (s - 10) % 20))
+    assert len(got) == len(set(got))
+    # A cell that meets the outline in its edge only belongs to one of two neighbours; all others are fixed.
+    inner = {(k, fi, fj) for k, fi, fj in want
+             if -60.0 + fi * 6.0 < k % 9 * 10 - 20.0 and -54.0 + fi * 6.0 > k % 9 * 10 - 45.0
+             and -180.0 + (fj + 10) % 20 * 18.0 < k * 5 - 110.0 and -162.0 + (fj + 10) % 20 * 18.0 > k * 5 - 150.0}
+    assert inner <= set(got) <= want

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import place_by
+
 
 @dataclass(frozen=True)
 class CellGrid:
@@ -55,11 +57,11 @@ def boundary_cells(edges: DataFrame, grid: CellGrid) -> DataFrame:
         - (F.col("y2") - F.col("y1")) * (-180.0 + (F.col("s") + b) * grid.dlon - F.col("x1"))
         for a in (0, 1) for b in (0, 1)]
     crossed = (F.least(*corners) <= 0) & (F.greatest(*corners) >= 0)
-    return boxes.where(crossed).select("polygon", "fi", grid.column_index(F.col("s")).alias("fj"))
+    return boxes.where(crossed).select("polygon", "fi", "s")
 
 
-def interior_cells(edges: DataFrame, grid: CellGrid) -> DataFrame:
-    """Cells whose centre lies inside: crossings of a row's centre line, taken in pairs."""
+def interior_spans(edges: DataFrame, grid: CellGrid) -> DataFrame:
+    """First and last column of the cells whose centre lies inside: crossings of a row's centre line, taken in pairs."""
     first = F.ceil((F.least("y1", "y2") - grid.south) / grid.dlat - 0.5)
     last = F.floor((F.greatest("y1", "y2") - grid.south) / grid.dlat - 0.5)
     lines = edges.where(first <= last).withColumn("fi", F.explode(F.sequence(first, last))).where(
@@ -71,18 +73,24 @@ def interior_cells(edges: DataFrame, grid: CellGrid) -> DataFrame:
     spans = hits.withColumn("n", F.row_number().over(order)).withColumn("end", F.lead("x").over(order)).where("n % 2 = 1")
     start = F.ceil((F.col("x") + 180.0) / grid.dlon - 0.5)
     stop = F.floor((F.col("end") + 180.0) / grid.dlon - 0.5)
-    return spans.where(start <= stop).select("polygon", "fi", F.explode(F.sequence(start, stop)).alias("s")).where(
-        F.col("s").between(0, grid.columns - 1)).select("polygon", "fi", grid.column_index(F.col("s")).alias("fj"))
+    inside = spans.select("polygon", "fi", F.greatest(start, F.lit(0)).alias("start"), F.least(stop, F.lit(grid.columns - 1)).alias("stop"))
+    return inside.where("start <= stop")
 
 
 def touched_cells(polygons: DataFrame, grid: CellGrid) -> DataFrame:
     """Distinct (polygon, fi, fj) of all cells whose footprint a polygon touches.
 
     A footprint that holds a whole small polygon is crossed by its edges; one
-    that lies wholly inside a polygon has its centre inside.
+    that lies wholly inside a polygon has its centre inside.  Polygons are placed
+    once, by a named number of tasks, because each stands for many cells; what is
+    sorted or grouped are outlines and spans, and only the result is unfolded.
     """
-    edges = ring_edges(polygons)
-    return boundary_cells(edges, grid).unionByName(interior_cells(edges, grid)).distinct()
+    edges = ring_edges(place_by(polygons, "polygon"))
+    outline = boundary_cells(edges, grid).select("polygon", "fi", F.col("s").alias("start"), F.col("s").alias("stop"))
+    rows = place_by(outline.unionByName(interior_spans(edges, grid)), "polygon").groupBy("polygon", "fi").agg(
+        F.collect_set(F.struct("start", "stop")).alias("spans"))
+    columns = F.array_distinct(F.flatten(F.transform("spans", lambda x: F.sequence(x["start"], x["stop"]))))
+    return rows.select("polygon", "fi", F.explode(columns).alias("s")).select("polygon", "fi", grid.column_index(F.col("s")).alias("fj"))
 
 
 def mapped_land(polygons: DataFrame, grid: CellGrid) -> DataFrame:

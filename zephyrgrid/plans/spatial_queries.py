@@ -480,4 +480,5 @@ def polygon_cells(spark, d):
     rings = shapes.select("polygon", F.array(point(x - a, y - b), point(x + a, y - b / 2), point(x, y + b)).alias("points"))
     cells = cell_table(spark, d).select("cell", "fi", "fj")
     touched = polygons.touched_cells(rings, polygons.CellGrid(-60.0, 120.0 / side, side, side))
-    return touched.join(cells, ["fi", "fj"]).select("polygon", "cell")
+    # One small row per grid cell; sent to the touched cells, which are far more.
+    return touched.join(F.broadcast(cells), ["fi", "fj"]).select("polygon", "cell")

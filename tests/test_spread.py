@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from zephyrgrid.operators import align, polygons
+from zephyrgrid.operators import align, polygons, regrid
 
 
 def _plan(df):
@@ -102,3 +102,10 @@ def test_touched_cells_are_not_grouped_one_by_one(spark):
              if -60.0 + fi * 6.0 < k % 9 * 10 - 20.0 and -54.0 + fi * 6.0 > k % 9 * 10 - 45.0
              and -180.0 + (fj + 10) % 20 * 18.0 < k * 5 - 110.0 and -162.0 + (fj + 10) % 20 * 18.0 > k * 5 - 150.0}
     assert inner <= set(got) <= want
+
+
+def test_sampled_points_are_placed_before_they_unfold(spark):
+    points = spark.range(30).select(F.col("id").alias("point"), (F.col("id") - 15.3).alias("plat"), (F.col("id") * 11.7).alias("plon"))
+    field = spark.range(400).select(F.expr("id div 20").alias("row"), (F.col("id") % 20).alias("column"), F.col("id").cast("double").alias("v"))
+    below = _unfolded_inputs(regrid.point_sample(points, field, 57.0, 6.0, 20, 20, "v"))
+    assert below and all("RepartitionByExpression" in x for x in below)

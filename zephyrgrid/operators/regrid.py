@@ -191,7 +191,8 @@ def point_sample(points: DataFrame, field: DataFrame, north: float, step: float,
     """
     y = (F.lit(north) - F.col("plat")) / F.lit(step)
     x = F.pmod("plon", F.lit(360.0)) / F.lit(360.0 / columns)
-    corners = points.select("point", y.alias("y"), x.alias("x")).select(
+    # Every point stands for four corners times all keys: the number of tasks is named.
+    corners = place_by(points, "point").select("point", y.alias("y"), x.alias("x")).select(
         "point", F.explode(F.array(*[
             F.struct(
                 F.least(F.floor("y") + a, F.lit(rows - 1)).alias("row"),

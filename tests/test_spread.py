@@ -5,6 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from zephyrgrid.operators import align, polygons, regrid
+from zephyrgrid.plans import storage_queries
 
 
 def _plan(df):
@@ -109,3 +110,12 @@ def test_sampled_points_are_placed_before_they_unfold(spark):
     field = spark.range(400).select(F.expr("id div 20").alias("row"), (F.col("id") % 20).alias("column"), F.col("id").cast("double").alias("v"))
     below = _unfolded_inputs(regrid.point_sample(points, field, 57.0, 6.0, 20, 20, "v"))
     assert below and all("RepartitionByExpression" in x for x in below)
+
+
+def test_days_without_a_value_are_neither_shuffled_nor_joined(spark):
+    dense = storage_queries._dense_codes(spark, "/root/testdata/sf0.001")
+    assert not any("Join LeftOuter" in x for x in _plan(dense))
+    assert any("RepartitionByExpression" in x and "Window" in x for x in _unfolded_inputs(dense))
+    per_cell = dense.groupBy("cell").agg(F.count("*").alias("n"), F.countDistinct("ord").alias("days"), F.min("ord").alias("lo"), F.max("ord").alias("hi"))
+    spans = per_cell.select("n", "days", "lo", "hi").distinct().collect()
+    assert len(spans) == 1 and spans[0].n == spans[0].days == spans[0].hi - spans[0].lo + 1

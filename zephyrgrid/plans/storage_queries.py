@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import physics as ph
 from ..operators import align, packing, qc
-from ..session import scalar_row, shared_directory
+from ..session import place_by, scalar_row, shared_directory
 from ..sources import stores, versions
 from ..sources.cube import cell_table, daily_cube, role_series, table
 from .aggregate_queries import axis_days
@@ -72,8 +73,14 @@ def _dense_codes(spark, d):
     span = scalar_row(c.agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")))
     lo, hi = (span["lo"], span["hi"]) if span["lo"] is not None else (0, -1)
     first, years = 1970 + lo // 365, max(1, hi // 365 - lo // 365 + 1)
-    days = c.select("cell").distinct().select("cell", F.explode(F.sequence(F.lit(lo), F.lit(max(lo, hi)))).alias("ord"))
-    return days.join(c.select("cell", "ord", "tas"), ["cell", "ord"], "left").select(
+    # Each row is followed by the days up to the next one; only rows that hold a value are shuffled and sorted.
+    series = Window.partitionBy("cell").orderBy("ord")
+    rows = place_by(c.select("cell", "ord", "tas"), "cell").select(
+        "cell", F.col("ord").alias("held"), "tas",
+        F.when(F.lag("ord").over(series).isNull(), F.lit(lo)).otherwise(F.col("ord")).alias("start"),
+        F.greatest(F.col("ord"), F.coalesce(F.lead("ord").over(series), F.lit(hi + 1)) - 1).alias("stop"))
+    days = rows.withColumn("ord", F.explode(F.sequence("start", "stop")))
+    return days.withColumn("tas", F.when(F.col("ord") == F.col("held"), F.col("tas"))).select(
         "cell", "ord", packing.pack(F.col("tas"), *spec).alias("code"),
         F.least(F.lit(2), F.expr(f"(1970 + ord div 365 - {first}) * 3 div {years}")).alias("part"))
 

@@ -1,6 +1,7 @@
 """The fire weather stream against one pass over the whole series."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,3 +76,25 @@ def test_history_in_front_changes_the_first_codes(spark):
     joined = fw.daily_fire_weather(frame).where(first).first()["dc"]
     alone = fw.daily_fire_weather(frame.where("ord >= 365")).where(first).first()["dc"]
     assert joined > alone
+
+
+def test_weather_terms_are_worked_out_once_a_portion(monkeypatch):
+    """Days come in one portion or singly: same rows and state; a portion's weather is one call, whatever its days."""
+    rows = pd.DataFrame(_days(cells=(1, 5, 14), days=60), columns=["cell", "ord", "month", "lat", "t", "rh", "rain", "wind"]).assign(t=lambda f: f["t"] - 273.15)
+    rows = rows[(rows["cell"] != 5) | (rows["ord"] < 130)]
+    calls, plain = [], fw.ffmc_weather
+    monkeypatch.setattr(fw, "ffmc_weather", lambda *a: calls.append(1) or plain(*a))
+    whole, cells, numbers = fire_season.tile_portion(rows, [], [])
+    assert len(calls) == 1
+    singly, state = [], ([], [])
+    for day in sorted(rows["ord"].unique()):
+        out, *state = fire_season.tile_portion(rows[rows["ord"] == day], *state)
+        singly.append(out)
+    assert state[0] == cells
+    np.testing.assert_array_equal(state[1], numbers)
+    pd.testing.assert_frame_equal(pd.concat(singly).sort_values(["cell", "ord"]).reset_index(drop=True), whole.reset_index(drop=True))
+
+
+def test_settling_shuffles_counts_not_series(spark):
+    written = spark.createDataFrame([], fire_season.WRITTEN)
+    assert "Window" not in fire_season.settled(written)._jdf.queryExecution().optimizedPlan().toString()

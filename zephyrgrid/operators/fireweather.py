@@ -39,46 +39,88 @@ DRYING = np.array([
 DRYING_EDGES = np.array([-15.0, 15.0])
 
 
-def next_ffmc(t, rain, wind, rh, before):
-    """Fine fuel moisture code of one day (temperature C, rain mm, wind km/h, humidity %)."""
-    m = 147.2 * (101.0 - before) / (59.5 + before)
+def ffmc_weather(t, rain, wind, rh):
+    """What the fine fuel moisture code takes from the weather alone, for any number of days at once."""
     rf = np.maximum(rain - 0.5, 1e-300)
-    wet = m + 42.5 * rf * np.exp(-100.0 / (251.0 - m)) * (1.0 - np.exp(-6.93 / rf))
-    wet = wet + np.where(m > 150.0, 0.0015 * (m - 150.0) ** 2 * np.sqrt(rf), 0.0)
-    m = np.where(rain > 0.5, np.minimum(wet, 250.0), m)
     humid = np.exp((rh - 100.0) / 10.0)
     warm = 0.18 * (21.1 - t) * (1.0 - np.exp(-0.115 * rh))
-    dry_end = 0.942 * rh**0.679 + 11.0 * humid + warm
-    wet_end = 0.618 * rh**0.753 + 10.0 * humid + warm
     def rate(share):
         return (0.424 * (1.0 - share**1.7) + 0.0694 * np.sqrt(wind) * (1.0 - share**8)) * 0.581 * np.exp(0.0365 * t)
 
-    drying = dry_end + (m - dry_end) * 10.0 ** -rate(rh / 100.0)
-    wetting = wet_end - (wet_end - m) * 10.0 ** -rate((100.0 - rh) / 100.0)
+    return (rain > 0.5, 42.5 * rf, 1.0 - np.exp(-6.93 / rf), np.sqrt(rf), 0.942 * rh**0.679 + 11.0 * humid + warm,
+            0.618 * rh**0.753 + 10.0 * humid + warm, 10.0 ** -rate(rh / 100.0), 10.0 ** -rate((100.0 - rh) / 100.0), 0.0 * (t + rain + wind + rh))
+
+
+def ffmc_after(weather, before):
+    """Fine fuel moisture code of one day from its `ffmc_weather` and yesterday's code."""
+    rained, soak, share, root, dry_end, wet_end, dry_rate, wet_rate, missing = weather
+    m = 147.2 * (101.0 - before) / (59.5 + before)
+    wet = m + soak * np.exp(-100.0 / (251.0 - m)) * share
+    wet = wet + np.where(m > 150.0, 0.0015 * (m - 150.0) ** 2 * root, 0.0)
+    m = np.where(rained, np.minimum(wet, 250.0), m)
+    drying = dry_end + (m - dry_end) * dry_rate
+    wetting = wet_end - (wet_end - m) * wet_rate
     after = np.where(m > dry_end, drying, np.where((m < dry_end) & (m < wet_end), wetting, m))
-    return np.clip(59.5 * (250.0 - after) / (147.2 + after), 0.0, 101.0) + 0.0 * (t + rain + wind + rh)
+    return np.minimum(np.maximum(59.5 * (250.0 - after) / (147.2 + after), 0.0), 101.0) + missing
 
 
-def next_dmc(t, rain, rh, length, before):
-    """Duff moisture code of one day."""
+def dmc_weather(t, rain, rh, length):
+    """What the duff moisture code takes from the weather alone."""
     drying = np.where(t < -1.1, 0.0, 1.894 * (t + 1.1) * (100.0 - rh) * length * 1e-4)
-    net = 0.92 * rain - 1.27
+    return rain > 1.5, 0.92 * rain - 1.27, drying, 0.0 * (t + rain + rh)
+
+
+def dmc_after(weather, before):
+    """Duff moisture code of one day."""
+    rained, net, drying, missing = weather
     moisture = 20.0 + 280.0 / np.exp(0.023 * before)
     logged = np.log(np.maximum(before, 1e-300))
     slope = np.where(before <= 33.0, 100.0 / (0.5 + 0.3 * before),
                      np.where(before <= 65.0, 14.0 - 1.3 * logged, 6.2 * logged - 17.2))
     wetter = moisture + 1000.0 * net / (48.77 + slope * net)
-    rained = np.maximum(43.43 * (5.6348 - np.log(np.maximum(wetter - 20.0, 1e-300))), 0.0)
-    return np.maximum(np.where(rain > 1.5, rained, before) + drying, 0.0) + 0.0 * (t + rain + rh)
+    wet = np.maximum(43.43 * (5.6348 - np.log(np.maximum(wetter - 20.0, 1e-300))), 0.0)
+    return np.maximum(np.where(rained, wet, before) + drying, 0.0) + missing
+
+
+def dc_weather(t, rain, factor):
+    """What the drought code takes from the weather alone."""
+    drying = np.maximum((0.36 * (np.maximum(t, -2.8) + 2.8) + factor) / 2.0, 0.0)
+    return rain > 2.8, 3.937 * np.maximum(0.83 * rain - 1.27, 0.0), drying, 0.0 * (t + rain)
+
+
+def dc_after(weather, before):
+    """Drought code of one day."""
+    rained, net, drying, missing = weather
+    wet = before - 400.0 * np.log(1.0 + net / (800.0 * np.exp(-before / 400.0)))
+    return np.where(rained, np.maximum(wet, 0.0), before) + drying + missing
+
+
+def next_ffmc(t, rain, wind, rh, before):
+    """Fine fuel moisture code of one day (temperature C, rain mm, wind km/h, humidity %)."""
+    return ffmc_after(ffmc_weather(t, rain, wind, rh), before)
+
+
+def next_dmc(t, rain, rh, length, before):
+    """Duff moisture code of one day."""
+    return dmc_after(dmc_weather(t, rain, rh, length), before)
 
 
 def next_dc(t, rain, factor, before):
     """Drought code of one day."""
-    drying = np.maximum((0.36 * (np.maximum(t, -2.8) + 2.8) + factor) / 2.0, 0.0)
-    net = 0.83 * rain - 1.27
-    store = 800.0 * np.exp(-before / 400.0)
-    rained = before - 400.0 * np.log(1.0 + 3.937 * np.maximum(net, 0.0) / store)
-    return np.where(rain > 2.8, np.maximum(rained, 0.0), before) + drying + 0.0 * (t + rain)
+    return dc_after(dc_weather(t, rain, factor), before)
+
+
+def code_weather(t, rain, wind, rh, month, lat):
+    """The weather terms of the three codes for all days (days x cells; ``month`` from 0)."""
+    cells = np.arange(t.shape[1])
+    length = DAY_LENGTH[np.searchsorted(DAY_LENGTH_EDGES, lat, side="right")][cells, month]
+    factor = DRYING[np.searchsorted(DRYING_EDGES, lat, side="right")][cells, month]
+    return ffmc_weather(t, rain, wind, rh), dmc_weather(t, rain, rh, length), dc_weather(t, rain, factor)
+
+
+def codes_after(weather, day: int, before, cells: slice = slice(None)):
+    """The three codes of one day for the chosen cells."""
+    return tuple(step(tuple(w[day, cells] for w in terms), b) for step, terms, b in zip((ffmc_after, dmc_after, dc_after), weather, before))
 
 
 def overwintered_dc(autumn, winter_rain):
@@ -101,15 +143,13 @@ def season_days(t: np.ndarray) -> np.ndarray:
 def moisture_codes(t, rain, wind, rh, month, lat, active=None):
     """(3, days, cells) codes; without ``active`` every day counts and nothing overwinters."""
     shape = t.shape
-    length = DAY_LENGTH[np.searchsorted(DAY_LENGTH_EDGES, lat, side="right")]
-    factor = DRYING[np.searchsorted(DRYING_EDGES, lat, side="right")]
-    cells = np.arange(shape[1])
     codes = np.full((3, *shape), np.nan)
     state = [np.full(shape[1], START_FFMC), np.full(shape[1], START_DMC), np.full(shape[1], START_DC)]
     running = np.ones(shape[1], dtype=bool) if active is None else np.zeros(shape[1], dtype=bool)
     autumn = np.full(shape[1], np.nan)
     winter = np.zeros(shape[1])
     with np.errstate(all="ignore"):
+        weather = code_weather(t, rain, wind, rh, month, lat)
         for day in range(shape[0]):
             on = running if active is None else active[day]
             starting, stopping = on & ~running, running & ~on
@@ -126,12 +166,7 @@ def moisture_codes(t, rain, wind, rh, month, lat, active=None):
             running = on
             if not on.any():
                 continue
-            at = month[day]
-            fresh = (
-                next_ffmc(t[day], rain[day], wind[day], rh[day], state[0]),
-                next_dmc(t[day], rain[day], rh[day], length[cells, at], state[1]),
-                next_dc(t[day], rain[day], factor[cells, at], state[2]),
-            )
+            fresh = codes_after(weather, day, state)
             for i in range(3):
                 state[i] = np.where(on, fresh[i], state[i])
                 codes[i, day] = np.where(on, state[i], np.nan)

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -36,35 +36,46 @@ FIELDS = ("last_ord", "days", "running", "autumn", "winter", "t1", "t2", "t3", "
 FRESH = (-np.inf, 0.0, 0.0, np.nan, 0.0, np.nan, np.nan, np.nan, *(2 * (fw.START_FFMC, fw.START_DMC, fw.START_DC)))
 
 
-def one_day(state: dict[str, np.ndarray], weather: dict[str, np.ndarray], here: np.ndarray) -> dict[str, np.ndarray]:
-    """Move the cells marked in ``here`` on by one day; returns the day's codes, NaN outside the season."""
-    t, rain, wind, rh, month = (weather[n] for n in ("t", "rain", "wind", "rh", "month"))
-    length, factor = weather["length"][np.arange(len(t)), month], weather["factor"][np.arange(len(t)), month]
-    last = np.stack([state["t1"], state["t2"], state["t3"]])
-    known = state["days"] >= fw.SEASON_DAYS
-    running = state["running"] > 0
-    warm, cold = (last > fw.SEASON_START_C).all(axis=0), (last < fw.SEASON_END_C).all(axis=0)
-    on = known & (running | warm) & ~cold
-    starting, stopping = on & ~running & here, running & ~on & here
-    spring = np.where(np.isnan(state["autumn"]), fw.START_DC, fw.overwintered_dc(state["autumn"], state["winter"]))
-    before = {"ffmc": np.where(starting, fw.START_FFMC, state["ffmc"]), "dmc": np.where(starting, fw.START_DMC, state["dmc"]),
-              "dc": np.where(starting, spring, state["dc"])}
-    state["autumn"] = np.where(starting, np.nan, np.where(stopping, before["dc"], state["autumn"]))
-    idle = ~on & ~stopping & here
-    state["winter"] = np.where(stopping, rain, np.where(idle, state["winter"] + rain, state["winter"]))
-    codes = {}
-    for suffix, given, active in (("", before, on & here), ("_always", {c: state[f"{c}_always"] for c in CODES}, here)):
-        after = {"ffmc": fw.next_ffmc(t, rain, wind, rh, given["ffmc"]), "dmc": fw.next_dmc(t, rain, rh, length, given["dmc"]),
-                 "dc": fw.next_dc(t, rain, factor, given["dc"])}
-        for name in CODES:
-            state[name + suffix] = np.where(active, after[name], np.where(here, given[name], state[name + suffix]))
-            codes[name + suffix] = np.where(active, after[name], np.nan)
-    state["running"] = np.where(here, on, running).astype(float)
-    state["days"] = state["days"] + here
-    for older, newer in (("t3", "t2"), ("t2", "t1")):
-        state[older] = np.where(here, state[newer], state[older])
-    state["t1"] = np.where(here, t, state["t1"])
-    return codes
+def portion_codes(state: dict[str, np.ndarray], weather: dict[str, np.ndarray], lat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Move every cell on by its ``counts`` days; returns codes (3, days, 2, cells), in season and always, NaN outside the season.
+
+    Cells come with the most days first, so those that have a further day are the
+    first columns.  What depends on the weather alone is worked out for all days at once.
+    """
+    t, rain = weather["t"], weather["rain"]
+    known = np.concatenate([np.stack([state["t3"], state["t2"], state["t1"]]), t])
+    last = [known[i:i + len(t)] for i in range(fw.SEASON_DAYS)]
+    warm, cold = (np.logical_and.reduce(test) for test in ([d > fw.SEASON_START_C for d in last], [d < fw.SEASON_END_C for d in last]))
+    may = (state["days"] + np.arange(len(t))[:, None] >= fw.SEASON_DAYS) & ~cold
+    terms = fw.code_weather(t, rain, weather["wind"], weather["rh"], weather["month"], lat)
+    running, autumn, winter = state["running"] > 0, state["autumn"], state["winter"]
+    codes = [np.stack([state[c], state[f"{c}_always"]]) for c in CODES]
+    written = np.full((3, len(t), 2, lat.size), np.nan)
+    for day in range(len(t)):
+        cells = slice(0, int(np.searchsorted(-counts, -day, side="left")))
+        was, before = running[cells], [c[:, cells] for c in codes]
+        on = (was | warm[day, cells]) & may[day, cells]
+        starting, stopping = on & ~was, was & ~on
+        if starting.any():
+            spring = np.where(np.isnan(autumn[cells]), fw.START_DC, fw.overwintered_dc(autumn[cells], winter[cells]))
+            for code, fresh in zip(before, (fw.START_FFMC, fw.START_DMC, spring)):
+                code[0] = np.where(starting, fresh, code[0])
+            autumn[cells][starting] = np.nan
+        if stopping.any():
+            autumn[cells] = np.where(stopping, before[2][0], autumn[cells])
+        fallen = rain[day, cells]
+        winter[cells] = np.where(stopping, fallen, np.where(on, winter[cells], winter[cells] + fallen))
+        running[cells] = on
+        active = np.stack([on, np.ones_like(on)])
+        for i, after in enumerate(fw.codes_after(terms, day, before, cells)):
+            np.copyto(before[i], after, where=active)
+            np.copyto(written[i, day][:, cells], after, where=active)
+    columns = np.arange(lat.size)
+    state.update(running=running.astype(float), days=state["days"] + counts,
+                 t1=known[counts + 2, columns], t2=known[counts + 1, columns], t3=known[counts, columns])
+    for name, code in zip(CODES, codes):
+        state[name], state[f"{name}_always"] = code
+    return written
 
 
 def tile_portion(rows: pd.DataFrame, cells: list[int], numbers: list[float]) -> tuple[pd.DataFrame, list[int], list[float]]:
@@ -73,35 +84,32 @@ def tile_portion(rows: pd.DataFrame, cells: list[int], numbers: list[float]) ->
     names = np.union1d(np.array(cells, np.int64), rows["cell"].to_numpy(np.int64))
     table = np.tile(np.array(FRESH), (names.size, 1))
     table[np.searchsorted(names, cells)] = np.array(numbers, float).reshape(len(cells), len(FIELDS))
-    state = {field: table[:, i].copy() for i, field in enumerate(FIELDS)}
     column = np.searchsorted(names, rows["cell"].to_numpy(np.int64))
-    late = (rows["ord"].to_numpy() <= state["last_ord"][column]) | rows.duplicated(["cell", "ord"]).to_numpy()
-    fresh, at = rows[~late], column[~late]
+    late = (rows["ord"].to_numpy() <= table[column, FIELDS.index("last_ord")]) | rows.duplicated(["cell", "ord"]).to_numpy()
+    fresh, column = rows[~late], column[~late]
+    counts = np.bincount(column, minlength=names.size)
+    by_days = np.argsort(-counts, kind="stable")
+    state = {field: table[by_days, i] for i, field in enumerate(FIELDS)}
+    at, counts = np.argsort(by_days)[column], counts[by_days]
+    step = np.arange(len(fresh)) - np.searchsorted(column, column)
+    shape = (int(counts.max(initial=0)), names.size)
+    weather = {name: np.full(shape, np.nan) for name in ("t", "rain", "wind", "rh")}
+    for name, grid in weather.items():
+        grid[step, at] = fresh[name].to_numpy(float)
+    weather["month"] = np.zeros(shape, int)
+    weather["month"][step, at] = fresh["month"].to_numpy(int) - 1
     lat = np.zeros(names.size)
     lat[at] = fresh["lat"].to_numpy(float)
-    fixed = {"length": fw.DAY_LENGTH[np.searchsorted(fw.DAY_LENGTH_EDGES, lat, side="right")],
-             "factor": fw.DRYING[np.searchsorted(fw.DRYING_EDGES, lat, side="right")]}
-    step = fresh.groupby("cell").cumcount().to_numpy()
-    written = {name: np.full(len(fresh), np.nan) for c in CODES for name in (c, f"{c}_always")}
     with np.errstate(all="ignore"):
-        for number in range(int(step.max()) + 1 if len(step) else 0):
-            chosen = np.flatnonzero(step == number)
-            here = np.zeros(names.size, bool)
-            here[at[chosen]] = True
-            weather = dict(fixed)
-            for name in ("t", "rain", "wind", "rh"):
-                weather[name] = np.full(names.size, np.nan)
-                weather[name][at[chosen]] = fresh[name].to_numpy(float)[chosen]
-            weather["month"] = np.zeros(names.size, int)
-            weather["month"][at[chosen]] = fresh["month"].to_numpy(int)[chosen] - 1
-            for name, values in one_day(state, weather, here).items():
-                written[name][chosen] = values[at[chosen]]
-            state["last_ord"][at[chosen]] = fresh["ord"].to_numpy(float)[chosen]
+        codes = portion_codes(state, weather, lat, counts)
+    np.maximum.at(state["last_ord"], at, fresh["ord"].to_numpy(float))
+    written = {name: codes[i, step, kind, at] for i, c in enumerate(CODES) for kind, name in enumerate((c, f"{c}_always"))}
     out = pd.DataFrame({"cell": fresh["cell"], "ord": fresh["ord"], "wind": fresh["wind"], "on_time": True, **written})
     passed = pd.DataFrame({"cell": rows["cell"][late], "ord": rows["ord"][late], "wind": rows["wind"][late], "on_time": False, **dict.fromkeys(written, np.nan)})
     order = ["cell", "ord", "wind", "on_time", *[n for c in CODES for n in (c, f"{c}_always")]]
     whole = pd.concat([out, passed])[order] if len(passed) else out[order]
-    return whole, names.tolist(), np.column_stack([state[f] for f in FIELDS]).ravel().tolist()
+    table[by_days] = np.column_stack([state[f] for f in FIELDS])
+    return whole, names.tolist(), table.ravel().tolist()
 
 
 def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -132,9 +140,8 @@ def settled(written: DataFrame) -> DataFrame:
     """The six daily indices from what the stream has written so far; cells without any season take the codes that always run."""
     real = {c: F.when(~F.isnan(c), F.col(c)) for name in CODES for c in (name, f"{name}_always")}
     days = written.where("on_time").withColumns(real)
-    whole = Window.partitionBy("cell").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    always = F.count(F.coalesce(*[F.col(c) for c in CODES])).over(whole) == 0
-    days = days.withColumn("always_on", always)
+    cells = days.groupBy("cell").agg((F.count(F.coalesce(*[F.col(c) for c in CODES])) == 0).alias("always_on"))
+    days = days.join(cells, "cell")
     picked = days.select("cell", "ord", "always_on", "wind", *[F.when(F.col("always_on"), F.col(f"{c}_always")).otherwise(F.col(c)).alias(c) for c in CODES])
     indexed = picked.withColumn("isi", fire.initial_spread(F.col("ffmc"), F.col("wind"))).withColumn("bui", fire.buildup(F.col("dmc"), F.col("dc")))
     return indexed.withColumn("fwi", fire.fire_weather(F.col("isi"), F.col("bui"))).drop("wind")

@@ -110,3 +110,29 @@ def test_never_active_cells_fall_back_to_always_on():
     out = fireweather.tile_codes(rows, seasonal=True)
     assert out.groupby("cell")["always_on"].first().tolist() == [True, False]
     assert out[out["cell"] == 1]["ffmc"].notna().all()
+
+
+def _cell_series(years=3):
+    draw = np.random.RandomState(5)
+    rows = []
+    for number, role in enumerate(("ref", "hist", "sim")):
+        order = np.sort(draw.choice(years * 365, years * 200, replace=False)) + number * years * 365
+        value = np.clip(np.round(draw.normal(50, 40, order.size)), 0, 100)
+        rows.append(pd.DataFrame({"cell": 1, "role": role, "ord": order, "g": order % 365 + 1, "doy": order % 365 + 1, "month": 1 + np.minimum(order % 365 // 31, 11), "v": value}))
+    return pd.concat(rows, ignore_index=True)
+
+
+def test_a_cell_equals_its_windows_and_draws_are_made_once():
+    rows = _cell_series()
+    humidity.tail_draws.cache_clear()
+    out = humidity.adjust_cell(rows, 15, 50, 0)
+    made = humidity.tail_draws.cache_info().misses
+    again = humidity.adjust_cell(rows.assign(cell=2), 15, 50, 0)
+    assert humidity.tail_draws.cache_info().misses == made  # another cell with the same counts draws nothing
+    np.testing.assert_array_equal(out["adjusted"], again["adjusted"])
+    by_role = {role: part.reset_index(drop=True) for role, part in rows.groupby("role")}
+    for centre in (1, 7, 180, 365):
+        near = {role: part[np.minimum((part["g"] - centre) % 365, (centre - part["g"]) % 365) <= 15] for role, part in by_role.items()}
+        moved = humidity.adjust_windows(*[[near[role]["v"].to_numpy()] for role in ("ref", "hist", "sim")], 50, 0)[0]
+        own = (near["sim"]["g"] == centre).to_numpy()
+        np.testing.assert_array_equal(out["adjusted"].to_numpy()[near["sim"].index[own]], moved[own])

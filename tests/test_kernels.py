@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 
 from zephyrgrid.functions.presets import Bounds
-from zephyrgrid.operators import downscale, fireweather, humidity
+from zephyrgrid.operators import adjustment, downscale, fireweather, humidity
 
 
 def test_humidity_window_golden_vector():
@@ -136,3 +136,21 @@ def test_a_cell_equals_its_windows_and_draws_are_made_once():
         moved = humidity.adjust_windows(*[[near[role]["v"].to_numpy()] for role in ("ref", "hist", "sim")], 50, 0)[0]
         own = (near["sim"]["g"] == centre).to_numpy()
         np.testing.assert_array_equal(out["adjusted"].to_numpy()[near["sim"].index[own]], moved[own])
+
+
+def test_fit_of_all_windows_equals_single_fits(monkeypatch):
+    rows = _cell_series()
+    rows["v"] = np.maximum(rows["v"] - 40, 0) / 10
+    nodes, calls, plain = np.array(adjustment.quantile_nodes(20)), [], adjustment.adapt_dry_windows
+    monkeypatch.setattr(adjustment, "adapt_dry_windows", lambda *a: calls.append(1) or plain(*a))
+    fit = adjustment.fit_cell(rows[rows["role"] != "sim"], "qdm", "multiplicative", "dayofyear", 15, nodes, 0.1).set_index("g")
+    assert len(calls) <= 5  # 365 windows, 73 at a time
+    samples = {role: dict(adjustment.group_samples(*[p[c].to_numpy() for c in ("doy", "month", "ord")], p["v"].to_numpy(), "dayofyear", 15))
+               for role, p in rows[rows["role"] != "sim"].groupby("role")}
+    assert sorted(samples["ref"].keys() & samples["hist"].keys()) == fit.index.tolist()
+    for g in (1, 30, 200, 364):
+        ref, hist = adjustment.adapt_dry_days(samples["ref"][g], samples["hist"][g], 0.1)
+        rq, hq = (humidity.linear_quantiles(s, nodes) for s in (ref, hist))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            np.testing.assert_array_equal(fit.loc[g, "af"], np.where(hq == 0, np.nan, rq / hq))
+        assert fit.loc[g, "scaling"] == ref.mean() / hist.mean()

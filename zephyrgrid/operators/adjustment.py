@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import physics as ph
 from ..functions.presets import VariableSettings, settings
 from ..session import place_by
-from .humidity import linear_quantiles
+from .humidity import CENTRES_AT_ONCE, Samples
 
 KINDS = ("additive", "multiplicative")
 
@@ -49,56 +48,107 @@ def _correct(target: np.ndarray, source: np.ndarray, kind: str) -> np.ndarray:
         return np.where(source == 0, np.nan, target / source)
 
 
-def group_samples(
+def group_windows(
     day: np.ndarray, month: np.ndarray, order: np.ndarray, value: np.ndarray, group: str, half_width: int,
     period: int = 365,
-) -> Iterator[tuple[int, np.ndarray]]:
-    """(group, sorted valid values) of one series; ``dayofyear`` groups slide over the year.
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(groups, samples, sizes) of one series, many groups at a time; a sample is a row of sorted valid values, padded with NaN.
 
-    A day counts for a centre within ``half_width`` days when that centre lies
-    inside the series, as in a centred rolling window.
+    ``dayofyear`` groups slide over the year: a day counts for a centre within
+    ``half_width`` days when that centre lies inside the series, as in a centred
+    rolling window.
     """
+    value = np.where(np.isfinite(value), value, np.nan)
     if group == "month":
-        for number in np.unique(month):
-            sample = value[month == number]
-            yield int(number), np.sort(sample[np.isfinite(sample)])
+        numbers = np.unique(month)
+        samples = Samples.of([value[month == number] for number in numbers])
+        yield numbers, samples.ordered, samples.sizes
         return
     by_day = np.argsort(day, kind="stable")
     # The sorted days once before and once after the year, so a window is one slice.
     days = day[by_day]
     line = np.concatenate([days - period, days, days + period])
     v, o = np.tile(value[by_day], 3), np.tile(order[by_day], 3)
-    for centre in np.unique(day):
-        inside = slice(np.searchsorted(line, centre - half_width), np.searchsorted(line, centre + half_width, side="right"))
-        at = o[inside] - (line[inside] - centre)
-        sample = v[inside][(at >= order.min()) & (at <= order.max())]
-        yield int(centre), np.sort(sample[np.isfinite(sample)])
+    centres = np.unique(day)
+    for start in range(0, centres.size, CENTRES_AT_ONCE):
+        part = centres[start:start + CENTRES_AT_ONCE]
+        low = np.searchsorted(line, part - half_width)[:, None]
+        inside = low + np.arange((np.searchsorted(line, part + half_width, side="right") - low[:, 0]).max())
+        near = inside < np.searchsorted(line, part + half_width, side="right")[:, None]
+        inside = np.where(near, inside, 0)
+        at = o[inside] - (line[inside] - part[:, None])
+        samples = Samples(np.where(near & (at >= order.min()) & (at <= order.max()), v[inside], np.nan))
+        yield part, samples.ordered, samples.sizes
 
 
-def spread_below(ordered: np.ndarray, threshold: float) -> np.ndarray:
-    """Replace a sorted sample's values under the threshold by even steps between 0 and it."""
-    low = int(np.searchsorted(ordered, threshold))
-    return np.concatenate([(np.arange(low) + 0.5) * threshold / max(low, 1), ordered[low:]])
+def group_samples(
+    day: np.ndarray, month: np.ndarray, order: np.ndarray, value: np.ndarray, group: str, half_width: int,
+    period: int = 365,
+) -> Iterator[tuple[int, np.ndarray]]:
+    """(group, sorted valid values) of one series, see `group_windows`."""
+    for groups, samples, sizes in group_windows(day, month, order, value, group, half_width, period):
+        for number, sample, size in zip(groups, samples, sizes):
+            yield int(number), sample[:size]
+
 
+def _quantiles(samples: np.ndarray, sizes: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Linear quantiles of sorted rows with ``sizes`` values; ``p`` has a row for each or one for all."""
+    last = (sizes - 1)[:, None]
+    place = p * last
+    low = np.floor(place).astype(int)
+    left, right = (np.take_along_axis(samples, np.minimum(low + k, last), axis=1) for k in (0, 1))
+    return (right - left) * (place - low) + left
 
-def adapt_dry_days(reference: np.ndarray, historical: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Give the sorted historical sample the reference's dry-day frequency.
+
+def spread_below(samples: np.ndarray, threshold: float) -> np.ndarray:
+    """Replace the values under the threshold of sorted rows by even steps between 0 and it."""
+    low = (samples < threshold).sum(axis=1)[:, None]
+    place = np.arange(samples.shape[1])
+    return np.where(place < low, (place + 0.5) * threshold / np.maximum(low, 1), samples)
+
+
+def adapt_dry_windows(
+    reference: np.ndarray, ref_sizes: np.ndarray, historical: np.ndarray, hist_sizes: np.ndarray, threshold: float,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Give each sorted historical sample the dry-day frequency of its reference; rows are padded with NaN.
 
     When the historical sample has the larger share of values at or under the
     threshold, those ranked between both shares move evenly into (threshold,
     reference quantile at the historical share).
     """
     reference, historical = spread_below(reference, threshold), spread_below(historical, threshold)
-    wet_ref, wet_hist = (np.searchsorted(s, threshold, side="right") / s.size for s in (reference, historical))
-    n = historical.size
-    start, stop = math.ceil(wet_ref * (n - 1)), math.floor(wet_hist * (n - 1))
-    if wet_hist > wet_ref and stop >= start:
-        top = linear_quantiles(reference, np.array([wet_hist]))[0]
-        count = stop - start + 1
-        historical = historical.copy()
-        historical[start:stop + 1] = threshold + (top - threshold) * (np.arange(count) + 0.5) / count
-        historical.sort()
-    return reference, historical
+    wet_ref, wet_hist = ((s <= threshold).sum(axis=1) / n for s, n in ((reference, ref_sizes), (historical, hist_sizes)))
+    start, stop = (f(share * (hist_sizes - 1)).astype(int)[:, None] for f, share in ((np.ceil, wet_ref), (np.floor, wet_hist)))
+    top = _quantiles(reference, ref_sizes, wet_hist[:, None])
+    place, count = np.arange(historical.shape[1]), np.maximum(stop - start + 1, 1)
+    moving = (wet_hist > wet_ref)[:, None] & (place >= start) & (place <= stop)
+    moved = threshold + (top - threshold) * (place - start + 0.5) / count
+    return reference, np.sort(np.where(moving, moved, historical), axis=1)
+
+
+def adapt_dry_days(reference: np.ndarray, historical: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """`adapt_dry_windows` for one pair of samples."""
+    ref, hist = adapt_dry_windows(
+        reference[None, :], np.array([reference.size]), historical[None, :], np.array([historical.size]), threshold)
+    return ref[0], hist[0]
+
+
+def fit_windows(
+    ref: np.ndarray, ref_sizes: np.ndarray, hist: np.ndarray, hist_sizes: np.ndarray, method: str, kind: str,
+    nodes: np.ndarray, adapt_threshold: float | None,
+) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None]:
+    """(scaling, af, hist_q) of many pairs of sorted samples at once."""
+    if adapt_threshold is not None:
+        ref, hist = adapt_dry_windows(ref, ref_sizes, hist, hist_sizes, adapt_threshold)
+    means = [np.array([row[:n].mean() for row, n in zip(s, sizes)]) for s, sizes in ((ref, ref_sizes), (hist, hist_sizes))]
+    scaling = _correct(*means, kind)
+    if method == "scaling":
+        return scaling, None, None
+    rq, hq = _quantiles(ref, ref_sizes, nodes), _quantiles(hist, hist_sizes, nodes)
+    if method == "dqm":
+        rq, hq = (_correct(q, mean[:, None], kind) for q, mean in zip((rq, hq), means))
+    # Whole multiples of 1e-9, so that equal quantiles compare equal.
+    return scaling, _correct(rq, hq, kind), np.rint(hq * 1e9) / 1e9
 
 
 def fit_cell(
@@ -106,28 +156,29 @@ def fit_cell(
     adapt_threshold: float | None,
 ) -> pd.DataFrame:
     """Fit rows of one cell; the calendar bounds its reference and historical days."""
-    samples = {}
+    series = {}
     for role in ("ref", "hist"):
         part = rows[rows["role"] == role]
-        columns = [part[c].to_numpy() for c in ("doy", "month", "ord")]
-        samples[role] = dict(group_samples(*columns, part["v"].to_numpy(dtype=float), group, half_width)) if len(part) else {}
+        series[role] = [*[part[c].to_numpy() for c in ("doy", "month", "ord")], part["v"].to_numpy(dtype=float)]
+    # Groups that only one series has are no groups of the fit, but their days count for their neighbours.
+    shared = np.intersect1d(*[s[0 if group == "dayofyear" else 1] for s in series.values()])
     fits = []
-    for g in sorted(samples["ref"].keys() & samples["hist"].keys()):
-        ref, hist = samples["ref"][g], samples["hist"][g]
-        if not ref.size or not hist.size:
-            continue
-        if adapt_threshold is not None:
-            ref, hist = adapt_dry_days(ref, hist, adapt_threshold)
-        scaling = float(_correct(ref.mean(), hist.mean(), kind))
-        fit = {"cell": int(rows["cell"].iloc[0]), "g": g, "scaling": scaling, "af": None, "hist_q": None}
-        if method != "scaling":
-            rq, hq = linear_quantiles(ref, nodes), linear_quantiles(hist, nodes)
-            if method == "dqm":
-                rq, hq = _correct(rq, ref.mean(), kind), _correct(hq, hist.mean(), kind)
-            # Whole multiples of 1e-9, so that equal quantiles compare equal.
-            fit.update(af=_correct(rq, hq, kind), hist_q=np.rint(hq * 1e9) / 1e9)
-        fits.append(fit)
-    return pd.DataFrame(fits, columns=["cell", "g", "scaling", "af", "hist_q"])
+    if shared.size:
+        sides = []
+        for s in series.values():
+            chosen = [tuple(x[keep] for x in found) for found in group_windows(*s, group, half_width) for keep in [np.isin(found[0], shared)]]
+            width = max(samples.shape[1] for _, samples, _ in chosen)
+            sides.append((np.concatenate([np.pad(samples, ((0, 0), (0, width - samples.shape[1])), constant_values=np.nan) for _, samples, _ in chosen]),
+                          np.concatenate([sizes for _, _, sizes in chosen])))
+        (ref, ref_sizes), (hist, hist_sizes) = sides
+        held = np.flatnonzero((ref_sizes > 0) & (hist_sizes > 0))
+        for start in range(0, held.size, CENTRES_AT_ONCE):
+            at = held[start:start + CENTRES_AT_ONCE]
+            scaling, af, hist_q = fit_windows(ref[at], ref_sizes[at], hist[at], hist_sizes[at], method, kind, nodes, adapt_threshold)
+            none = [None] * at.size
+            fits.append(pd.DataFrame({"cell": int(rows["cell"].iloc[0]), "g": shared[at], "scaling": scaling,
+                                      "af": none if af is None else list(af), "hist_q": none if hist_q is None else list(hist_q)}))
+    return pd.concat(fits) if fits else pd.DataFrame([], columns=["cell", "g", "scaling", "af", "hist_q"])
 
 
 def _tagged(df: DataFrame, role: str, value: str) -> DataFrame:

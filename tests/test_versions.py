@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zephyrgrid.operators import qc
+from zephyrgrid.session import place_by
 from zephyrgrid.sources import versions
 
 
@@ -82,3 +83,24 @@ def test_missing_versions_are_refused(spark, store, tmp_path):
     with pytest.raises(FileNotFoundError):
         versions.read(spark, str(tmp_path / "nowhere"))
     assert versions.read(spark, store, days=(9000, 9001)).count() == 0
+
+
+def test_listing_many_files_takes_a_few_tasks(spark, tmp_path):
+    path = str(tmp_path / "many")
+    versions.create(_rows(spark, 0, 3, cells=120), path, 1)
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.sparkContext.setJobGroup("many-files", "reading 120 files")
+    assert versions.read(spark, path).count() == 360
+    spark.sparkContext.setJobGroup("other", "")
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("many-files") for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(name) == before
+
+
+def test_writing_small_partitions_is_spread_over_tasks(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(versions, "place_by", lambda df, *keys: seen.append(keys) or place_by(df, *keys))
+    versions.create(_rows(spark, 0, 3, cells=4), str(tmp_path / "few"), 1)
+    assert seen == [("year", "tile")]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import physics as ph
 from ..operators import align, packing, qc
-from ..session import place_by, scalar_row, shared_directory
+from ..session import cut_lineage, place_by, scalar_row, shared_directory
 from ..sources import stores, versions
 from ..sources.cube import cell_table, daily_cube, role_series, table
 from .aggregate_queries import axis_days
@@ -319,7 +319,7 @@ _TILE = 8
 def _versioned(spark, d, columns=("tas",)):
     """A store of the cube's earlier half, to which the later half comes with a year of overlap; (path, cube)."""
     path = f"{shared_directory(spark)}/versions-{uuid.uuid4().hex}"
-    c = daily_cube(spark, d, *columns).select("cell", "ord", *columns)
+    c = cut_lineage(daily_cube(spark, d, *columns).select("cell", "ord", *columns))
     span = scalar_row(c.agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")))
     middle = ((span["lo"] or 0) + (span["hi"] or 0)) // 2
     versions.create(c.where(F.col("ord") <= middle + 365), path, _TILE)
@@ -356,7 +356,9 @@ def clone_differences(spark, d):
     versions.replace_region(region.withColumn("tas", F.col("tas") + F.when(F.col("ord") % 2 == 0, 0.5).otherwise(0.0)), other, tile_cells=_TILE)
     changed = versions.changed_partitions(versions.entries(spark, path), versions.entries(spark, other))
     zone = [r["tile"] for r in changed.select("tile").distinct().collect()]
-    sides = [versions.read(spark, p, tiles=zone).select("cell", "ord", F.col("tas").alias(n)) for p, n in ((path, "before"), (other, "after"))]
+    years = scalar_row(changed.agg(F.min("year").alias("lo"), F.max("year").alias("hi")))
+    days = ((years["lo"] - 1970) * 365, (years["hi"] - 1969) * 365) if zone else (0, 0)
+    sides = [versions.read(spark, p, days=days, tiles=zone).select("cell", "ord", F.col("tas").alias(n)) for p, n in ((path, "before"), (other, "after"))]
     pairs = sides[0].join(sides[1], ["cell", "ord"]).withColumns({"year": versions.year_of(), "tile": F.expr(f"cell div {_TILE}")})
     means = pairs.groupBy("year", "tile").agg(F.round(F.avg("before"), 6).alias("mean_before"), F.round(F.avg("after"), 6).alias("mean_after"),
                                               F.count_if(F.col("before") != F.col("after")).alias("changed"))

@@ -15,11 +15,12 @@ never listed, so it is never read.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, place_by
 from .stores import _file_system, children, exists
 
 TILE_CELLS = 64
@@ -49,6 +50,18 @@ def entries(spark: SparkSession, path: str, version: int | None = None) -> DataF
     return spark.read.parquet(f"{path}/manifests/{name}")
 
 
+@contextmanager
+def _listing_in_bundles(spark: SparkSession):
+    """While a frame over many paths is made: a few listing tasks per core, where Spark would start one for each path."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _claim(spark: SparkSession, path: str, number: int, manifest: DataFrame) -> int:
     """Write a manifest and make it version ``number``, unless that number is taken."""
     name = uuid.uuid4().hex
@@ -68,10 +81,12 @@ def _written(rows: DataFrame, path: str, tile_cells: int) -> DataFrame:
     spark = rows.sparkSession
     folder = f"{path}/data/{uuid.uuid4().hex}"
     keyed = rows.withColumns({"year": year_of(), "tile": F.expr(f"cell div {tile_cells}")})
-    keyed.repartition(*PARTITION).sortWithinPartitions(*PARTITION, "cell", "ord").write.partitionBy(*PARTITION).option("compression", "zstd").parquet(folder)
+    # A file costs the same however few rows it has, so the number of tasks must not follow the bytes.
+    place_by(keyed, *PARTITION).sortWithinPartitions(*PARTITION, "cell", "ord").write.partitionBy(*PARTITION).option("compression", "zstd").parquet(folder)
     if not children(spark, folder) or not [n for n in children(spark, folder) if n.startswith("year=")]:
         return spark.createDataFrame([], "file string, year bigint, tile bigint, first bigint, last bigint, rows bigint, digest string")
-    stored = spark.read.parquet(folder)
+    with _listing_in_bundles(spark):
+        stored = spark.read.parquet(folder)
     columns = [F.col(f"`{c}`") for c in sorted(stored.columns) if c not in PARTITION]
     described = stored.groupBy(F.input_file_name().alias("file"), *[F.col(c).cast("bigint").alias(c) for c in PARTITION]).agg(
         F.min("ord").alias("first"), F.max("ord").alias("last"), F.count(F.lit(1)).alias("rows"),
@@ -91,7 +106,8 @@ def _rows_of(spark: SparkSession, chosen: DataFrame, like: list[str] | None = No
     files = [r["file"] for r in chosen.select("file").distinct().collect()]
     if not files:
         return None
-    rows = spark.read.parquet(*files)
+    with _listing_in_bundles(spark):
+        rows = spark.read.parquet(*files)
     return rows.select(*(like or [c for c in rows.columns if c not in PARTITION]))
 
 

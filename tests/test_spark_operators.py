@@ -449,3 +449,39 @@ def test_a_single_wrong_value_in_a_published_store_is_found(spark, tmp_path):
     pipeline.verify_published(frame, "v", "tas", path)
     with pytest.raises(OSError, match="does not hold"):
         pipeline.verify_published(frame.withColumn("v", F.col("v") + F.when(F.expr("cell = 2 AND ord = 77"), 0.006).otherwise(0.0)), "v", "tas", path)
+
+
+def _passed_once(spark, frame):
+    """The frame, and a counter of the rows that were taken from it."""
+    taken = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for part in parts:
+            taken.add(len(part))
+            yield part
+
+    return frame.mapInPandas(counted, frame.schema), taken
+
+
+def test_quantiles_of_counts_equal_those_of_rows(spark):
+    rng = np.random.default_rng(7)
+    values = [float(v) for v in np.r_[np.round(rng.normal(0, 900, 4000)), rng.normal(0, 1, 3000), [np.inf, -np.inf, 3.0]]]
+    rows = spark.createDataFrame([("ab"[i % 2], v) for i, v in enumerate(values)] + [("a", None), ("b", float("nan")), ("c", None)], "g string, v double")
+    counts = rows.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    points = [0.0, 0.05, 0.5, 0.95, 1.0]
+    want, got = ({(r["g"], r["p"]): (r["n"], r["quantile"]) for r in found.collect()}
+                 for found in (quantiles.exact_quantiles(rows, "v", points, by="g"), quantiles.counted_quantiles(counts, "v", "n", points, "g")))
+    assert len(want) == 10 and got == want
+
+
+def test_edge_audit_takes_its_differences_once(spark):
+    from zephyrgrid.operators import qc
+
+    rows = [(p, None if i % 7 == 0 else float(i % 90), float(i % 11)) for p in ("same-1", "same-2", "1-2") for i in range(300)]
+    frame = spark.createDataFrame(rows, "pair string, first double, second double").withColumn("difference", F.abs(F.col("first") - F.col("second")))
+    once, taken = _passed_once(spark, frame)
+    got = {r["pair"]: r for r in qc.edge_audit(once, "pair").collect()}
+    assert taken.value == len(rows)
+    steps = [abs(a - b) for p, a, b in rows if p == "1-2" and a is not None]
+    assert (got["1-2"]["paired"], got["1-2"]["missing"]) == (len(steps), 300 - len(steps))
+    assert got["1-2"]["p95"] == pytest.approx(np.quantile(steps, 0.95)) and got["1-2"]["control_ratio"] == 1.0

@@ -12,9 +12,9 @@ from ..functions.presets import (
     TEMPERATURE_VALID_RANGE_K,
     WIND_CEILING_M_S,
 )
-from ..session import attach_row
+from ..session import attach_row, cut_lineage
 from .aggregate import coarse_mean
-from .quantiles import exact_quantiles
+from .quantiles import counted_quantiles, exact_quantiles
 
 
 def time_checks(df: DataFrame, keys: list[str], minimum_years: int | None = None, days_per_year: int = 365) -> DataFrame:
@@ -189,13 +189,16 @@ def tile_report(written: DataFrame, reference: DataFrame, variable: str, days: i
 
 def edge_audit(differences: DataFrame, group: str) -> DataFrame:
     """Pairs, missing endpoints and the p95 step of each group, against same-source controls."""
-    counts = differences.groupBy(group).agg(
-        F.count("difference").alias("paired"),
-        (F.count_if(F.col("first").isNull()) + F.count_if(F.col("second").isNull())).alias("missing"),
-        F.count(F.lit(1)).alias("rows"),
-        F.min(F.least("first", "second")).alias("low"), F.max(F.greatest("first", "second")).alias("high"),
+    # One pass over the differences: rows with the same step become one, whatever is asked of them later.
+    held = cut_lineage(differences.groupBy(group, "difference").agg(
+        F.count_if(F.col("first").isNull()).alias("no_first"), F.count_if(F.col("second").isNull()).alias("no_second"),
+        F.count(F.lit(1)).alias("n"), F.min(F.least("first", "second")).alias("low"), F.max(F.greatest("first", "second")).alias("high")))
+    counts = held.groupBy(group).agg(
+        F.coalesce(F.sum(F.when(F.col("difference").isNotNull(), F.col("n"))), F.lit(0)).alias("paired"),
+        F.sum(F.col("no_first") + F.col("no_second")).alias("missing"),
+        F.sum("n").alias("rows"), F.min("low").alias("low"), F.max("high").alias("high"),
     )
-    p95 = exact_quantiles(differences, "difference", [0.95], by=group).select(group, F.col("quantile").alias("p95"))
+    p95 = counted_quantiles(held, "difference", "n", [0.95], group).select(group, F.col("quantile").alias("p95"))
     report = counts.join(p95, group, "left").withColumn("missing_fraction", F.col("missing") / (2 * F.col("rows")))
     # Codes may have any number of digits: controls of "a-b" are "same-a" and "same-b".
     controls = p95.where(F.col(group).startswith("same-") & (F.col("p95") != 0)).select(

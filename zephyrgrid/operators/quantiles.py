@@ -45,6 +45,26 @@ def group_percentiles(df: DataFrame, keys: list[str], value: str, probabilities:
     )
 
 
+def counted_quantiles(df: DataFrame, value: str, n: str, probabilities: list[float], by: str) -> DataFrame:
+    """`exact_quantiles` of a table of counts: column ``n`` says how many rows have a value.
+
+    Meant for few distinct values of many rows; nothing needs a sketch, as every
+    value of a group lies in its bracket.
+    """
+    v = F.col(value).cast("double")
+    rows = df.where(F.col(value).isNotNull() & ~F.isnan(v) & F.col(by).isNotNull()).select(
+        F.col(by).cast("string").alias("g"), v.alias("v"), F.col(n).alias("n"))
+    held = cut_lineage(rows.groupBy("g", "v").agg(F.sum("n").alias("n")))
+    position = (F.col("n") - 1) * F.col("p")
+    brackets = cut_lineage(held.groupBy("g").agg(F.sum("n").alias("n")).select(
+        "g", "n", F.explode(F.array(*[F.lit(float(p)) for p in dict.fromkeys(probabilities)])).alias("p")).withColumns(
+        {"low_rank": F.floor(position).cast("bigint"), "high_rank": F.ceil(position).cast("bigint")}))
+    few = brackets.select("g", "p")
+    if few.count() <= BROADCAST_BRACKETS:
+        few = F.broadcast(few)
+    return _interpolated(brackets, held.join(few, "g").select("g", "p", "v", "n"), by)
+
+
 def exact_quantiles(
     df: DataFrame, value: str, probabilities: list[float], by: str | None = None
 ) -> DataFrame:
@@ -73,11 +93,16 @@ def exact_quantiles(
         wide = brackets.join(missed, ["g", "p"]).withColumns({"a": F.col("lo"), "b": F.col("hi")})
         again = _counted(rows, wide)
         held = cut_lineage(held.join(missed, ["g", "p"], "left_anti").unionByName(again))
+    return _interpolated(brackets, held, by or "g")
+
+
+def _interpolated(brackets: DataFrame, held: DataFrame, by: str) -> DataFrame:
+    """(by, p, n, quantile) between the values at both ranks of each bracket."""
     settled = _settled(brackets, held)
     low, high = (settled.select("g", "p", F.col("rank").alias(f"{side}_rank"), F.col("v").alias(side)) for side in ("low", "high"))
     found = brackets.join(low, ["g", "p", "low_rank"]).join(high, ["g", "p", "high_rank"])
     between = F.col("low") + ((F.col("n") - 1) * F.col("p") - F.col("low_rank")) * (F.col("high") - F.col("low"))
-    return found.select(F.col("g").alias(by or "g"), "p", "n", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(between).alias("quantile"))
+    return found.select(F.col("g").alias(by), "p", "n", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(between).alias("quantile"))
 
 
 def _brackets(rows: DataFrame, probabilities: list[float]) -> DataFrame:

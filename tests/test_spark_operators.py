@@ -485,3 +485,18 @@ def test_edge_audit_takes_its_differences_once(spark):
     steps = [abs(a - b) for p, a, b in rows if p == "1-2" and a is not None]
     assert (got["1-2"]["paired"], got["1-2"]["missing"]) == (len(steps), 300 - len(steps))
     assert got["1-2"]["p95"] == pytest.approx(np.quantile(steps, 0.95)) and got["1-2"]["control_ratio"] == 1.0
+
+
+def test_edge_comparison_takes_its_joins_once(spark):
+    from zephyrgrid.operators import aggregate
+
+    rows = [(None if i % 5 == 0 else float(i % 37), float(i % 23), float(i % 8)) for i in range(400)]
+    once, taken = _passed_once(spark, spark.createDataFrame(rows, "a double, b double, n double"))
+    got = aggregate.edge_comparison(once, "a", "b", "n").first()
+    assert taken.value == len(rows)
+    now, then = [abs(a - n) for a, _, n in rows if a is not None], [abs(b - n) for _, b, n in rows]
+    better = sum(abs(b - n) < abs(a - n) for a, b, n in rows if a is not None)
+    assert (got["pairs"], got["improved"]) == (len(now), pytest.approx(better / len(now)))
+    assert got["p95_now"] == pytest.approx(np.quantile(now, 0.95)) and got["p95_then"] == pytest.approx(np.quantile(then, 0.95))
+    nothing = aggregate.edge_comparison(once.where("false"), "a", "b", "n").collect()
+    assert [tuple(r) for r in nothing] == [(0, None, None, None, None, None)]

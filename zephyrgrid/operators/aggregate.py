@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import physics as ph
-from ..session import attach_row
-from .quantiles import exact_quantiles
+from ..session import attach_row, cut_lineage
+from .quantiles import counted_quantiles, exact_quantiles
 
 
 def area_weighted_mean(value: Column, lat: Column) -> Column:
@@ -187,19 +187,20 @@ def edge_comparison(df: DataFrame, current: str, alternative: str, neighbour: st
         F.abs(F.col(current) - F.col(neighbour)).alias("now"),
         F.abs(F.col(alternative) - F.col(neighbour)).alias("then"),
     )
-    stacked = joins.select(F.explode(F.array(
-        F.struct(F.lit("now").alias("kind"), F.col("now").alias("x")),
-        F.struct(F.lit("then").alias("kind"), F.col("then").alias("x")),
-    )).alias("s")).select("s.kind", "s.x")
-    p95 = exact_quantiles(stacked, "x", [0.95], by="kind").agg(
+    # One pass over the joins: each step becomes a value with its number of rows before anything is asked of it.
+    now, then = F.col("now"), F.col("then")
+    both = now.isNotNull() & then.isNotNull()
+    steps = joins.select(F.explode(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("x"), both.alias("both"), F.coalesce(then < now, F.lit(False)).alias("better"))
+        for kind in ("now", "then")])).alias("s")).select("s.*")
+    held = cut_lineage(steps.groupBy("kind", "x").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("both").alias("both"), F.count_if("better").alias("better")))
+    p95 = counted_quantiles(held, "x", "n", [0.95], "kind").agg(
         F.max(F.when(F.col("kind") == "now", F.col("quantile"))).alias("p95_now"),
         F.max(F.when(F.col("kind") == "then", F.col("quantile"))).alias("p95_then"),
     )
-    both = F.col("now").isNotNull() & F.col("then").isNotNull()
-    counts = joins.agg(
-        F.count_if(both).alias("pairs"),
-        F.try_divide(F.count_if(F.col("then") < F.col("now")), F.count_if(both)).alias("improved"),
-    )
+    counts = held.where("kind = 'now'").agg(F.coalesce(F.sum("both"), F.lit(0)).alias("pairs"), F.sum("better").alias("better")).select(
+        "pairs", F.try_divide("better", "pairs").alias("improved"))
     return attach_row(counts, p95).withColumn(
         "p95_change", F.col("p95_then") - F.col("p95_now")
     ).withColumn(

@@ -401,7 +401,7 @@ SELECT pairs, round(better / pairs, 6) AS improved, round(a, 6) AS p95_now, roun
 def edge_comparison(spark, d):
     """Across the edges between neighbouring cells: would the mean of both sides join more smoothly?"""
     c = daily_cube(spark, d, "tas", "tasm")
-    edges = agg.neighbour_edges(c.select("cell", "fi", "fj").distinct(), grid_side(spark, d)).select("a_cell", "b_cell")
+    edges = agg.neighbour_edges(cell_table(spark, d).select("cell", "fi", "fj"), grid_side(spark, d)).select("a_cell", "b_cell")
     own = c.select(F.col("cell").alias("a_cell"), "ord", "tas", "tasm")
     other = c.select(F.col("cell").alias("b_cell"), "ord", F.col("tas").alias("n"))
     joined = edges.join(own, "a_cell").join(other, ["b_cell", "ord"]).withColumn("alt", F.col("tas") * 0.5 + F.col("n") * 0.5)
